@@ -20,7 +20,7 @@ from logtables.sources.text import BLOCK, LINE, SOURCE, TEXT, text_column
 
 MESSAGE = "message"
 ROWS_PER_CHUNK = 1_000_000
-MAX_CHUNKS = 10_000
+CELLS = 4_096
 
 
 def line_events(df: DataFrame, text: str = TEXT) -> DataFrame:
@@ -49,24 +49,37 @@ def first_event(text: Column, rules: RuleSet) -> Column:
 def even_chunks(df: DataFrame, order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Column:
     """Chunk numbers for a table without file splits: ranges of the order column of about equal row count.
 
-    Runs one small aggregation now; the bounds become constants, so the chunks stay the same if a task is
-    run again. The order column must be numeric or a date or time. Many rows with one order value fall
-    into one chunk: pass an own ``chunk`` column where that can happen.
+    The order column must be numeric or a date or time. Its range is divided into cells of equal width,
+    which are merged or cut into chunks according to their row counts. Counting the cells is a small aggregation
+    that runs now; its result, at most ``CELLS`` numbers, becomes a constant, so a task that is run again
+    finds the same chunks. Rows with one order value cannot be told apart: where a large share of a source
+    can have the same value, pass an own ``chunk`` column.
     """
-    number = f"double(unix_micros(timestamp(`{order}`)))"
     data_type = df.select(order).schema[0].dataType.simpleString()
-    if not data_type.startswith(("timestamp", "date")):
-        number = f"double(`{order}`)"
-    rows = df.select(F.expr(number).alias("n")).agg(F.count("n"), F.min("n")).first()
-    parts = min(ceil(rows[0] / rows_per_chunk), MAX_CHUNKS)
-    if parts <= 1:
-        return F.lit(0)
-    shares = [i / parts for i in range(1, parts)]
-    bounds = df.select(F.expr(number).alias("n")).agg(
-        F.percentile_approx("n", shares, max(10_000, 10 * parts))
-    ).first()[0]
-    # width of the bounds array is at most MAX_CHUNKS; width_bucket finds the range by binary search
-    return F.expr(f"width_bucket({number}, array({','.join(f'{b!r}D' for b in sorted(set(bounds)))}))")
+    name = f"`{order}`"
+    is_time = data_type.startswith(("timestamp", "date"))
+    number = F.expr(f"double(unix_micros(timestamp({name})))" if is_time else f"double({name})")
+    low, high, rows = df.select(number.alias("n")).agg(F.min("n"), F.max("n"), F.count("*")).first()
+    if rows <= rows_per_chunk or low is None or low == high:
+        return F.lit(0).cast("long")
+    place = (number - low) / (high - low) * CELLS
+    cell = F.least(F.floor(place), F.lit(CELLS - 1)).cast("int")
+    counts = dict(tuple(row) for row in df.groupBy(cell.alias("cell")).count().collect())
+    starts, parts, chunk, filled = [], [], 0, 0
+    for i in range(CELLS):
+        count = counts.get(i, 0)
+        if filled + count > rows_per_chunk:  # small neighbours share a chunk, large cells are cut up
+            chunk, filled = chunk + 1, 0
+        starts.append(chunk)
+        parts.append(max(1, ceil(count / rows_per_chunk)))
+        chunk, filled = chunk + parts[-1] - 1, filled + count
+    within = F.floor((place - cell) * F.get(_constants(parts), cell))
+    # least() keeps the top end of a cell in its last chunk
+    return F.get(_constants(starts), cell) + F.least(within, F.get(_constants(parts), cell) - 1)
+
+
+def _constants(numbers: Sequence[int]) -> Column:
+    return F.expr(f"from_json('{list(numbers)}', 'array<bigint>')")
 
 
 def assemble_events(

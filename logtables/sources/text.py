@@ -41,12 +41,25 @@ def read_binary_logs(spark: SparkSession, path: str | Sequence[str], strict: boo
     return read_text_logs(spark, path).withColumn(TEXT, check(TEXT))
 
 
-def read_text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same lines as a stream of newly added files."""
-    reader = spark.readStream
+def read_text_stream(
+    spark: SparkSession, path: str, max_files: int | None = None, numbered: bool = False
+) -> DataFrame:
+    """Lines of newly added files, as a stream: (value, source).
+
+    Streams know no line order; ``numbered`` adds it (line, and block for pieces of 100,000 lines) by
+    reading each file as a whole, which suits rolled log files. Kafka and the like have offsets instead.
+    """
+    reader = spark.readStream.option("wholetext", numbered)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _with_place(reader.text(path))
+    lines = reader.text(path).select(
+        F.col("value").alias(TEXT), F.col("_metadata.file_path").alias(SOURCE)
+    )
+    if not numbered:
+        return lines
+    body = F.regexp_replace(TEXT, F.lit("\\r?\\n\\z"), F.lit(""))
+    split = lines.select(SOURCE, F.posexplode(F.split(body, "\r?\n", -1)).alias(LINE, TEXT))
+    return split.select(TEXT, SOURCE, F.floor(F.col(LINE) / 100_000).alias(BLOCK), LINE)
 
 
 def from_strings(spark: SparkSession, texts: Sequence[str | bytes]) -> DataFrame:

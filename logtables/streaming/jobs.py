@@ -118,7 +118,9 @@ class EventAssembly:
     def start(self, lines: DataFrame, checkpoint: str, **trigger):
         """Start on a stream of lines; the checkpoint folder belongs to this assembly's folder."""
         kept = lines.select(*self.sources, *self.orders, self.chunk).schema
-        self._schema = T.StructType(list(kept)).add(MESSAGE, "string").add("open", "int")
+        self._schema = T.StructType([
+            *kept, T.StructField(MESSAGE, T.StringType()), T.StructField("open", T.IntegerType()),
+        ])
         return (
             lines.writeStream.foreachBatch(self._process).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start()
