@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from logtables.functions import dialect
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)``, with the value computed once however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def scalar(capture: Column) -> Column:
     """The first value, NULL if there is none."""
     return F.get(capture, F.lit(0))
@@ -15,17 +20,16 @@ def scalar(capture: Column) -> Column:
 
 def scalar_or_list(capture: Column) -> Column:
     """A VARIANT: NULL without a value, a string for one value, an array for several."""
-    return (
-        F.when(F.size(capture) == 1, F.get(capture, F.lit(0)).cast("variant"))
-        .when(F.size(capture) > 1, capture.cast("variant"))
-    )
+    return let(capture, lambda values: F.when(
+        F.size(values) == 1, F.get(values, F.lit(0)).cast("variant")
+    ).when(F.size(values) > 1, values.cast("variant")))
 
 
 def as_text(capture: Column) -> Column:
     """NULL without a value, the value itself for one, a JSON array for several."""
-    return F.when(F.size(capture) == 1, F.get(capture, F.lit(0))).when(
-        F.size(capture) > 1, F.to_json(capture)
-    )
+    return let(capture, lambda values: F.when(
+        F.size(values) == 1, F.get(values, F.lit(0))
+    ).when(F.size(values) > 1, F.to_json(values)))
 
 
 def strict(capture: Column, name: str) -> Column:

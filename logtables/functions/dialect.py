@@ -214,6 +214,13 @@ def touches(node, ranges: Ranges) -> bool:
     return any(touches(child, ranges) for child in children(node))
 
 
+def alphabet(node) -> Ranges:
+    """All characters the node can match."""
+    if isinstance(node, Chars):
+        return node.ranges
+    return union(r for child in children(node) for r in alphabet(child))
+
+
 def width(node) -> tuple[int, int | None]:
     """Shortest and longest match length; ``None`` means unbounded."""
     if isinstance(node, Chars):
@@ -364,15 +371,19 @@ def java_char(code: int) -> str:
 
 
 def java_class(ranges: Ranges) -> str:
+    """Java tests listed Latin characters with one look at a bit set, but each range by itself."""
     if not ranges:
         return "[^\\x{0}-\\x{10ffff}]"
     if len(ranges) == 1 and ranges[0][0] == ranges[0][1]:
         return java_char(ranges[0][0])
     negated = ranges[-1][1] == MAX_CODE and ranges != ((0, MAX_CODE),)
-    body = "".join(
-        java_char(low) if low == high else f"{java_char(low)}-{java_char(high)}"
-        for low, high in (complement(ranges) if negated else ranges)
-    )
+    shown = complement(ranges) if negated else ranges
+    body = ""
+    for low, high in shown:
+        if low == high or (len(shown) > 1 and high < 0x100):
+            body += "".join(java_char(code) for code in range(low, high + 1))
+        else:
+            body += f"{java_char(low)}-{java_char(high)}"
     return f"[{'^' if negated else ''}{body}]"
 
 

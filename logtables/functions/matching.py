@@ -12,14 +12,22 @@ The captures are then read from the short matched texts, not from the whole line
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from logtables.functions import dialect
+from logtables.functions.accessors import let
 from logtables.functions.dialect import Alt, Capture, Seq
 
 MARK = "\x1e"
+MAX_PREFIXES = 9
+REST = 2**31 - 1
+
+
+def all_of(tests: list[Column]) -> Column:
+    return reduce(lambda first, second: first & second, tests)
 
 
 @dataclass
@@ -32,7 +40,8 @@ class Variant:
     groups: list[str] = field(default_factory=list)
     refused: str = ""
     prefix: str = ""
-    by_prefix: bool = False
+    by_prefix: bool = False  # a match that begins with the prefix can only be of this variant
+    certain: bool = False  # the prefixes of all variants tell whether a match is of this one
 
 
 class Matcher:
@@ -125,6 +134,9 @@ class Matcher:
             variant.by_prefix = bool(variant.prefix) and not any(
                 dialect.compatible(opening, other.heads) for other in variants if other is not variant
             )
+        others = [variant for variant in variants if not variant.by_prefix]
+        for variant in variants:
+            variant.certain = variant.by_prefix or (others == [variant] and len(variants) <= MAX_PREFIXES)
         return variants
 
     # ------------------------------------------------------------ executor side: columns
@@ -144,36 +156,83 @@ class Matcher:
     def values(self, name: str, found: Column, alternating: bool = False) -> Column:
         """All values of a capture in text order, from ``matches`` or (alternating) from ``pieces``."""
         holders = [v for v in self.variants if name in v.groups]
+        if len(holders) == 1 and holders[0].certain:
+            variant = holders[0]
+            if alternating:
+                own = F.filter(found, lambda piece, i: all_of([i % 2 == 1, *self._tests(variant, piece)]))
+            elif len(self.variants) == 1:
+                own = found
+            else:
+                own = F.filter(found, lambda match: all_of(self._tests(variant, match)))
+            return F.transform(own, lambda match: self._read(variant, name, match))
+
+        # variants exclude each other, so of several texts at most one is not empty
+        never_empty = all(self._always_text(variant.node, name) for variant in holders)
 
         def value(match: Column) -> Column:
-            values = [self._value(variant, name, match) for variant in holders]
-            return values[0] if len(values) == 1 else F.coalesce(*values)
+            texts = []
+            for variant in holders:
+                text = self._read(variant, name, match)
+                if variant.certain:
+                    tests = self._tests(variant, match)
+                    text = F.when(all_of(tests), text) if tests else text
+                    text = text.otherwise(F.lit("")) if tests and never_empty else text
+                elif not never_empty:
+                    text = F.when(F.rlike(match, F.lit(variant.pattern)), text)
+                texts.append(text)
+            if len(texts) == 1:
+                return texts[0]
+            return F.concat(*texts) if never_empty else F.coalesce(*texts)
 
         if alternating:
             read = F.transform(found, lambda piece, i: F.when(i % 2 == 1, value(piece)))
         else:
             read = F.transform(found, value)
-        return F.filter(read, lambda item: item.isNotNull())
-
-    def _value(self, variant: Variant, name: str, match: Column) -> Column:
-        items = variant.node.items
-        whole = [i for i, item in enumerate(items) if isinstance(item, Capture) and item.name == name]
-        if variant.by_prefix and whole:
-            before = dialect.literal(Seq(items[: whole[0]]))
-            after = dialect.literal(Seq(items[whole[0] + 1 :]))
-            if before is not None and after is not None:
-                # text around the capture is fixed: cut it off, no regex needed
-                length = F.length(match) - len(before) - len(after) if after else F.length(match)
-                return F.when(
-                    match.startswith(variant.prefix), F.substring(match, len(before) + 1, length)
-                )
-        group = variant.groups.index(name) + 1
-        text = F.regexp_extract(match, variant.pattern, group)
+        return F.filter(read, lambda item: item != "" if never_empty else item.isNotNull())
+
+    def _tests(self, variant: Variant, match: Column) -> list[Column]:
+        """Conditions that together tell whether a match belongs to a variant that is ``certain``."""
         if variant.by_prefix:
-            return F.when(match.startswith(variant.prefix), text)
-        if self._always_text(variant.node, name):
-            return F.nullif(text, F.lit(""))
-        return F.when(F.rlike(match, F.lit(variant.pattern)), text)
+            return [match.startswith(variant.prefix)]
+        return [~match.startswith(other.prefix) for other in self.variants if other is not variant]
+
+    def _read(self, variant: Variant, name: str, match: Column) -> Column:
+        """The capture's text in a match that belongs to the variant."""
+        cut = self._cut(variant, name, match) if variant.certain else None
+        if cut is not None:
+            return cut
+        return F.regexp_extract(match, variant.pattern, variant.groups.index(name) + 1)
+
+    @staticmethod
+    def _cut(variant: Variant, name: str, match: Column) -> Column | None:
+        """The capture cut out at the fixed texts around it, without a regex, where these are certain.
+
+        In ``a=(?<x>[0-9]+) b=(?<y>.+)`` the text " b=" ends x, because x can hold no blank.
+        """
+        fixed, caps = [""], []
+        for item in variant.node.items:
+            text = dialect.literal(item)
+            if isinstance(item, Capture):
+                caps.append(item)
+                fixed.append("")
+            elif text is None:
+                return None
+            else:
+                fixed[-1] += text
+        position = next((i for i, cap in enumerate(caps) if cap.name == name), None)
+        if position is None or position > 2:
+            return None
+        rest = F.substring(match, len(fixed[0]) + 1, REST)
+        for i in range(position + 1):
+            after, last = fixed[i + 1], i == len(caps) - 1
+            if last:
+                return F.left(rest, F.length(rest) - len(after)) if after else rest
+            if not after or dialect.overlap(dialect.alphabet(caps[i]), dialect.of_text(after[0])):
+                return None
+            if i == position:
+                return F.substring_index(rest, after, 1)
+            rest = F.substring(rest, F.instr(rest, after) + len(after), F.lit(REST))
+        return None
 
     @staticmethod
     def _always_text(node, name: str) -> bool:
@@ -238,9 +297,22 @@ class Matcher:
 
         Text before the first timestamp is an event of its own; a final line break ends the last line.
         """
-        body = F.regexp_replace(text, F.lit("\\r?\\n\\z"), F.lit(""))
+        body = self._body(text)
         if self.event_start is None:
             return F.split(body, "\n", -1)
-        event = f"(?<![^\\n])(?s:.)+?(?=\\z|\\r?\\n{self.event_start})"
-        found = F.regexp_extract_all(body, F.lit(event), F.lit(0))
-        return F.when(body == "", F.array(body)).otherwise(found)
+        event = f"(?<![^\\n])(?s:.)+?(?=\\z|\\n{self.event_start})"
+        return let(body, lambda lines: F.when(lines == "", F.array(lines)).otherwise(
+            F.regexp_extract_all(lines, F.lit(event), F.lit(0))
+        ))
+
+    def first_event(self, text: Column) -> Column:
+        """The first of ``events``."""
+        if self.event_start is None:
+            return F.substring_index(self._body(text), "\n", 1)
+        return F.get(self.events(text), F.lit(0))
+
+    @staticmethod
+    def _body(text: Column) -> Column:
+        """The text with plain line breaks and none at the end."""
+        plain = F.when(F.contains(text, F.lit("\r\n")), F.replace(text, F.lit("\r\n"), F.lit("\n"))).otherwise(text)
+        return F.when(plain.endswith("\n"), F.left(plain, F.length(plain) - 1)).otherwise(plain)

@@ -43,7 +43,7 @@ def split_events(df: DataFrame, rules: RuleSet, text: str = TEXT, number: str |
 
 def first_event(text: Column, rules: RuleSet) -> Column:
     """The first event of a text."""
-    return F.get(rules.matcher.events(text), F.lit(0))
+    return rules.matcher.first_event(text)
 
 
 def even_chunks(df: DataFrame, order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Column:
