@@ -18,7 +18,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from logtables.functions import dialect
-from logtables.functions.accessors import let
 from logtables.functions.dialect import Alt, Capture, Seq
 
 MARK = "\x1e"
@@ -56,7 +55,12 @@ class Matcher:
         nodes = [rule.node for rule in rules.ordered]
         self.find = self._scan(nodes, self.left)
         timestamps = [rule.node for rule in rules.ordered if rule.is_timestamp]
-        self.event_start = self._scan(nodes, "(?<![^\\n])", len(timestamps)) if timestamps else None
+        self.event_start = self._scan(nodes, "", len(timestamps)) if timestamps else None
+        self.event = None
+        if timestamps:
+            # from one line break to the next one before a timestamp; group 1 is the event
+            following = self._scan(nodes, "", len(timestamps), groups_before=1)
+            self.event = f"\\n((?s:.)*?)(?=\\z|\\n{following})"
         self.variants = self._variants(nodes)
 
     # ------------------------------------------------------------ driver side: regex text
@@ -81,14 +85,17 @@ class Matcher:
             return [head for head, _ in dialect.heads(node)]
         return dialect.bounded_heads(node, self.delimiters)
 
-    def _scan(self, nodes, left: str, first_rules: int | None = None) -> str:
-        """Regex for the winning matches; ``first_rules`` keeps only the wins of so many first rules."""
+    def _scan(self, nodes, left: str, first_rules: int | None = None, groups_before: int = 0) -> str:
+        """Regex for the winning matches; ``first_rules`` keeps only the wins of so many first rules.
+
+        ``groups_before`` is the number of groups in the regex this one becomes a part of.
+        """
         plain = []
         for index, node in enumerate(nodes):
             plain += [(index, dialect.without_captures(v)) for v in dialect.expand(node, self._ambiguous)]
         heads = [self._heads(node) for _, node in plain]
         texts = [f"(?:{dialect.java(node)}){self.right}" for _, node in plain]
-        bodies, group = [], 0
+        bodies, group = [], groups_before
         kept = [
             i for i, (index, _) in enumerate(plain) if first_rules is None or index < first_rules
         ]
@@ -298,12 +305,9 @@ class Matcher:
         Text before the first timestamp is an event of its own; a final line break ends the last line.
         """
         body = self._body(text)
-        if self.event_start is None:
+        if self.event is None:
             return F.split(body, "\n", -1)
-        event = f"(?<![^\\n])(?s:.)+?(?=\\z|\\n{self.event_start})"
-        return let(body, lambda lines: F.when(lines == "", F.array(lines)).otherwise(
-            F.regexp_extract_all(lines, F.lit(event), F.lit(0))
-        ))
+        return F.regexp_extract_all(F.concat(F.lit("\n"), body), F.lit(self.event), F.lit(1))
 
     def first_event(self, text: Column) -> Column:
         """The first of ``events``."""

@@ -15,13 +15,17 @@ LOG_TYPE, TIMESTAMPS = "log_type", "timestamps"
 _FOUND = "__found"
 
 
-def computed_once(df: DataFrame, name: str, column: Column) -> DataFrame:
-    """Add a column that later filters do not evaluate a second time.
+def with_helper(df: DataFrame, name: str, column: Column, scan_once: bool) -> DataFrame:
+    """Add a column that several later columns are made of.
 
-    Catalyst copies an ordinary column into every filter pushed below it, which would scan each text
-    twice. It does not push filters on generated columns; filters on other columns still reach the scan.
+    A plain column is evaluated once per row, but Catalyst copies it into every filter it moves below the
+    projection, so that rows are scanned for the filter and again for the result. With ``scan_once`` the
+    column is a generated one, which filters on it do not cross; filters on other columns still reach the
+    scan. That costs a copy of the row, and pays off where a filter on the result follows.
     """
-    return df.select("*", F.inline(F.array(F.struct(column.alias(name)))))
+    if scan_once:
+        return df.select("*", F.inline(F.array(F.struct(column.alias(name)))))
+    return df.withColumn(name, column)
 
 
 def extract(
@@ -33,12 +37,14 @@ def extract(
     log_type: bool = True,
     types: Mapping[str, str] | None = None,
     into: str | None = None,
+    scan_once: bool = False,
 ) -> DataFrame:
     """Apply the rules to a text column.
 
     Adds one ``array<string>`` column per capture, ``log_type``, and ``timestamps`` if the rule set has
     timestamp rules. ``captures`` limits the columns (all rules still take part in matching), ``types``
-    casts values, ``into`` puts everything into one struct column. Works on batch and streaming input.
+    casts values, ``into`` puts everything into one struct column, ``scan_once`` is for results that are
+    filtered by what was extracted. Works on batch and streaming input.
     """
     matcher = rules.matcher
     known = rules.capture_names
@@ -62,7 +68,8 @@ def extract(
     for name in columns:
         if name.lower() in taken:
             raise ValueError(f"the input has a column {name!r} already: rename it or use into=")
-    scanned = computed_once(df, _FOUND, matcher.pieces(source) if log_type else matcher.matches(source))
+    scan = matcher.pieces(source) if log_type else matcher.matches(source)
+    scanned = with_helper(df, _FOUND, scan, scan_once)
     return scanned.select(*[F.col(f"`{name}`") for name in df.columns], *[
         column.alias(name) for name, column in columns.items()
     ])

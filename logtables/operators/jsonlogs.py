@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from logtables.functions.accessors import scalar_or_list
 from logtables.operators.events import first_event
-from logtables.operators.extract import computed_once
+from logtables.operators.extract import with_helper
 from logtables.rules import RuleSet
 from logtables.sources.text import TEXT
 
@@ -115,6 +115,7 @@ def enrich_json(
     strict: bool = True,
     keep_text: bool = False,
     observe: str | None = None,
+    scan_once: bool = False,
 ) -> DataFrame:
     """Mine each JSON object for captures and merge them into it.
 
@@ -123,6 +124,7 @@ def enrich_json(
     kept as "original_value"), "prefix", "overwrite" or "raise". The first event of each string is mined,
     or every event with ``all_events``. With ``strict=False`` text that is no JSON object gives a NULL object
     and is kept in ``_corrupt_record``. ``observe`` names a metric that counts conflicts.
+    ``scan_once`` is for results that are filtered by fields of the object.
     """
     if on_conflict not in (NEST, PREFIX, OVERWRITE, RAISE):
         raise ValueError(f"unknown conflict handling {on_conflict!r}")
@@ -130,20 +132,19 @@ def enrich_json(
     source = F.col(f"`{text}`")
     others = [F.col(f"`{name}`") for name in df.columns if keep_text or name != text]
 
-    base = computed_once(df, "__object", parse_object(source, strict))
+    base = with_helper(df, "__object", parse_object(source, strict), scan_once)
     entries = F.col("__object")
     strings = all_strings(source) if paths is None else F.array_compact(
         F.array(*[string_at(entries, path) for path in paths])
     )
-    mined = computed_once(base, "__found", _mined(rules, strings, log_type, all_events))
+    mined = with_helper(base, "__found", _mined(rules, strings, log_type, all_events), scan_once)
     columns = _captures(rules, F.col("__found"), log_type)
     filled = F.map_from_arrays(
         F.array(*[F.lit(name) for name in columns]),
         F.array(*[scalar_or_list(values) for values in columns.values()]),
     )
-    extracted = computed_once(
-        mined, "__extracted", F.map_filter(filled, lambda _, value: value.isNotNull())
-    )
+    matched = F.map_filter(filled, lambda _, value: value.isNotNull())
+    extracted = with_helper(mined, "__extracted", matched, scan_once)
     new = F.col("__extracted")
 
     if on_conflict == NEST:
@@ -152,7 +153,7 @@ def enrich_json(
         inner = F.when(
             taken, F.map_concat(F.map_filter(new, lambda k, _: k != ORIGINAL_VALUE), original)
         ).otherwise(new)
-        rest = F.map_filter(entries, lambda k, _: k != key)
+        rest = F.when(taken, F.map_filter(entries, lambda k, _: k != key)).otherwise(entries)
         result = F.map_concat(rest, F.create_map(F.lit(key), F.to_variant_object(inner)))
         clash = taken & F.map_contains_key(new, ORIGINAL_VALUE)
         conflicts = F.when(clash, F.array(F.lit(ORIGINAL_VALUE))).otherwise(
@@ -162,7 +163,9 @@ def enrich_json(
         if on_conflict == PREFIX:
             new = F.transform_keys(new, lambda k, _: F.concat(F.lit(prefix), k))
         conflicts = F.array_intersect(F.map_keys(new), F.map_keys(entries))
-        rest = F.map_filter(entries, lambda k, _: ~F.map_contains_key(new, k))
+        rest = F.when(
+            F.size(conflicts) > 0, F.map_filter(entries, lambda k, _: ~F.map_contains_key(new, k))
+        ).otherwise(entries)
         result = F.map_concat(rest, new)
         if on_conflict == RAISE:
             message = F.concat(F.lit("keys exist in the JSON object already: "), F.array_join(conflicts, ", "))
@@ -231,7 +234,7 @@ def enrich_columns(
     parts = [_leaves(column, data_type) for column, data_type in picked]
     parts = [part for part in parts if part is not None]
     strings = F.array_compact(F.flatten(F.array(*parts))) if parts else F.array().cast("array<string>")
-    mined = computed_once(df, "__found", _mined(rules, strings, log_type, all_events))
+    mined = with_helper(df, "__found", _mined(rules, strings, log_type, all_events), scan_once=False)
     columns = _captures(rules, F.col("__found"), log_type)
     if key in df.columns:
         columns[ORIGINAL_VALUE] = F.col(f"`{key}`")

@@ -115,12 +115,13 @@ class LogQuery:
         if self._order is None and isinstance(source, DataFrame) and not source.isStreaming:
             source = source.withColumn(_ORDER, F.monotonically_increasing_id())
         if self.is_json:
-            events = self.parser.parse(source, **self._options)
+            events = self.parser.parse(source, scan_once=bool(self._filters), **self._options)
         else:
             rules = self.parser.checked_rules()
             # captures first stay arrays in a struct, so that they cannot clash with input columns
             events = extract(
-                self.parser.events(source, **self._options), rules, MESSAGE, log_type=log_type, into="__event"
+                self.parser.events(source, **self._options), rules, MESSAGE, log_type=log_type, into="__event",
+                scan_once=bool(self._filters),
             )
             names = [*rules.capture_names, *([TIMESTAMPS] if rules.has_timestamps else [])]
             columns = {}

@@ -22,14 +22,15 @@ def _with_place(lines: DataFrame) -> DataFrame:
 
 
 def read_text_logs(
-    spark: SparkSession, path: str | Sequence[str], where: str | Column | None = None, **options
+    spark: SparkSession, path: str | Sequence[str], where: str | Column | None = None, wholetext: bool = False
 ) -> DataFrame:
     """Lines of text files. Large files are read in splits; (source, block, line) is the file order.
 
     ``where`` selects files by partition columns or ``_metadata`` before anything is read. (A later filter
-    cannot do that: Spark does not move filters below generated line numbers.)
+    cannot do that: Spark does not move filters below generated line numbers.) ``wholetext`` reads each
+    file as one text.
     """
-    lines = spark.read.options(**options).text(path if isinstance(path, str) else list(path))
+    lines = spark.read.text(path if isinstance(path, str) else list(path), wholetext=wholetext)
     if where is not None:
         lines = lines.where(where)
     return _with_place(lines)
@@ -49,10 +50,10 @@ def read_text_stream(
     Streams know no line order; ``numbered`` adds it (line, and block for pieces of 100,000 lines) by
     reading each file as a whole, which suits rolled log files. Kafka and the like have offsets instead.
     """
-    reader = spark.readStream.option("wholetext", numbered)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.text(path).select(
+    lines = reader.text(path, wholetext=numbered).select(
         F.col("value").alias(TEXT), F.col("_metadata.file_path").alias(SOURCE)
     )
     if not numbered:
@@ -62,6 +63,16 @@ def read_text_stream(
     return split.select(TEXT, SOURCE, F.floor(F.col(LINE) / 100_000).alias(BLOCK), LINE)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on input that comes in fewer splits than there are cores.
+
+    Matching is work for the processor: for a single small file it pays to move the rows first. Input with
+    enough splits, as any large input has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def from_strings(spark: SparkSession, texts: Sequence[str | bytes]) -> DataFrame:
     """In-memory texts as a table, for trying out rules."""
     if isinstance(texts, (str, bytes)):

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtables import PATTERN, RuleSet
+from logtables.sources.text import spread
 from logtables.workspace import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # ---------------------------------------------------------------- application log from events

@@ -1,5 +1,4 @@
 import random
-import re
 
 import model
 import pytest
@@ -91,3 +90,92 @@ def test_expressions_equal_the_model(spark, seed):
         pytest.skip("no valid rule in this case")
     wrong = check(spark, rules, plain, texts)
     assert not wrong, ([r.regex for r in rules.rules], wrong[:2], len(wrong))
+
+
+def only(spark, rules, text, **options):
+    row = extract(spark.createDataFrame([(text,)], "value string"), rules, **options).first().asDict()
+    row.pop("value")
+    return {name: value for name, value in row.items() if value}
+
+
+@pytest.mark.parametrize("rules, text, expected", [
+    # "." stops at a delimiter; a class may hold delimiters
+    (RuleSet().var("m", r"(?<match>d.*)"), "abc def ghi", {"match": ["def"], "log_type": "abc <match> ghi"}),
+    (RuleSet().var("m", r"(?<match>d[a-z ]*i)"), "abc def ghi", {"match": ["def ghi"], "log_type": "abc <match>"}),
+    (RuleSet().var("r", r"(?<gb>\-{0,1}[0-9]+\.[0-9]+) GiB ram"),
+     "16/05/04 04:24:58 INFO Registering worker with 1 core and 4.0 GiB ram",
+     {"gb": ["4.0"], "log_type": "16/05/04 04:24:58 INFO Registering worker with 1 core and <gb> GiB ram"}),
+    # several values, several captures
+    (RuleSet().var("u", r"user=(?<u>\d+)"), "user=123 then user=456",
+     {"u": ["123", "456"], "log_type": "user=<u> then user=<u>"}),
+    (RuleSet().var("m", r"metric=(?<n>[a-zA-Z0-9_]+) value=(?<v>\d+)"), "2024-01-01 INFO: metric=cpu value=42",
+     {"n": ["cpu"], "v": ["42"], "log_type": "2024-01-01 INFO: metric=<n> value=<v>"}),
+    # priority, ties by order, longest match first of all
+    (RuleSet().var("n", r"(?<num>\d+)", -1).var("i", r"USER:(?<id>\d{4})", 1), "USER:1234",
+     {"id": ["1234"], "log_type": "USER:<id>"}),
+    (RuleSet().var("a", r"(?<x>[0-9]+)").var("b", r"(?<y>\d+)"), "7", {"x": ["7"], "log_type": "<x>"}),
+    (RuleSet().var("a", r"(?<x>[0-9]+)").var("b", r"(?<y>\d+)", 1), "7", {"y": ["7"], "log_type": "<y>"}),
+    (RuleSet().var("a", r"(?<x>u=\d+)", 9).var("b", r"(?<y>u=\d+ x)"), "u=1 x u=2",
+     {"x": ["u=2"], "y": ["u=1 x"], "log_type": "<y> <x>"}),
+    # a match ends at a delimiter and starts after one
+    (RuleSet().var("u", r"u=(?<u>\d+)"), "u=1a xu=2 (u=3)", {"u": ["3"], "log_type": "u=1a xu=2 (u=<u>)"}),
+    (RuleSet(right_boundary=False).var("u", r"u=(?<u>\d+)"), "u=1a", {"u": ["1"], "log_type": "u=<u>a"}),
+    # timestamps are replaced as a whole and go first
+    (RuleSet().var("d", r"(?<d>\d\d:\d\d)", 100).timestamp("t", r"\d\d:\d\d"), "12:30 x",
+     {"timestamps": ["12:30"], "log_type": "<timestamp> x"}),
+    # nested captures: one placeholder, both values
+    (RuleSet().var("n", r"at=(?<outer>(?<inner>\d+)-\d+)"), "at=1-2",
+     {"outer": ["1-2"], "inner": ["1"], "log_type": "at=<outer>"}),
+    # the last repetition of a repeated capture, optional and empty captures
+    (RuleSet().var("r", r"(a(?<c>\d);){1,3}"), "a1;a2;", {"c": ["2"], "log_type": "a1;a<c>;"}),
+    (RuleSet().var("o", r"k(=(?<c>\d*))?"), "k k= k=5", {"c": ["", "5"], "log_type": "k k=<c> k=<c>"}),
+    # text that looks like placeholders, group references or the internal mark
+    (RuleSet().var("u", r"\$u=(?<u>\d+)1"), f"$u=41 <u> $1 \\ {MARK} $u=51",
+     {"u": ["4", "5"], "log_type": f"$u=<u>1 <u> $1 \\ {MARK} $u=<u>1"}),
+    (RuleSet().var("g", r"[ab]+1(?<c>[xy])2"), "ab1x2 c", {"c": ["x"], "log_type": "ab1<c>2 c"}),
+    (RuleSet().var("u", r"naïve=(?<u>[^ ]+)"), "naïve=日本 x", {"u": ["日本"], "log_type": "naïve=<u> x"}),
+])
+def test_examples(spark, rules, text, expected):
+    assert only(spark, rules, text) == expected
+
+
+def test_no_match_and_null(spark):
+    rules = RuleSet().var("u", r"user=(?<u>\d+)")
+    rows = extract(spark.createDataFrame([("nothing",), ("",), (None,)], "value string"), rules).collect()
+    assert [(r["u"], r["log_type"]) for r in rows] == [([], "nothing"), ([], ""), (None, None)]
+
+
+def test_custom_delimiters(spark):
+    rules = RuleSet.with_delimiters(r" \t\n,").var("m", r"(?<m>a.*)")
+    assert only(spark, rules, "x:a a:b/c,d") == {"m": ["a:b/c"], "log_type": "x:a <m>,d"}
+
+
+def test_capture_list_without_log_type(spark):
+    rules = RuleSet().var("u", r"user=(?<u>\d+)").var("n", r"(?<n>\d+)")
+    assert only(spark, rules, "7 user=3", log_type=False) == {"u": ["3"], "n": ["7"]}
+    assert only(spark, rules, "7 user=3", log_type=False, captures=["u"]) == {"u": ["3"]}
+    assert only(spark, rules, "7 user=3", log_type=False, types={"u": "int"}) == {"u": [3], "n": ["7"]}
+    with pytest.raises(ValueError, match="unknown capture"):
+        only(spark, rules, "x", captures=["nope"])
+    with pytest.raises(ValueError, match="already"):
+        extract(spark.createDataFrame([("a", "b")], "value string, u string"), rules)
+    with pytest.raises(TypeError):
+        extract(spark.createDataFrame([(1,)], "value int"), rules)
+
+
+def test_long_text(spark):
+    rules = RuleSet().var("n", r"(?<n>\d+)").var("u", r"\d+ (?<u>u+)")
+    text = " ".join(f"{i} u" if i % 3 == 0 else f"{i}" for i in range(20_000))
+    row = extract(spark.createDataFrame([(text,)], "value string"), rules).first()
+    assert len(row["u"]) == 6_667 and len(row["n"]) == 13_333
+    assert row["log_type"] == " ".join(f"{i} <u>" if i % 3 == 0 else "<n>" for i in range(20_000))
+
+
+def test_one_scan_and_pruning(spark):
+    rules = RuleSet().var("u", r"user=(?<u>\d+)").var("a", r"act=(?<a>[a-z]+)")
+    source = spark.range(5).select("id", F.concat(F.lit("user="), "id").alias("value"))
+    found = extract(source, rules, scan_once=True).where("u[0] > 2").where("id < 4").select("a")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1  # not repeated in the filter
+    assert "Range" in plan and plan.index("id") > plan.index("Generate")  # filter on id is below the scan
+    assert "act=<a>" not in plan  # the log type was not asked for
