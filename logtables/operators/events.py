@@ -20,7 +20,7 @@ from logtables.sources.text import BLOCK, LINE, SOURCE, TEXT, text_column
 
 MESSAGE = "message"
 ROWS_PER_CHUNK = 1_000_000
-CELLS = 4_096
+CELLS = 1_024
 
 
 def line_events(df: DataFrame, text: str = TEXT) -> DataFrame:

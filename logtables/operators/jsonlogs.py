@@ -8,6 +8,7 @@ latter the JSON text itself is scanned: a string literal that is not followed by
 from __future__ import annotations
 
 from collections.abc import Sequence
+from enum import StrEnum
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,18 @@ from logtables.sources.text import TEXT
 
 OBJECT, CONFLICTS, CORRUPT = "object", "conflicts", "_corrupt_record"
 ALL_STRINGS = "*"
-NEST, PREFIX, OVERWRITE, RAISE = "nest", "prefix", "overwrite", "raise"
+
+
+class ConflictStrategy(StrEnum):
+    """Where captures go. The plain names work as well."""
+
+    NEST = "nest"
+    PREFIX = "prefix"
+    OVERWRITE = "overwrite"
+    RAISE = "raise"
+
+
+NEST, PREFIX, OVERWRITE, RAISE = ConflictStrategy
 # Names in the enriched objects.
 EXTRACTED_KEY, EXTRACTED_PREFIX = "extracted", "extracted."
 ORIGINAL_VALUE, LOG_TYPE_KEY = "original_value", "@log_type"
@@ -126,8 +138,11 @@ def enrich_json(
     and is kept in ``_corrupt_record``. ``observe`` names a metric that counts conflicts.
     ``scan_once`` is for results that are filtered by fields of the object.
     """
-    if on_conflict not in (NEST, PREFIX, OVERWRITE, RAISE):
+    if on_conflict not in list(ConflictStrategy):
         raise ValueError(f"unknown conflict handling {on_conflict!r}")
+    for name in (OBJECT, CONFLICTS):
+        if name in df.columns:
+            raise ValueError(f"the input has a column {name!r} already: rename it")
     paths = check_fields(fields)
     source = F.col(f"`{text}`")
     others = [F.col(f"`{name}`") for name in df.columns if keep_text or name != text]

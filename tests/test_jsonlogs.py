@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from logtables import JsonLogParser, LogQuery, RuleSet, enrich_columns, enrich_json
+from logtables import ConflictStrategy, JsonLogParser, LogQuery, RuleSet, enrich_columns, enrich_json
 from logtables.operators.jsonlogs import all_strings
 from logtables.sources.json import read_json_logs
 from logtables.sources.text import from_strings
@@ -98,6 +98,7 @@ def test_raise_and_original_value(spark):
     assert result["extracted"] == {"original_value": "kept"} and conflicts == ["original_value"]
     with pytest.raises(ValueError, match="fields cannot be empty"):
         JsonLogParser(USER).target_fields([])
+    assert one(spark, on("m").on_conflict(ConflictStrategy.OVERWRITE), '{"m": "user=1"}')[0]["user_id"] == "1"
     with pytest.raises(ValueError, match="conflict"):
         one(spark, on("message").on_conflict("other"), "{}")
 

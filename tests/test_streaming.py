@@ -1,11 +1,12 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from logtables import RuleSet, assemble_events, extract
 from logtables.sources.text import read_text_stream
 from logtables.streaming.jobs import EventAssembly, run_available, stream_log_type_counts, stream_new_log_types
-from logtables.workspace import new_folder
+from logtables.workspace import new_folder, shared_folder
 
 RULES = RuleSet().timestamp("t", r"\d{4}-\d\d-\d\d").var("u", r"user=(?<u>\d+)")
 
@@ -59,6 +60,17 @@ def test_numbered_file_stream(spark, tmp_path):
     assert text == "\n".join(line for _, _, line in rows)
 
 
+class Session:
+    """Stands for a session with given settings."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder or default)})
+
+
 def test_folders(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
-    assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert new_folder(Session("spark://host", "s3a://bucket/tmp/"), "x").startswith("s3a://bucket/tmp/logtables/x-")
+    assert shared_folder(Session("local[2]", None)) == shared_folder(Session("local[2]", None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        new_folder(Session("spark://host", None), "x")
