@@ -325,23 +325,23 @@ def compatible(firsts, seconds) -> bool:
 
 
 # ---------------------------------------------------------------- alternatives
-def expand(node, wanted, after: tuple = ()) -> list:
-    """Multiply out the parts for which ``wanted(node, nodes after it)`` holds, in order of preference.
+def expand(node, wanted, before: tuple = (), after: tuple = ()) -> list:
+    """Multiply out the parts for which ``wanted(node, nodes before, nodes after)`` holds, in order of preference.
 
     A capture in a repeated group keeps its last value: ``(a(?<x>b)){2,5}`` is ``(ab){1,4}a(?<x>b)``.
     """
-    if isinstance(node, Alt) and wanted(node, after):
-        return _limited([v for option in node.options for v in expand(option, wanted, after)])
+    if isinstance(node, Alt) and wanted(node, before, after):
+        return _limited([v for option in node.options for v in expand(option, wanted, before, after)])
     if isinstance(node, Seq):
         variants = [()]
         for i, item in enumerate(node.items):
-            choice = expand(item, wanted, (*node.items[i + 1 :], *after))
+            choice = expand(item, wanted, (*before, *node.items[:i]), (*node.items[i + 1 :], *after))
             variants = _limited([(*parts, one) for parts, one in product(variants, choice)])
         return [seq(*parts) for parts in variants]
     if isinstance(node, Capture):
-        return [Capture(node.name, item) for item in expand(node.item, wanted, after)]
-    if isinstance(node, Repeat) and node.high != 0 and wanted(node, after):
-        last = expand(node.item, wanted, after)
+        return [Capture(node.name, item) for item in expand(node.item, wanted, before, after)]
+    if isinstance(node, Repeat) and node.high != 0 and wanted(node, before, after):
+        last = expand(node.item, wanted, before, after)
         if node.high != 1:
             earlier = repeat(
                 max(node.low - 1, 0),

@@ -18,10 +18,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from logtables.functions import dialect
-from logtables.functions.dialect import Alt, Capture, Seq
+from logtables.functions.dialect import Alt, Capture, Repeat, Seq
 
 MARK = "\x1e"
 MAX_PREFIXES = 9
+MAX_OPTIONS = 24
 REST = 2**31 - 1
 
 
@@ -64,11 +65,18 @@ class Matcher:
         self.variants = self._variants(nodes)
 
     # ------------------------------------------------------------ driver side: regex text
-    def _ambiguous(self, node, after: tuple) -> bool:
-        """Could an earlier option stop at a delimiter where a later option would go on?
+    def _ambiguous(self, node, before: tuple, after: tuple) -> bool:
+        """Could Java settle for a match that ends at a delimiter, where the rule has a longer one?
 
-        That needs two options which, followed by the rest of the rule, can begin alike.
+        Options of an alternation: if two of them, followed by the rest of the rule, can begin alike.
+        Something optional that holds a delimiter: if a repetition before it can take its first character.
         """
+        if isinstance(node, Repeat):
+            if node.low > 0 or not dialect.touches(node.item, self.delimiters):
+                return False
+            beginnings = [head for head, _ in dialect.heads(node.item)]
+            firsts = dialect.union(r for head in beginnings if head for r in head[0])
+            return not all(beginnings) or self._can_shift(before, firsts)
         if not isinstance(node, Alt):
             return False
         if not any(dialect.touches(item, self.delimiters) for item in (node, *after)):
@@ -80,6 +88,21 @@ class Matcher:
             for second in beginnings[i + 1 :]
         )
 
+    @staticmethod
+    def _can_shift(before: tuple, firsts: dialect.Ranges) -> bool:
+        """Can a part of variable length before this place take one of the characters?
+
+        Not if a character in between, which that part cannot take, fixes the place.
+        """
+        variable = [i for i, item in enumerate(before) if len(set(dialect.width(item))) > 1]
+        if not variable:
+            return False
+        taken = dialect.union(r for i in variable for r in dialect.alphabet(before[i]))
+        anchors = [item for item in before[variable[-1] + 1 :] if isinstance(item, dialect.Chars)]
+        if any(not dialect.overlap(anchor.ranges, taken) for anchor in anchors):
+            return False
+        return dialect.overlap(taken, firsts)
+
     def _heads(self, node):
         if not self.right:
             return [head for head, _ in dialect.heads(node)]
@@ -92,7 +115,7 @@ class Matcher:
         """
         plain = []
         for index, node in enumerate(nodes):
-            plain += [(index, dialect.without_captures(v)) for v in dialect.expand(node, self._ambiguous)]
+            plain += [(index, variant) for variant in self._options(dialect.without_captures(node))]
         heads = [self._heads(node) for _, node in plain]
         texts = [f"(?:{dialect.java(node)}){self.right}" for _, node in plain]
         bodies, group = [], groups_before
@@ -114,9 +137,26 @@ class Matcher:
             ahead = f"(?={dialect.java_class(dialect.union(r for head in firsts for r in head[0]))})"
         return f"{ahead}{left}(?:{'|'.join(bodies)})"
 
+    def _options(self, node) -> list:
+        """A rule as the options that have to be compared by length.
+
+        If these are very many, optional parts, or in the end all parts, are left to Java's greedy order.
+        """
+        def alternations(part, before, after) -> bool:
+            return isinstance(part, Alt) and self._ambiguous(part, before, after)
+
+        for wanted in (self._ambiguous, alternations):
+            try:
+                options = dialect.expand(node, wanted)
+            except dialect.RuleSyntaxError:
+                continue
+            if len(options) <= MAX_OPTIONS:
+                return options
+        return [node]
+
     def _variants(self, nodes) -> list[Variant]:
-        def wanted(node, after) -> bool:
-            return bool(dialect.captures(node)) or self._ambiguous(node, after)
+        def wanted(node, before, after) -> bool:
+            return bool(dialect.captures(node))
 
         variants: list[Variant] = []
         for node in nodes:

@@ -117,6 +117,10 @@ def only(spark, rules, text, **options):
     (RuleSet().var("a", r"(?<x>[0-9]+)").var("b", r"(?<y>\d+)", 1), "7", {"y": ["7"], "log_type": "<y>"}),
     (RuleSet().var("a", r"(?<x>u=\d+)", 9).var("b", r"(?<y>u=\d+ x)"), "u=1 x u=2",
      {"x": ["u=2"], "y": ["u=1 x"], "log_type": "<y> <x>"}),
+    # inside one rule as well: options and optional parts are compared by length
+    (RuleSet().var("o", r"(?<x>foo|foo bar)(?<y>=\d)?"), "foo bar=1 foo=2 foo",
+     {"x": ["foo bar", "foo", "foo"], "y": ["=1", "=2"], "log_type": "<x><y> <x><y> <x>"}),
+    (RuleSet().var("o", r"(?<x>[ab]+)(?<y>b a)?"), "ab a bb", {"x": ["a", "bb"], "y": ["b a"], "log_type": "<x><y> <x>"}),
     # a match ends at a delimiter and starts after one
     (RuleSet().var("u", r"u=(?<u>\d+)"), "u=1a xu=2 (u=3)", {"u": ["3"], "log_type": "u=1a xu=2 (u=<u>)"}),
     (RuleSet(right_boundary=False).var("u", r"u=(?<u>\d+)"), "u=1a", {"u": ["1"], "log_type": "u=<u>a"}),
