@@ -30,3 +30,46 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     packed = pack_documents(table(spark, sf_dir, "documents"), public_vocabulary("byte_bpe_50k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logtables.llm.decontamination import contamination
+
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+SQL["op4_benchmark_decontamination"] = r"""
+with d as (
+  select doc_id, regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lower_az
+        from documents)),
+b as (
+  select item_id, regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from (select item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lower_az
+        from benchmark)),
+windows as (
+  select distinct item_id, least(13, len(w)) as n,
+         unnest(list_transform(range(1, greatest(1, len(w) - 12) + 1), lambda i: array_to_string(w[i:i + least(13, len(w)) - 1], ' '))) as win
+  from b where len(w) > 0 and item_id is not null),
+sizes as (select distinct n from windows),
+places as (
+  select doc_id, n, unnest(range(1, len(w) - n + 2)) as pos, w
+  from d, sizes where len(w) >= n),
+grams as (select doc_id, n, pos, array_to_string(w[pos:pos + n - 1], ' ') as win from places),
+hits as (select g.doc_id, g.n, g.pos, x.item_id from grams g join windows x on g.win = x.win and g.n = x.n),
+words as (
+  select doc_id, count(distinct word) as n_hit
+  from (select doc_id, unnest(range(pos, pos + n)) as word from (select distinct doc_id, n, pos from hits)) group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names
+  from (select distinct doc_id, item_id::varchar as item from hits) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(names, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join words using (doc_id) left join items using (doc_id)"""
