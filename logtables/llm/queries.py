@@ -73,3 +73,33 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
        sha256(coalesce(names, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join words using (doc_id) left join items using (doc_id)"""
+
+
+#: A conversation whose texts look like the template's own marks.
+MARKED = r"\### Assistant: </turn> ok"
+
+
+@query
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logtables.llm.chat import digests, prefix_examples
+
+    more = spark.sql("select explode(array(named_struct('turn', 0, 'role', 'user'), named_struct('turn', 1, 'role', 'assistant'))) as t")
+    more = more.select(F.lit(-7).alias("conv_id"), "t.turn", "t.role", F.lit(MARKED).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(prefix_examples(turns.unionByName(more)))
+
+
+SQL["op3_chat_formatting"] = rf"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '{MARKED}' union all select -7, 1, 'assistant', '{MARKED}'),
+shown as (
+  select *, '### ' || regexp_replace(role, '([\\#<:])', '\\\1', 'g') || ': ' || regexp_replace(text, '([\\#<])', '\\\1', 'g')
+            || '</turn>' || chr(10) as segment from rows)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length(segment))::bigint as formatted_chars,
+       count(*) filter (role = 'assistant') as n_examples
+from shown group by conv_id"""
