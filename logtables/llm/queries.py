@@ -103,3 +103,11 @@ select conv_id, count(*) as n_turns,
        sum(length(segment))::bigint as formatted_chars,
        count(*) filter (role = 'assistant') as n_examples
 from shown group by conv_id"""
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logtables.llm.html_text import extract_main_text
+
+    texts = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
