@@ -111,3 +111,22 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     texts = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logtables.llm.topk import top_k
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+SQL["op5_exact_topk"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+select query_id, rank::int as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5"""
