@@ -27,8 +27,8 @@ BLOCK = 128
 SHARD = 4096
 #: Possible members, as a share of the shard, that end the processing of segments.
 FEW = 0.02
-#: Quantised components beyond this are scored with Python's integers.
-LARGE = 1 << 24
+#: Sums of products below this are exact as doubles; larger ones are made with Python's integers.
+EXACT = 1 << 53
 
 
 def quantised(vectors: DataFrame, vec_id: str, embedding: str, scale: float = 256.0) -> DataFrame:
@@ -48,53 +48,62 @@ def matrix(lists: list[np.ndarray], width: int) -> np.ndarray:
 
 
 class ImpactIndex:
-    """Posting segments of one shard."""
+    """Posting segments of one shard.
+
+    A segment has the postings of one impact as rows of a matrix: the vectors that have such a posting, with zeros for
+    their other components. So a segment meets a block of queries in one matrix product. Sums are whole numbers below
+    2^53 and thus exact as doubles.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        size = np.abs(vectors)
-        level = np.frexp(size.astype("f8"))[1]  # 0 for zeros, which have no posting
-        self.segments: list[tuple[int, list[tuple[int, np.ndarray, np.ndarray]]]] = []
+        self.ids, self.vectors = ids, vectors.astype("f8")
+        size = np.abs(self.vectors)
+        level = np.frexp(size)[1]  # 0 for zeros, which have no posting
+        self.segments: list[tuple[int, np.ndarray, np.ndarray]] = []
+        self.left: list[np.ndarray] = []  # lengths of what is left of each vector after a segment
         for impact in np.unique(level[level > 0])[::-1].tolist():
-            postings = []
-            for dim in range(vectors.shape[1]):
-                at = np.flatnonzero(level[:, dim] == impact)
-                if len(at):
-                    postings.append((dim, at, vectors[at, dim]))
-            self.segments.append((impact, postings))
-        # squared lengths of what is left of each vector after an impact
-        self.left = [np.where(level < impact, size.astype("f8") ** 2, 0).sum(axis=1) for impact, _ in self.segments]
-        self.level = level
+            at = np.flatnonzero((level == impact).any(axis=1))
+            self.segments.append((impact, at, np.where(level[at] == impact, self.vectors[at], 0)))
+            self.left.append(np.sqrt(np.where(level < impact, size * size, 0).sum(axis=1)))
 
     def top(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each query its k best of the shard, without itself: (query's number, ids, scores)."""
         n, few = len(self.ids), max(4 * k, int(FEW * len(self.ids)))
-        scores = np.zeros((n, len(queries)), "i8")
-        own = self.ids[:, None] == query_ids[None, :]
+        queries = queries.astype("f8")
         waiting = np.arange(len(queries))
-        absolute, norm = np.abs(queries).sum(axis=1), np.sqrt((queries.astype("f8") ** 2).sum(axis=1))
-        for step, (impact, postings) in enumerate(self.segments):
-            part = np.ascontiguousarray(queries[waiting])
-            sums = scores[:, waiting]
-            for dim, at, values in postings:
-                sums[at] += values[:, None] * part[:, dim][None, :]
-            scores[:, waiting] = sums
+        sums = np.zeros((len(queries), n))
+        own = np.nonzero(query_ids[:, None] == self.ids[None, :])
+        sums[own] = -np.inf  # and so it stays
+        for step, (impact, at, postings) in enumerate(self.segments):
+            part = queries[waiting]
+            if len(at) == n:
+                sums += part @ postings.T
+            else:
+                sums[:, at] += part @ postings.T
             last = step == len(self.segments) - 1
-            largest = 0 if last else (1 << (impact - 1)) - 1
-            rest = np.minimum(np.sqrt(self.left[step])[:, None] * norm[waiting] * (1 + 1e-9) + 1, largest * absolute[waiting].astype("f8"))
-            low = np.where(own[:, waiting], -np.inf, sums - rest)
-            high = np.where(own[:, waiting], -np.inf, sums + rest)
-            bound = np.partition(low, n - k, axis=0)[n - k] if n > k else np.full(len(waiting), -np.inf)
-            possible = (high >= bound) & ~own[:, waiting]
-            done = (possible.sum(axis=0) <= few) | last
-            for column in np.flatnonzero(done):
-                at = np.flatnonzero(possible[:, column])
-                yield self.best(int(waiting[column]), at, self.vectors[at] @ queries[waiting[column]], k)
-            waiting = waiting[~done]
+            most = 0.0 if last else float((1 << (impact - 1)) - 1)
+            bound = most * np.abs(part).sum(axis=1)
+            norm = np.sqrt((part * part).sum(axis=1)) * (1 + 1e-9)
+            left = self.left[step]
+            # nothing can be proven while what is to come outweighs the best sums; saves the bounds, skips no segment
+            if not last and np.minimum(bound, norm * np.median(left)).mean() > sums.max(axis=1).mean():
+                continue
+            rest = np.minimum(norm[:, None] * left[None, :], bound[:, None])
+            least = np.full(len(waiting), -np.inf)
+            if n > k:
+                least = np.partition(sums - rest, n - k, axis=1)[:, n - k]
+            possible = (sums + rest >= least[:, None]) & (sums > -np.inf)
+            done = (possible.sum(axis=1) <= few) | last
+            for row in np.flatnonzero(done):
+                at = np.flatnonzero(possible[row])
+                exact = (self.vectors[at] @ part[row]).astype("i8")
+                yield self.best(int(waiting[row]), at, exact, k)
+            waiting, sums = waiting[~done], sums[~done]
             if not len(waiting):
                 return
-        for column in waiting:  # no postings at all: every score is 0
-            yield self.best(int(column), np.flatnonzero(~own[:, column]), np.zeros(int((~own[:, column]).sum()), "i8"), k)
+        for row in range(len(waiting)):  # no postings at all: every score is 0
+            at = np.flatnonzero(sums[row] > -np.inf)
+            yield self.best(int(waiting[row]), at, np.zeros(len(at), "i8"), k)
 
     def best(self, query: int, at: np.ndarray, exact: np.ndarray, k: int):
         order = np.lexsort((self.ids[at], -exact))[:k]
@@ -139,14 +148,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
         for batch in batches:
             for row in range(batch.num_rows):
                 ids, lists = unnested(batch.column(0).slice(row, 1))
-                large = any(len(x) and np.abs(x).max() > LARGE for x in lists)
-                width = max(map(len, lists))
-                index = None if large else ImpactIndex(ids, matrix(lists, width))
+                width, largest = max(map(len, lists)), largest_of(lists)
+                index = None if largest * largest * width >= EXACT else ImpactIndex(ids, matrix(lists, width))
                 out: tuple[list, list, list] = ([], [], [])
                 groups = batch.column(1).slice(row, 1).flatten()
                 for g in range(len(groups)):
                     query_ids, query_lists = unnested(groups.slice(g, 1))
-                    if large or any(len(x) and np.abs(x).max() > LARGE for x in query_lists):
+                    if not index or largest_of(query_lists) * largest * width >= EXACT:
                         plain = [x.tolist() for x in lists]
                         for i, x in zip(query_ids.tolist(), query_lists):
                             found = exact_best(ids.tolist(), plain, i, x.tolist(), k)
@@ -166,6 +174,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def largest_of(lists: list[np.ndarray]) -> int:
+    return max((max(int(x.max()), -int(x.min())) for x in lists if len(x)), default=0)
+
+
 def unnested(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     """Ids and components of one list of (id, components)."""
     structs = column.flatten()
