@@ -17,6 +17,7 @@ the executors look up each piece's place by its length and rank.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -32,6 +33,8 @@ from logtables.llm.common import stored
 CAPACITY = 2048
 #: Words kept with their ids while a task runs.
 MEMO_WORDS = 400_000
+#: Texts whose new words are merged in one call.
+GROUP = 500
 SPECIAL = "<|endoftext|>"
 #: The public split pattern of this byte-level vocabulary.
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -42,8 +45,8 @@ class ByteTokenizer:
 
     Two characters other than white space with one blank between them are never in one token, and the blank belongs
     to what follows it. So texts are cut there, and the ids of each part are looked up if it was seen before.
-    ``tiktoken`` merges with the ranks of the same file. The string of the special token is a token of its own;
-    texts that hold it go to the ``tokenizers`` library as they are.
+    ``tiktoken`` merges with the ranks of the same file; the new parts of a batch are merged in one call. The string
+    of the special token is a token of its own; texts that hold it go to the ``tokenizers`` library as they are.
     """
 
     def __init__(self, path: str):
@@ -57,7 +60,9 @@ class ByteTokenizer:
         shown |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
         ranks = {bytes(shown[c] for c in token): i for token, i in vocabulary.items() if token != SPECIAL}
         self.encode = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.memo: dict[str, bytes] = {}
+        self.sizes = np.zeros(max(ranks.values()) + 1, "i8")
+        self.sizes[list(ranks.values())] = [len(token) for token in ranks]
+        self.memo: dict[str, bytes] = {}  # ids of a blank and the word
         self.whole = None
 
     def slow(self, text: str) -> bytes:
@@ -66,36 +71,50 @@ class ByteTokenizer:
         self.whole = self.whole or Tokenizer.from_file(self.path)
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def part(self, text: str) -> bytes:
+    def direct(self, text: str) -> bytes:
+        return np.asarray(self.encode(text), "<u4").tobytes()
+
+    def learn(self, words: list[str]) -> None:
+        """Put words that neither begin nor end with white space into the memo, each with a blank before it."""
+        ids = np.asarray(self.encode(" " + " ".join(words)), "<u4")
+        ends = np.cumsum(self.sizes[ids])
+        bounds = np.searchsorted(ends, np.cumsum([len(w.encode()) + 1 for w in words]), "left") + 1
+        data, start = ids.tobytes(), 0
+        for word, end in zip(words, (4 * bounds).tolist()):
+            self.memo[word] = data[start:end]
+            start = end
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text; null and empty texts have none."""
         if len(self.memo) >= MEMO_WORDS:
             self.memo.clear()
-        ids = self.memo[text] = np.asarray(self.encode(text), "<u4").tobytes()
-        return ids
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if SPECIAL in text:
-            return self.slow(text)
-        words = text.split(" ")
-        if any(not w or w[0].isspace() or w[-1].isspace() for w in words):
-            words = joined_blanks(words)
-        else:
-            words[1:] = [" " + w for w in words[1:]]
-        found = self.memo.get
-        return b"".join([found(w) or self.part(w) for w in words])
-
-
-def joined_blanks(words: list[str]) -> list[str]:
-    """The words with their blanks; those that touch other white space stay in one piece."""
-    parts, last = [words[0]], words[0]
-    for word in words[1:]:
-        if last and word and not last[-1].isspace() and not word[0].isspace():
-            parts.append(" " + word)
-        else:
-            parts[-1] += " " + word
-        last = word
-    return [p for p in parts if p]
+        cut = [t.split(" ") if t and SPECIAL not in t and not odd_blanks(t) else None for t in texts]
+        new: set[str] = set()
+        for words in cut:
+            if words:
+                new.update(set(words[1:]).difference(self.memo))
+        if new:
+            self.learn(list(new))
+        known, out = self.memo.__getitem__, []
+        for text, words in zip(texts, cut):
+            if words:
+                out.append(self.direct(words[0]) + b"".join(map(known, words[1:])))
+            elif not text:
+                out.append(b"")
+            else:
+                out.append(self.slow(text) if SPECIAL in text else self.direct(text))
+        return out
+
+
+ODD_BLANKS = re.compile(r"\A | \s|[^\S ] |\s\Z").search
+
+
+def odd_blanks(text: str) -> bool:
+    """Whether a blank is beside other white space or an end: there the cut at blanks fails, so such a text is merged whole.
+
+    If all white space is single blanks and line feeds inside the text, which is quick to see, none is.
+    """
+    return len(text.split()) != text.count(" ") + text.count("\n") + 1 and bool(ODD_BLANKS(text))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text",
@@ -114,8 +133,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_
         tokens = ByteTokenizer(tokenizer)
         for batch in batches:
             rows, pieces, starts, lengths, sums, ids = [], [], [], [], [], []
-            for row, value in enumerate(batch.column(1).to_pylist()):
-                data = tokens.ids(value) + bytes(4)
+            texts = batch.column(1)
+            data_of = (d for i in range(0, len(texts), GROUP) for d in tokens.ids(texts.slice(i, GROUP).to_pylist()))
+            for row, data in enumerate(data_of):
+                data += bytes(4)
                 n = len(data) // 4
                 bounds = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
@@ -238,8 +259,9 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY, partitions: int | None
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bad = F.raise_error(F.lit(f"a piece's length must be from 1 to {capacity}")).cast("bigint")
     checked = F.when(F.col("length").between(1, capacity), F.col("length").cast("bigint")).otherwise(bad)
-    # the second key spreads equal lengths over several ranges
+    # the second key spreads equal lengths over several ranges; written first, as a range sort reads its input twice
     rows = pieces.select(F.struct(*names).alias("row"), checked.alias("length"), F.xxhash64(*names).alias("spread"))
+    rows = stored(rows, "pieces")
     ranged = rows.repartitionByRange(n, "length", "spread").sortWithinPartitions("length", "spread")
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
