@@ -130,3 +130,10 @@ scored as (
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
 select query_id, rank::int as rank, vec_id, score from (
   select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5"""
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logtables.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), public_vocabulary("piece_bpe_32k.model"))
