@@ -137,3 +137,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logtables.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), public_vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a directory per source, language and hundred ids, its first document the licence file."""
+    from logtables.llm.licenses import scan_licenses
+
+    name = F.when(F.col("doc_id") % 100 == 0, "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), name)
+    files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return scan_licenses(files, "path")
