@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtables.llm.common import table
+from logtables.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -148,3 +148,18 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), name)
     files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
     return scan_licenses(files, "path")
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str):
+    from logtables.llm.toxicity import fit_toxicity
+
+    return fit_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logtables.llm.toxicity import score_toxicity
+
+    scored = score_toxicity(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
