@@ -163,3 +163,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def quality_model(spark: SparkSession, sf_dir: str):
+    from logtables.llm.quality import fit_quality
+
+    return fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logtables.llm.quality import score_quality
+
+    scored = score_quality(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
