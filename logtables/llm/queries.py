@@ -178,3 +178,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_quality(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logtables.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
