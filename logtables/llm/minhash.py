@@ -2,10 +2,10 @@
 
 1. One scan makes each document's set of word shingles, its digest and a signature of 64 values of 16 bits. Documents
    with one digest are one class, and only classes go on.
-2. Signatures are cut into 13 chunks. Two that differ in at most 25 values have a chunk with at most one
+2. Signatures are cut into m chunks. Two that differ in fewer than 2 m values have a chunk with at most one
    difference, by the pigeonhole principle. For each chunk the one allowed error is enumerated: every value in turn is left
-   out, and what remains is a key. So all pairs within that distance meet under a key. (Of 64 values, those that differ
-   at similarity 0.85 are 9.6 on average; more than 25 have a probability below 1e-6.)
+   out, and what remains is a key. So all pairs within that distance meet under a key. m is the least for which two
+   sets at the similarity threshold differ in more values with a probability below 1e-6: 13 for 0.85, 16 for 0.8.
 3. Classes that share a key are compared by signature, in units of two blocks of bounded size; keys with the same
    members count once. A unit gives a spanning forest of the pairs within the distance, not the pairs. Connected, these
    are groups outside of which no link can be.
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import groupby
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,8 @@ from pyspark.sql import functions as F
 from logtables.llm.common import stored
 from logtables.llm.components import connected_components
 
-VALUES, CHUNKS = 64, 13
-#: Differing values that the index guarantees to find: less than two errors for each chunk.
-DISTANCE = 2 * CHUNKS - 1
+VALUES = 64
+MISSED = 1e-6
 BLOCK = 512
 MEMO_WORDS = 400_000
 _RANDOM = np.random.default_rng(20)
@@ -41,6 +41,16 @@ _STEPS = _RANDOM.integers(1, 2**63, 64, dtype="u8") * np.uint64(2) + np.uint64(1
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def chunks_for(percent: int) -> int:
+    """Chunks whose distance, less than two errors for each, holds all but ``MISSED`` of pairs at the threshold."""
+    p = 1 - percent / 100
+    beyond, chunks = 1.0, 0
+    while beyond >= MISSED and chunks < VALUES // 2:
+        chunks += 1
+        beyond = sum(comb(VALUES, k) * p**k * (1 - p) ** (VALUES - k) for k in range(2 * chunks, VALUES + 1))
+    return chunks
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -81,9 +91,9 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mixed(lowest) & np.uint64(0xFFFF)).astype("u2")
 
 
-def chunk_keys(signatures: np.ndarray) -> np.ndarray:
+def chunk_keys(signatures: np.ndarray, chunks: int) -> np.ndarray:
     """All keys of each signature: one for each value, of its chunk without it."""
-    bounds = np.linspace(0, VALUES, CHUNKS + 1).round().astype(int)
+    bounds = np.linspace(0, VALUES, chunks + 1).round().astype(int)
     values, keys = signatures.astype("u8"), []
     for a, b in zip(bounds, bounds[1:]):
         for left_out in range(a, b):
@@ -113,13 +123,13 @@ class Forest:
         return i != j
 
 
-def within_distance(signatures: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def within_distance(signatures: np.ndarray, first: np.ndarray, second: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of the two lists of positions within the distance: (position, position, distance), the nearest first."""
     out = []
     for i in range(0, len(first), 64):
         part = first[i: i + 64]
         distance = (signatures[part][:, None, :] != signatures[second][None, :, :]).sum(axis=2, dtype="u1")
-        a, b = np.nonzero(distance <= DISTANCE)
+        a, b = np.nonzero(distance <= most)
         out.append((part[a], second[b], distance[a, b]))
     a, b, distance = (np.concatenate(x) for x in zip(*out))
     once = a < b if first is second else a != b
@@ -139,11 +149,11 @@ def units(members: DataFrame, group: str, size: str, node: str, block: int) -> D
     return other.withColumn("first", F.least("block", "other")).withColumn("last", F.greatest("block", "other")).drop("other")
 
 
-def forests(rows: DataFrame, group: str, node: str, values: list[str], confirm: Callable[[], Callable]) -> DataFrame:
+def forests(rows: DataFrame, group: str, node: str, values: list[str], confirm: Callable[[], Callable], most: int) -> DataFrame:
     """Links (a, b) that connect what belongs together in each unit: every member of a tree with its smallest.
 
     ``confirm`` makes, once per task, a function of the unit's value columns that returns (signatures, test), where
-    test(i, j) tells whether a pair within the signature distance is a link.
+    test(i, j) tells whether a pair is a link; pairs that differ in more than ``most`` values aren't tested.
     """
     kind = rows.schema[node].dataType.simpleString()
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -165,7 +175,7 @@ def forests(rows: DataFrame, group: str, node: str, values: list[str], confirm:
             second = first if key[1] == key[2] else np.flatnonzero(blocks == key[2])
             forest = Forest(len(members))
             if len(first) and len(second):
-                for i, j, _ in zip(*(x.tolist() for x in within_distance(signatures, first, second))):
+                for i, j, _ in zip(*(x.tolist() for x in within_distance(signatures, first, second, most))):
                     if forest.root(i) != forest.root(j) and test(i, j):
                         forest.join(i, j)
             for i, member in enumerate(members):
@@ -216,11 +226,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     """doc_id, n_shingles, component_id, kept, a row per row of docs.
 
     Documents are linked if 100 times the intersection of their sets is at least ``percent`` times the union;
-    component_id is the smallest doc_id that links reach, kept tells whether it is the document's own. The index is laid
-    out for 80 percent and more. Documents without words (null, empty or blank texts) are linked with nothing, nor are rows
+    component_id is the smallest doc_id that links reach, kept tells whether it is the document's own. Documents without words (null, empty or blank texts) are linked with nothing, nor are rows
     without an id, whose component is null and which aren't kept. Rows with one id are one document; of several texts that
     have words, the one with the smallest digest stands for it. Other columns are left out; an empty table gives no rows.
     """
+    chunks = chunks_for(percent)
+    most = 2 * chunks - 1
     kind = docs.schema[doc_id].dataType.simpleString()
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     chosen = chosen.select("doc_id", "text", F.xxhash64("text").alias("content"))
@@ -255,7 +266,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
         for batch in batches:
             if batch.num_rows:
                 signatures = np.frombuffer(b"".join(batch.column(1).to_pylist()), "u2").reshape(-1, VALUES)
-                keys = chunk_keys(signatures)
+                keys = chunk_keys(signatures, chunks)
                 nodes = batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), keys.shape[1])))
                 yield pa.RecordBatch.from_arrays([nodes, pa.array(keys.ravel())], ["node", "key"])
 
@@ -266,7 +277,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     met = stored(met.select("key", "n"), "shared-keys")
     members = stored(keys.join(met, "key").select("key", "n", "node"), "key-members")
     compared = units(members, "key", "n", "node", block).join(nodes, "node")
-    near = forests(compared, "key", "node", ["signature"], by_signature)
+    near = forests(compared, "key", "node", ["signature"], by_signature, most)
     groups = stored(connected_components(near, "near"), "groups")
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     grouped = groups.join(sizes, "component").join(nodes, "node")
@@ -274,7 +285,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     wanted = grouped.select("node", "component", "n", "signature", F.col("content").alias("c"))
     texts = chosen.join(wanted, (F.col("doc_id") == F.col("node")) & (F.col("content") == F.col("c")))
     texts = texts.groupBy("node").agg(*(F.first(c).alias(c) for c in ("component", "n", "signature", "text")))
-    confirmed = forests(units(texts, "component", "n", "node", block), "component", "node", ["signature", "text"], by_sets(shingle, percent))
+    confirmed = forests(units(texts, "component", "n", "node", block), "component", "node", ["signature", "text"], by_sets(shingle, percent), most)
     components = connected_components(confirmed, "links")
     of_class = classes.join(components, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component_id"))
     of_id = linked.join(of_class, ["high", "low"]).select("doc_id", "component_id")
@@ -282,3 +293,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(alone & F.col("component_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs without those that aren't the smallest id of their component; all columns stay.
+
+    Of rows that share an id one stays. Rows without an id stay, as they are linked with nothing.
+    """
+    found = stored(near_duplicates(docs, shingle, percent, doc_id, text).where("doc_id is not null").select("doc_id", "kept"), "near-duplicates")
+    gone = found.where("not kept").select(F.col("doc_id").alias(doc_id)).distinct()
+    repeated = found.where("kept").groupBy(F.col("doc_id").alias(doc_id)).agg(F.count("*").alias("n")).where("n > 1").select(doc_id)
+    rest = docs.join(gone, doc_id, "left_anti")
+    if not repeated.isEmpty():
+        rest = rest.join(repeated, doc_id, "left_anti").unionByName(rest.join(repeated, doc_id, "left_semi").dropDuplicates([doc_id]))
+    return rest.select(*docs.columns)
