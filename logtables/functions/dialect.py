@@ -28,7 +28,8 @@ SHORTHAND = {
     "s": ((0x09, 0x0A), (0x0D, 0x0D), (0x20, 0x20)),
     "w": ((0x30, 0x39), (0x41, 0x5A), (0x5F, 0x5F), (0x61, 0x7A)),
 }
-MAX_VARIANTS = 256
+#: Combinations of alternatives that one rule may have; a rule with more is refused when it is added.
+MAX_VARIANTS = 4096
 HEAD_LENGTH = 24
 HEAD_COUNT = 96
 
@@ -239,6 +240,25 @@ def width(node) -> tuple[int, int | None]:
     return width(node.item)
 
 
+def count(node, ranges: Ranges) -> tuple[int, int | None]:
+    """How many characters of a set a match holds: least and most; ``None`` means unbounded."""
+    if isinstance(node, Chars):
+        inside = not overlap(node.ranges, complement(ranges))
+        return int(inside), int(overlap(node.ranges, ranges))
+    if isinstance(node, (Seq, Alt)):
+        parts = [count(item, ranges) for item in children(node)]
+        lows, highs = [low for low, _ in parts], [high for _, high in parts]
+        if isinstance(node, Alt):
+            return min(lows), None if None in highs else max(highs)
+        return sum(lows), None if None in highs else sum(highs)
+    if isinstance(node, Repeat):
+        low, high = count(node.item, ranges)
+        if high == 0 or node.high == 0:
+            return low * node.low, 0
+        return low * node.low, None if high is None or node.high is None else high * node.high
+    return count(node.item, ranges)
+
+
 def literal(node) -> str | None:
     """The only text the node matches, or ``None`` if it can match several."""
     if isinstance(node, Chars):
@@ -353,12 +373,53 @@ def expand(node, wanted, before: tuple = (), after: tuple = ()) -> list:
     return [node]
 
 
+def expand_few(node, wanted) -> list:
+    """The same as ``expand`` if there is one option; otherwise some list of more than one."""
+    try:
+        return expand(node, wanted)
+    except RuleSyntaxError:
+        return [node, node]
+
+
 def _limited(variants):
     if len(variants) > MAX_VARIANTS:
         raise RuleSyntaxError(f"the rule has more than {MAX_VARIANTS} combinations of alternatives")
     return variants
 
 
+def read_at_once(node) -> bool:
+    """Can one regex tell which captures took part? Yes if none can be empty and none is in a repeated group."""
+    if isinstance(node, Capture):
+        return width(node)[0] > 0 and read_at_once(node.item)
+    if isinstance(node, Repeat) and captures(node) and node.high != 1:
+        return False
+    return all(read_at_once(child) for child in children(node))
+
+
+def parts(node) -> tuple[str, list[str | None]]:
+    """Java regex in which each capture and all text between captures is a group; the groups' captures or None."""
+    if not captures(node):
+        return (f"({java(node)})", [None]) if width(node) != (0, 0) else ("", [])
+    if isinstance(node, Capture):
+        return f"({java(node.item)})", [node.name]
+    if isinstance(node, Seq):
+        text, names, run = "", [], []
+        for item in (*node.items, None):
+            if item is not None and not captures(item):
+                run.append(item)
+                continue
+            for piece in ([seq(*run)] if run else []) + ([item] if item is not None else []):
+                more, found = parts(piece)
+                text, names = text + more, names + found
+            run = []
+        return text, names
+    texts = [parts(child) for child in children(node)]
+    names = [name for _, found in texts for name in found]
+    if isinstance(node, Alt):
+        return "(?:" + "|".join(text for text, _ in texts) + ")", names
+    return f"(?:{texts[0][0]})" + ("?" if node.low == 0 else ""), names
+
+
 # ---------------------------------------------------------------- Java regex text
 _PLAIN = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_ =<>\"'~")
 
@@ -387,20 +448,102 @@ def java_class(ranges: Ranges) -> str:
     return f"[{'^' if negated else ''}{body}]"
 
 
-def java(node, groups: list[str] | None = None) -> str:
-    """Java regex for the node. With ``groups``, captures become numbered groups, named in that list."""
+def first(node) -> tuple[Ranges, bool]:
+    """The characters a match can begin with, and whether the node matches the empty text."""
+    if isinstance(node, Chars):
+        return node.ranges, False
+    if isinstance(node, Alt):
+        found = [first(option) for option in node.options]
+        return union(r for ranges, _ in found for r in ranges), any(empty for _, empty in found)
+    if isinstance(node, Seq):
+        ranges: list = []
+        for item in node.items:
+            own, empty = first(item)
+            ranges += own
+            if not empty:
+                return union(ranges), False
+        return union(ranges), True
+    ranges, empty = first(node.item)
+    return ranges, empty or (isinstance(node, Repeat) and node.low == 0)
+
+
+def _segments(node) -> tuple | None:
+    """(segment, separator) of an unbounded repetition of segments, each ended by a character that is not in it."""
+    if not isinstance(node, Repeat) or node.high is not None or captures(node) or not isinstance(node.item, Seq):
+        return None
+    *segment, separator = node.item.items
+    if not segment or not isinstance(separator, Chars) or touches(Seq(tuple(segment)), separator.ranges):
+        return None
+    return Seq(tuple(segment)), separator
+
+
+def _flat_loop(items: tuple, follow: Ranges, right: str, delimiters: Ranges) -> str | None:
+    """The first of the items, a repetition of segments, in a form that Java runs as a loop; None if it must be able to step back.
+
+    Java calls itself for every round of a repetition it may have to step back in, and a long text ends the JVM's stack.
+    There is nothing to step back to where the end of the repetition and of what follows it is certain: what comes
+    next can be no character of theirs. Where segments end at a delimiter, a match may end there, so a round is done only
+    if the next segment, or some of it, can end the match as well.
+    """
+    segment, separator = _segments(items[0])
+    taken, rest = alphabet(items[0]), list(items[1:])
+    tail = []
+    while rest:
+        ranges, empty = first(rest[0])
+        if not empty and not overlap(ranges, union((*taken, *(r for item in tail for r in alphabet(item))))):
+            follow = ranges
+            break
+        tail.append(rest.pop(0))
+    held = union((*taken, *(r for item in tail for r in alphabet(item))))
+    low = items[0].low
+    times = {0: "*+", 1: "++"}.get(low, f"{{{low},}}+")
+    if not overlap(follow, held) and not touches(Seq(tuple(tail)), separator.ranges):
+        return f"(?:(?>{java(segment)}){java(separator)}){times}"
+    last = tail[0] if len(tail) == 1 and not rest else None
+    while isinstance(last, Capture):
+        last = last.item
+    same = len(segment.items) == 1 and segment.items[0] == last and isinstance(last, Repeat) and isinstance(last.item, Chars)
+    if right and same and last.low == 1 and last.high is None and not overlap(separator.ranges, complement(delimiters)):
+        return f"(?:(?>{java(segment)}){java(separator)}(?={java(last)}{right})){times}"
+    return None
+
+
+def java(node, groups: list[str] | None = None, follow: Ranges | None = None, right: str = "", delimiters: Ranges = ()) -> str:
+    """Java regex for the node. With ``groups``, captures become numbered groups, named in that list.
+
+    ``follow`` tells which characters, or the end, come after a match; ``right`` is the test for that, which the caller
+    puts after the whole.
+    """
     if isinstance(node, Chars):
         return java_class(node.ranges)
     if isinstance(node, Seq):
-        return "".join(java(item, groups) for item in node.items)
+        text, after, tests = [], follow, right
+        following = []
+        for item in reversed(node.items):
+            following.append((after, tests))
+            if after is not None:
+                ranges, empty = first(item)
+                after = union((*ranges, *after)) if empty else ranges
+            tests = ""
+        for i, (item, (after, tests)) in enumerate(zip(node.items, reversed(following))):
+            loop = None
+            if follow is not None and _segments(item):
+                loop = _flat_loop(node.items[i:], follow, right, delimiters)
+            text.append(loop or java(item, groups, after, tests, delimiters))
+        return "".join(text)
     if isinstance(node, Alt):
-        return "(?:" + "|".join(java(option, groups) for option in node.options) + ")"
+        return "(?:" + "|".join(java(option, groups, follow, right, delimiters) for option in node.options) + ")"
     if isinstance(node, Capture):
         if groups is None:
-            return f"(?:{java(node.item)})"
+            return f"(?:{java(node.item, None, follow, right, delimiters)})"
         groups.append(node.name)
-        return f"({java(node.item, groups)})"
-    inner = java(node.item, groups)
+        return f"({java(node.item, groups, follow, right, delimiters)})"
+    if follow is not None and _segments(node):
+        loop = _flat_loop((node,), follow, right, delimiters)
+        if loop:
+            return loop
+    inside = None if follow is None else union((*first(node.item)[0], *follow)) if node.high != 1 else follow
+    inner = java(node.item, groups, inside, right if node.high == 1 else "", delimiters)
     if isinstance(node.item, (Seq, Repeat)):
         inner = f"(?:{inner})"
     low, high = node.low, node.high

@@ -2,9 +2,12 @@ r"""Column expressions that apply a rule set to a text column, made of built-in
 
 *One* regex finds all matches of all rules in one pass over the text. A match starts at the start of the
 text or after a delimiter and ends before a delimiter or at the end. Where two rules can match at the same
-place, the longest match wins and ties go to the rule order. Java tries alternatives in order, so an
-alternative that another one may outgrow is guarded: it is refused when the other one's match leaves
-less text behind it. Rules that can never start alike (``user=``, ``action=``) need no guard.
+place, the longest match wins and ties go to the rule order. Java tries alternatives in order. As every match
+ends before a delimiter or at the end, of two matches at one place the one with more delimiters inside is the
+longer one, and with as many they are equal. So alternatives go by falling number of delimiters. Where that
+number varies, an alternative that a later one may beat is guarded: it is refused when the other one's match
+leaves less of the run of characters that the two can take. Rules that can never start alike (``user=``,
+``action=``) need no guard.
 
 The captures are then read from the short matched texts, not from the whole line.
 """
@@ -22,7 +25,7 @@ from logtables.functions.dialect import Alt, Capture, Repeat, Seq
 
 MARK = "\x1e"
 MAX_PREFIXES = 9
-MAX_OPTIONS = 24
+ENDED = (dialect.END, dialect.END)
 REST = 2**31 - 1
 
 
@@ -41,6 +44,7 @@ class Variant:
     refused: str = ""
     prefix: str = ""
     by_prefix: bool = False  # a match that begins with the prefix can only be of this variant
+    optional: bool = False  # captures that took no part read as empty
     certain: bool = False  # the prefixes of all variants tell whether a match is of this one
 
 
@@ -115,21 +119,28 @@ class Matcher:
         """
         plain = []
         for index, node in enumerate(nodes):
-            plain += [(index, variant) for variant in self._options(dialect.without_captures(node))]
-        heads = [self._heads(node) for _, node in plain]
-        texts = [f"(?:{dialect.java(node)}){self.right}" for _, node in plain]
+            plain += [(index, option) for option in self._options(dialect.without_captures(node))]
+        if self.right:
+            counts = [dialect.count(option, self.delimiters) for _, option in plain]
+        else:
+            counts = [dialect.width(option) for _, option in plain]
+        order = sorted(range(len(plain)), key=lambda i: -counts[i][0])  # ties keep the rule order
+        texts = [f"(?:{self._java(option)}){self.right}" for _, option in plain]
+        heads = [self._heads(option) for _, option in plain]
         bodies, group = [], groups_before
-        kept = [
-            i for i, (index, _) in enumerate(plain) if first_rules is None or index < first_rules
-        ]
+        kept = [i for i in order if first_rules is None or plain[i][0] < first_rules]
         for i in kept:
             guards = ""
-            shortest = dialect.width(plain[i][1])[0]
-            for j in range(i + 1, len(plain)):
-                longest = dialect.width(plain[j][1])[1]
-                if (longest is None or longest > shortest) and dialect.compatible(heads[i], heads[j]):
+            for j in order[order.index(i) + 1 :]:
+                most = counts[j][1]
+                wins_ties = j < i
+                if most is not None and (most < counts[i][0] or most == counts[i][0] and not wins_ties):
+                    continue
+                if dialect.compatible(heads[i], heads[j]):
                     group += 1
-                    guards += f"(?!(?={texts[j]}([\\s\\S]*))(?>{texts[i]})[\\s\\S]+\\{group}\\z)"
+                    run = dialect.java_class(dialect.union((*dialect.alphabet(plain[i][1]), *dialect.alphabet(plain[j][1]))))
+                    more = "*" if wins_ties else "+"
+                    guards += f"(?!(?={texts[j]}({run}*+))(?>{texts[i]}){run}{more}\\{group}(?!{run}))"
             bodies.append(f"(?={texts[i]}){guards}{texts[i]}" if guards else texts[i])
         firsts = [head for i in kept for head in heads[i]]
         ahead = ""
@@ -137,22 +148,16 @@ class Matcher:
             ahead = f"(?={dialect.java_class(dialect.union(r for head in firsts for r in head[0]))})"
         return f"{ahead}{left}(?:{'|'.join(bodies)})"
 
-    def _options(self, node) -> list:
-        """A rule as the options that have to be compared by length.
+    def _java(self, node) -> str:
+        """Regex text of a match that its right boundary follows."""
+        if not self.right:
+            return dialect.java(node)
+        stop = dialect.union((*self.delimiters, ENDED))
+        return dialect.java(node, None, stop, self.right, self.delimiters)
 
-        If these are very many, optional parts, or in the end all parts, are left to Java's greedy order.
-        """
-        def alternations(part, before, after) -> bool:
-            return isinstance(part, Alt) and self._ambiguous(part, before, after)
-
-        for wanted in (self._ambiguous, alternations):
-            try:
-                options = dialect.expand(node, wanted)
-            except dialect.RuleSyntaxError:
-                continue
-            if len(options) <= MAX_OPTIONS:
-                return options
-        return [node]
+    def _options(self, node) -> list:
+        """A rule as the options that have to be compared by length."""
+        return dialect.expand(node, self._ambiguous)
 
     def _variants(self, nodes) -> list[Variant]:
         def wanted(node, before, after) -> bool:
@@ -160,17 +165,21 @@ class Matcher:
 
         variants: list[Variant] = []
         for node in nodes:
-            for flat in dialect.expand(node, wanted):
+            optional = dialect.read_at_once(node)
+            flats = [node] if optional else dialect.expand(node, wanted)
+            if optional and len(dialect.expand_few(node, wanted)) == 1:
+                flats, optional = dialect.expand(node, wanted), False
+            for flat in flats:
                 flat = flat if isinstance(flat, Seq) else Seq((flat,))
-                variants.append(Variant(flat, self._heads(flat)))
+                variants.append(Variant(flat, self._heads(flat), optional=optional))
         for i, variant in enumerate(variants):
             # a match is shown to one variant only: the first that fits it as a whole
             variant.refused = "".join(
-                f"(?!(?:{dialect.java(dialect.without_captures(other.node))})\\z)"
+                f"(?!(?:{dialect.java(dialect.without_captures(other.node), None, (ENDED,))})\\z)"
                 for other in variants[:i]
                 if dialect.compatible(variant.heads, other.heads)
             )
-            body = dialect.java(variant.node, variant.groups)
+            body = dialect.java(variant.node, variant.groups, (ENDED,))
             variant.pattern = f"\\A{variant.refused}{body}\\z"
             for item in variant.node.items:
                 text = dialect.literal(item)
@@ -211,7 +220,8 @@ class Matcher:
                 own = found
             else:
                 own = F.filter(found, lambda match: all_of(self._tests(variant, match)))
-            return F.transform(own, lambda match: self._read(variant, name, match))
+            read = F.transform(own, lambda match: self._read(variant, name, match))
+            return F.filter(read, lambda item: item != "") if variant.optional else read
 
         # variants exclude each other, so of several texts at most one is not empty
         never_empty = all(self._always_text(variant.node, name) for variant in holders)
@@ -248,7 +258,9 @@ class Matcher:
         cut = self._cut(variant, name, match) if variant.certain else None
         if cut is not None:
             return cut
-        return F.regexp_extract(match, variant.pattern, variant.groups.index(name) + 1)
+        places = [i + 1 for i, group in enumerate(variant.groups) if group == name]
+        texts = [F.regexp_extract(match, variant.pattern, place) for place in places]
+        return texts[0] if len(texts) == 1 else F.concat(*texts)
 
     @staticmethod
     def _cut(variant: Variant, name: str, match: Column) -> Column | None:
@@ -304,11 +316,22 @@ class Matcher:
     @staticmethod
     def _placeholders(variant: Variant, match: Column) -> Column:
         """Captures inside another capture get no placeholder of their own."""
+        if variant.optional:
+            body, names = dialect.parts(variant.node)
+            read = [F.regexp_extract(match, f"\\A{body}\\z", i + 1) for i in range(len(names))]
+            return F.concat(*(
+                text if name is None else F.when(text != "", f"<{name}>").otherwise("") for text, name in zip(read, names)
+            ))
         pattern, replacement, fixed, group, after_group = "", "", "", 0, False
-        for item in variant.node.items:
+        follows, follow = [], (ENDED,)
+        for item in reversed(variant.node.items):
+            follows.insert(0, follow)
+            ranges, empty = dialect.first(item)
+            follow = dialect.union((*ranges, *follow)) if empty else ranges
+        for at, item in enumerate(variant.node.items):
             text = dialect.literal(item)
             if isinstance(item, Capture):
-                pattern += f"(?:{dialect.java(item.item)})"
+                pattern += f"(?:{dialect.java(item.item, None, follows[at])})"
                 shown = written = f"<{item.name}>"
             elif text is not None:
                 pattern += dialect.java(item)
@@ -317,7 +340,7 @@ class Matcher:
                     written = "\\" + written  # else it would be read as part of the group number
             else:
                 group += 1
-                pattern += f"({dialect.java(item)})"
+                pattern += f"({dialect.java(item, None, follows[at])})"
                 shown, written = None, f"${group}"
             after_group = shown is None
             replacement += written
@@ -353,7 +376,7 @@ class Matcher:
         """The first of ``events``."""
         if self.event_start is None:
             return F.substring_index(self._body(text), "\n", 1)
-        return F.get(self.events(text), F.lit(0))
+        return F.regexp_extract(F.concat(F.lit("\n"), self._body(text)), self.event, 1)
 
     @staticmethod
     def _body(text: Column) -> Column:

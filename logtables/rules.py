@@ -70,6 +70,7 @@ class RuleSet:
                     raise ValueError(f"captures {known!r} and {capture!r} differ only by case")
         if len({capture.lower() for capture in names}) < len(names):
             raise ValueError(f"rule {name!r}: capture names must differ by more than case")
+        RuleSet(self.delimiters, (rule,), self.right_boundary).matcher  # refuses what no regex can be built for
         return replace(self, rules=(*self.rules, rule))
 
     def timestamp(self, name: str, regex: str) -> RuleSet:
@@ -79,6 +80,7 @@ class RuleSet:
         """
         node = dialect.Capture(TIMESTAMP, dialect.without_captures(self._parse(name, regex)))
         rule = Rule(name, regex, is_timestamp=True, node=node)
+        RuleSet(self.delimiters, (rule,), self.right_boundary).matcher  # refuses what no regex can be built for
         if any(other.is_timestamp and other.name == name for other in self.rules):
             kept = tuple(
                 rule if other.is_timestamp and other.name == name else other for other in self.rules

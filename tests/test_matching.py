@@ -1,4 +1,5 @@
 import random
+import time
 
 import model
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logtables.functions.matching import MARK
 from logtables.operators.extract import extract
+from logtables.patterns import PATTERN
 from logtables.rules import RuleSet
 
 D = " :/"
@@ -82,7 +84,7 @@ def check(spark, rules, plain, texts, delimiters=D):
     return wrong
 
 
-@pytest.mark.parametrize("seed", range(40))
+@pytest.mark.parametrize("seed", range(70))
 def test_expressions_equal_the_model(spark, seed):
     rng = random.Random(seed)
     rules, plain, texts = random_case(rng)
@@ -183,3 +185,67 @@ def test_one_scan_and_pruning(spark):
     assert plan.count("regexp_replace(") == 1  # not repeated in the filter
     assert "Range" in plan and plan.index("id") > plan.index("Generate")  # filter on id is below the scan
     assert "act=<a>" not in plan  # the log type was not asked for
+
+
+@pytest.mark.parametrize("pairs", [5, 15, 150])
+def test_many_options(spark, pairs):
+    options = "|".join(f"s{i}|s{i} more" for i in range(pairs))
+    rules = RuleSet().var("k", rf"k=(?<v>{options})").var("n", r"(?<n>\d+)")
+    assert only(spark, rules, f"k=s3 more k=s{pairs - 1} x 7 k=s{pairs}") == {
+        "v": ["s3 more", f"s{pairs - 1}"], "n": ["7"], "log_type": f"k=<v> k=<v> x <n> k=s{pairs}"
+    }
+
+
+def test_nine_optional_captures(spark):
+    rng = random.Random(4)
+    names = "abcdefghi"
+    rules, plain = RuleSet(delimiters=D), []
+    rules = rules.var("r", "x" + "".join(rf"(?: {n}=(?<{n}>\d+))?" for n in names))
+    plain.append(model.ModelRule("r", "x" + "".join(rf"(?: {n}=(?P<{n}>\d+))?" for n in names)))
+    texts = ["x" + "".join(f" {n}={rng.randrange(30)}" for n in names if rng.random() < 0.6) + rng.choice(["", " y", "/x"]) for _ in range(60)]
+    assert not check(spark, rules, plain, texts)
+
+
+def test_competing_rules_take_linear_time(spark):
+    rules = RuleSet().var("n", r"(?<n>\d+)").var("u", r"\d+ (?<u>u+)").var("w", r"(?<w>\d+[a-z ]*)x")
+    times = []
+    for n in (16_000, 64_000):
+        text = spark.createDataFrame([("1 u " * n,)], "value string")
+        extract(text, rules).count()
+        started = time.perf_counter()
+        row = extract(text, rules).select(F.size("u"), F.length("log_type")).first()
+        times.append(time.perf_counter() - started)
+        assert tuple(row) == (n, 6 * n)
+    assert times[1] < 8 * times[0] + 2
+
+
+@pytest.mark.parametrize("pattern, text, value", [
+    (PATTERN.LINUX_FILE_PATH, "ab/" * 350_000 + "c", "ab/" * 350_000 + "c"),
+    (PATTERN.LINUX_FILE_PATH, "ab/" * 350_000, "ab/" * 349_999 + "ab"),
+    (PATTERN.LINUX_FILE_PATH, "ab/" * 1000 + "c=", "ab/" * 999 + "ab"),
+    (PATTERN.LINUX_FILE_PATH, "a/b c/x=", "a/b c"),
+    (PATTERN.LINUX_FILE_PATH, "a/b c=/", "a/b"),
+    (PATTERN.JAVA_FULLY_QUALIFIED_CLASS_NAME, "ab." * 350_000 + "Cd", "ab." * 350_000 + "Cd"),
+    (PATTERN.JAVA_FULLY_QUALIFIED_CLASS_NAME, "ab.cd.Ef,", "ab.cd.Ef"),
+])
+def test_long_paths_and_class_names(spark, pattern, text, value):
+    rules = RuleSet().var("f", rf"f=(?<v>{pattern})").var("n", r"(?<n>\d+)")
+    row = extract(spark.createDataFrame([(f"7 f={text}",)], "value string"), rules).first()
+    assert row["v"] == [value] and row["n"] == ["7"]
+    assert row["log_type"] == f"<n> f=<v>{text[len(value):]}"
+    # a right end that something else decides
+    rules = RuleSet().var("f", rf"f=(?<v>{pattern});(?<n>\d+)")
+    row = extract(spark.createDataFrame([(f"f={value};12",)], "value string"), rules).first()
+    assert (row["v"], row["n"]) == ([value], ["12"])
+
+
+@pytest.mark.parametrize("delimiters", [" :/", " :/.", " "])
+@pytest.mark.parametrize("seed", range(4))
+def test_segment_loops_equal_the_model(spark, seed, delimiters):
+    rng = random.Random(seed)
+    loop = rng.choice(["([ab ]+/)*[ab ]+", "([ab]+/)+[ab]+", "([ab ]+[.])*[ab ]+", "([a][ab]*[.])+[ab]+", "([ab]+/)*", "([ab ]+/)+[ab ]+"])
+    prefix, suffix = "p=", rng.choice(["", "", "x", "(?:/x)?"])
+    rules = RuleSet(delimiters=delimiters).var("r", f"{prefix}(?<v>{loop}){suffix}")
+    plain = [model.ModelRule("r", f"{prefix}(?P<v>{loop}){suffix}")]
+    texts = ["p=" + "".join(rng.choice("aab /.x=") for _ in range(rng.randint(0, 12))) for _ in range(150)]
+    assert not check(spark, rules, plain, texts, delimiters)
