@@ -12,7 +12,9 @@ from logtables.operators.extract import LOG_TYPE
 
 
 def _key(order: str | Sequence[str]) -> Column:
-    return F.struct(*([order] if isinstance(order, str) else list(order)))
+    """What rows are ordered by. One column stays bare: its minimum is kept in a hash table, that of a struct is not."""
+    orders = [order] if isinstance(order, str) else list(order)
+    return F.col(f"`{orders[0]}`") if len(orders) == 1 else F.struct(*orders)
 
 
 def log_types(df: DataFrame, order: str | Sequence[str], ordered: bool = True) -> DataFrame:

@@ -20,7 +20,8 @@ from logtables.sources.text import BLOCK, LINE, SOURCE, TEXT, text_column
 
 MESSAGE = "message"
 ROWS_PER_CHUNK = 1_000_000
-CELLS = 1_024
+#: Of ``even_chunks``: sampled rows for each chunk, chunks at most, and bounds that are compared one by one.
+SAMPLED, MOST_CHUNKS, STEP = 40, 4_000, 64
 
 
 def line_events(df: DataFrame, text: str = TEXT) -> DataFrame:
@@ -46,40 +47,50 @@ def first_event(text: Column, rules: RuleSet) -> Column:
     return rules.matcher.first_event(text)
 
 
-def even_chunks(df: DataFrame, order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Column:
-    """Chunk numbers for a table without file splits: ranges of the order column of about equal row count.
+def even_chunks(df: DataFrame, order: str | Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> Column:
+    """Chunk numbers for a table without file splits: ranges of the order columns of about equal row count.
 
-    The order column must be numeric or a date or time. Its range is divided into cells of equal width,
-    which are merged or cut into chunks according to their row counts. Counting the cells is a small aggregation
-    that runs now; its result, at most ``CELLS`` numbers, becomes a constant, so a task that is run again
-    finds the same chunks. Rows with one order value cannot be told apart: where a large share of a source
-    can have the same value, pass an own ``chunk`` column.
+    The bounds are quantiles of a random sample of the order columns, ``SAMPLED`` rows for each chunk, that is taken
+    now and becomes a constant, so a task that is run again finds the same chunks. So neither outliers nor gaps nor
+    NULLs make a chunk large. Rows that agree in all the order columns cannot be told apart and stay together: name
+    columns that tell all rows of a source apart, as ``assemble_events`` wants them. At most ``MOST_CHUNKS`` chunks.
     """
-    data_type = df.select(order).schema[0].dataType.simpleString()
-    name = f"`{order}`"
-    is_time = data_type.startswith(("timestamp", "date"))
-    number = F.expr(f"double(unix_micros(timestamp({name})))" if is_time else f"double({name})")
-    low, high, rows = df.select(number.alias("n")).agg(F.min("n"), F.max("n"), F.count("*")).first()
-    if rows <= rows_per_chunk or low is None or low == high:
+    orders = [order] if isinstance(order, str) else list(order)
+    keys = [_rising(df, name) for name in orders]
+    rows = df.count()
+    chunks = ceil(rows / rows_per_chunk)
+    if chunks > MOST_CHUNKS:
+        raise ValueError(f"{rows} rows need {rows_per_chunk} or more rows per chunk: {ceil(rows / MOST_CHUNKS)}")
+    if chunks < 2:
         return F.lit(0).cast("long")
-    place = (number - low) / (high - low) * CELLS
-    cell = F.least(F.floor(place), F.lit(CELLS - 1)).cast("int")
-    counts = dict(tuple(row) for row in df.groupBy(cell.alias("cell")).count().collect())
-    starts, parts, chunk, filled = [], [], 0, 0
-    for i in range(CELLS):
-        count = counts.get(i, 0)
-        if filled + count > rows_per_chunk:  # small neighbours share a chunk, large cells are cut up
-            chunk, filled = chunk + 1, 0
-        starts.append(chunk)
-        parts.append(max(1, ceil(count / rows_per_chunk)))
-        chunk, filled = chunk + parts[-1] - 1, filled + count
-    within = F.floor((place - cell) * F.get(_constants(parts), cell))
-    # least() keeps the top end of a cell in its last chunk
-    return F.get(_constants(starts), cell) + F.least(within, F.get(_constants(parts), cell) - 1)
-
-
-def _constants(numbers: Sequence[int]) -> Column:
-    return F.expr(f"from_json('{list(numbers)}', 'array<bigint>')")
+    share = min(1.0, 1.1 * SAMPLED * chunks / rows)
+    sample = df.select(F.struct(*keys).alias("k")).sample(share, seed=7).orderBy("k")
+    found = [row["k"] for row in sample.select(F.to_json("k").alias("k")).collect()]
+    bounds = list(dict.fromkeys(found[i * len(found) // chunks] for i in range(1, chunks))) if found else []
+    # an array of all bounds, and of every STEP-th to find the place in it
+    kind = f"array<{df.select(F.struct(*keys).alias('k')).schema['k'].dataType.simpleString()}>"
+    every, few = _constants(bounds, kind), _constants(bounds[STEP - 1 :: STEP], kind)
+    key = F.struct(*keys)
+    whole = F.size(F.filter(few, lambda bound: bound <= key)) * STEP
+    rest = F.slice(every, whole + 1, F.lit(STEP))
+    return (whole + F.size(F.filter(rest, lambda bound: bound <= key))).cast("long")
+
+
+def _rising(df: DataFrame, name: str) -> Column:
+    """A value that JSON can hold and that never falls as the column rises; NULL stays first."""
+    data_type = df.select(name).schema[0].dataType.simpleString()
+    column = f"`{name}`"
+    if data_type.startswith(("timestamp", "date")):
+        column = f"unix_micros(timestamp({column}))"
+    elif data_type.startswith(("decimal", "float", "double")):
+        column = f"double({column})"
+    elif data_type not in ("tinyint", "smallint", "int", "bigint", "string"):
+        raise TypeError(f"column {name!r} must hold numbers, times or text, not {data_type}")
+    return F.expr(column).alias(f"k_{name}")
+
+
+def _constants(texts: Sequence[str], kind: str) -> Column:
+    return F.from_json(F.lit(f"[{','.join(texts)}]"), kind)
 
 
 def assemble_events(
@@ -94,8 +105,9 @@ def assemble_events(
 ) -> DataFrame:
     """Put the lines of each source together to events.
 
-    ``order`` is the line order within a source. ``chunk`` cuts a source into bounded pieces and must rise
-    with the order; files use their splits, other tables ranges of the first order column. The result has
+    ``order`` is the line order within a source; two lines of a source with the same order stop the job, as nothing says
+    which comes first. ``chunk`` cuts a source into bounded pieces and must rise
+    with the order; files use their splits, other tables ranges of the order columns. The result has
     the source columns, the order columns of the event's first line, and ``message``. Lines before the
     first timestamp of a source form an event of their own. ``mark_last`` adds a flag for the last event
     of each source, which later lines could still continue.
@@ -103,7 +115,7 @@ def assemble_events(
     sources = [source] if isinstance(source, str) else list(source)
     orders = [order] if isinstance(order, str) else list(order)
     if chunk is None:
-        chunk = F.col(BLOCK) if orders[0] == BLOCK else even_chunks(df, orders[0])
+        chunk = F.col(BLOCK) if orders[0] == BLOCK else even_chunks(df, orders)
     elif isinstance(chunk, str):
         chunk = F.col(chunk)
     line = text_column(df, text)
@@ -120,7 +132,9 @@ def assemble_events(
 
     # per chunk: number the events; 0 is the loose end before the first timestamp. One shuffle, by chunk.
     within = W.partitionBy(*part).orderBy("__at")
-    numbered = lines.withColumns({
+    tied = F.raise_error(F.lit(f"lines of one source agree in {', '.join(orders)}: name a column more in order")).cast("int")
+    lines_once = F.when(F.lag("__at").over(within) == F.col("__at"), tied).otherwise(F.col("__start"))
+    numbered = lines.withColumn("__start", lines_once).withColumns({
         "__no": F.sum("__start").over(within.rowsBetween(W.unboundedPreceding, W.currentRow)),
         "__starts": F.sum("__start").over(W.partitionBy(*part)),
     })

@@ -184,12 +184,14 @@ def enrich_json(
         result = F.map_concat(rest, new)
         if on_conflict == RAISE:
             message = F.concat(F.lit("keys exist in the JSON object already: "), F.array_join(conflicts, ", "))
-            result = F.when(F.size(conflicts) > 0, F.raise_error(message)).otherwise(result)
+            # without strict the object is reported like text that is not JSON
+            refused = F.raise_error(message) if strict else F.lit(None)
+            result = F.when(F.size(conflicts) > 0, refused).otherwise(result)
     out = extracted.select(
         *others,
         result.alias(OBJECT),
         conflicts.alias(CONFLICTS),
-        *([] if strict else [F.when(entries.isNull(), source).alias(CORRUPT)]),
+        *([] if strict else [F.when(entries.isNull() | result.isNull(), source).alias(CORRUPT)]),
     )
     if observe:
         out = out.observe(observe, F.sum(F.size(CONFLICTS)).alias("conflicts"))

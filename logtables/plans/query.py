@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,6 @@ class LogQuery:
         self.raw_output = raw_output
         self._fields: list[str] | None = None
         self._filters: list[Column] = []
-        self._uses_log_type = False
         self._source = None
         self._options: dict = {}
         self._order: list[str] | None = None
@@ -65,7 +65,6 @@ class LogQuery:
 
     def filter(self, predicate: Column | str) -> LogQuery:
         """Keep events for which the predicate holds; several calls are combined with AND."""
-        self._uses_log_type |= LOG_TYPE in str(predicate)
         self._filters.append(F.expr(predicate) if isinstance(predicate, str) else predicate)
         return self
 
@@ -139,9 +138,18 @@ class LogQuery:
             events = events.where(predicate)
         return events
 
+    def _checked_events(self, log_type: bool) -> DataFrame:
+        """The events; the log type is made if it is asked for or a filter cannot be resolved without it."""
+        try:
+            return self._events(log_type)
+        except AnalysisException:
+            if log_type or not self._filters:
+                raise
+            return self._events(True)
+
     def to_dataframe(self) -> DataFrame:
         self._check_parts()
-        events = self._events("@log_type" in self._fields or self._uses_log_type)
+        events = self._checked_events("@log_type" in self._fields)
         if self.is_json:
             return events.select(*[
                 (F.col(f"`{name}`") if name in events.columns and name != OBJECT else self.field(name)).alias(name)
@@ -152,8 +160,12 @@ class LogQuery:
     to_df = to_dataframe
 
     # ------------------------------------------------------------ export
+    def map_arrow(self, function, schema) -> DataFrame:
+        """Hand the result to a function as Arrow batches, in the tasks: it gets and gives iterators of them."""
+        return self.to_dataframe().mapInArrow(function, schema)
+
     def to_arrow(self):
-        """The result as an Arrow table in the driver's memory."""
+        """The result as an Arrow table. It all goes to the driver's memory; ``map_arrow`` stays in the tasks."""
         return self.to_dataframe().toArrow()
 
     to_pa = to_arrow
@@ -162,7 +174,7 @@ class LogQuery:
         return self.to_dataframe().toPandas()
 
     def get_rows(self) -> list[list]:
-        """The result as lists in the driver's memory; ``iterate_rows`` needs less of it."""
+        """The result as lists. It all goes to the driver's memory; ``iterate_rows`` goes through it part by part."""
         return [list(row) for row in self.to_dataframe().collect()]
 
     def iterate_rows(self):

@@ -62,8 +62,11 @@ def json_objects(df: DataFrame, text: str = TEXT, layout: str = "lines", strict:
 
 
 def json_layouts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """The layout of each file: (source, layout), from its first non-blank character."""
-    lines = read_text_logs(spark, path).where(~F.rlike(TEXT, F.lit(_BLANK)))
+    """The layout of each file: (source, layout), from the first non-blank character of its first split.
+
+    A file that begins with a split of blank lines is read as lines.
+    """
+    lines = read_text_logs(spark, path, F.col("_metadata.file_block_start") == 0).where(~F.rlike(TEXT, F.lit(_BLANK)))
     firsts = lines.groupBy(SOURCE).agg(F.min_by(is_array(F.col(TEXT)), F.struct(BLOCK, LINE)).alias("array"))
     return firsts.select(SOURCE, F.when(F.col("array"), "array").otherwise("lines").alias("layout"))
 
@@ -81,7 +84,8 @@ def read_json_logs(
         return json_objects(read_text_logs(spark, paths), TEXT, "lines", strict)
     if layout == "array":
         return json_objects(read_text_logs(spark, paths, wholetext=True), TEXT, "array", strict)
-    # files of arrays are read whole, the others in splits: only the names of the former are listed here
+    # files of arrays are read whole, the others in splits. Files are chosen before they are read, so the names of the
+    # former come to the driver, which lists all files of a path anyway
     listed = json_layouts(spark, paths).where("layout = 'array'").select(SOURCE)
     names = [row[0] for row in listed.toLocalIterator()]
     if not names:

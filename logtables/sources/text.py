@@ -63,16 +63,6 @@ def read_text_stream(
     return split.select(TEXT, SOURCE, F.floor(F.col(LINE) / 100_000).alias(BLOCK), LINE)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on input that comes in fewer splits than there are cores.
-
-    Matching is work for the processor: for a single small file it pays to move the rows first. Input with
-    enough splits, as any large input has, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def from_strings(spark: SparkSession, texts: Sequence[str | bytes]) -> DataFrame:
     """In-memory texts as a table, for trying out rules."""
     if isinstance(texts, (str, bytes)):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +21,25 @@ def stream_log_type_counts(events: DataFrame) -> DataFrame:
     return log_type_counts(events)
 
 
-def stream_new_log_types(events: DataFrame) -> DataFrame:
-    """The first event of each log type. State: the log types seen so far."""
-    return events.dropDuplicates([LOG_TYPE])
+def new_log_types_to(stream: DataFrame, folder: str, checkpoint: str, **trigger):
+    """Start writing the log types that no earlier batch had, with an example row of each.
+
+    Each batch is summed up by log type before anything is shuffled, so a frequent log type is no hot key; then the
+    known log types, one row each, are taken away. Batch n goes to ``folder/batch=n`` and looks at the batches before
+    it only, so a batch that runs again gives the same result.
+    """
+    columns = [name for name in stream.columns if name != LOG_TYPE]
+    kept = T.StructType([*stream.select(LOG_TYPE, *columns).schema, T.StructField("batch", T.LongType())])
+
+    def write(batch: DataFrame, number: int) -> None:
+        firsts = batch.groupBy(LOG_TYPE).agg(F.count("*").alias("n"), *(F.any_value(name).alias(name) for name in columns)).drop("n")
+        if number > 0:
+            known = batch.sparkSession.read.schema(kept).parquet(folder).where(F.col("batch") < number)
+            firsts = firsts.join(known.select(LOG_TYPE), LOG_TYPE, "left_anti")
+        firsts.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def append_to(stream: DataFrame, folder: str, checkpoint: str, **trigger):
@@ -52,17 +68,20 @@ def snapshots_to(stream: DataFrame, folder: str, checkpoint: str, **trigger):
 
 
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    batches = spark.read.parquet(folder)
-    return batches.join(batches.agg(F.max("batch").alias("batch")), "batch").drop("batch")
+    """The newest snapshot; of the others only the names are looked at."""
+    newest = spark.read.parquet(folder).agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{folder}/batch={newest}")
 
 
-def run_available(stream: DataFrame, name: str, complete: bool = False) -> DataFrame:
+def run_available(stream: DataFrame, name: str, complete: bool = False, new_types: bool = False) -> DataFrame:
     """Process what the source holds now and return the result as a table."""
     spark = stream.sparkSession
     folder, checkpoint = new_folder(spark, name), new_folder(spark, f"{name}-checkpoint")
-    query = (snapshots_to if complete else append_to)(stream, folder, checkpoint)
-    query.awaitTermination()
-    return latest_snapshot(spark, folder) if complete else spark.read.parquet(folder)
+    start = new_log_types_to if new_types else snapshots_to if complete else append_to
+    start(stream, folder, checkpoint).awaitTermination()
+    if complete:
+        return latest_snapshot(spark, folder)
+    return spark.read.parquet(folder).select(*stream.columns)
 
 
 class EventAssembly:
@@ -73,6 +92,9 @@ class EventAssembly:
     from it. The state is thus one event per source, kept in a table that survives the loss of any process.
     Lines of a source must arrive in order.
 
+    A source ends with a line for which ``last_line`` is true, or if ``idle_batches`` batches bring nothing of it: then its
+    event is complete and the state has no row of it. Lines that come after all begin with an event of their own.
+
     ``order`` and ``chunk`` are as in ``assemble_events``; the order has to rise from batch to batch.
     """
 
@@ -86,11 +108,14 @@ class EventAssembly:
         source: str | Sequence[str] = SOURCE,
         order: str | Sequence[str],
         chunk: str,
+        last_line: Column | None = None,
+        idle_batches: int | None = None,
     ):
         if chunk in ([order] if isinstance(order, str) else order):
             raise ValueError("the chunk column must not be one of the order columns")
         self.spark, self.rules, self.folder = spark, rules, folder
         self.text, self.chunk = text, chunk
+        self.last_line, self.idle_batches = last_line, idle_batches
         self.sources = [source] if isinstance(source, str) else list(source)
         self.orders = [order] if isinstance(order, str) else list(order)
         self._schema: T.StructType | None = None
@@ -105,21 +130,37 @@ class EventAssembly:
     def _process(self, batch: DataFrame, number: int) -> None:
         names = [*self.sources, *self.orders, self.chunk]
         lines = batch.select(*names, F.col(self.text).alias(TEXT))
+        ended = F.lit(False) if self.last_line is None else F.coalesce(self.last_line, F.lit(False))
+        # one small row per source; keys are structs, because those compare equal where a column is NULL
+        seen = batch.select(F.struct(*self.sources).alias("__source"), ended.alias("ended"))
+        seen = seen.groupBy("__source").agg(F.max("ended").alias("ended"))
         if number > 0:
             state = self._stored(self._path(number - 1)).where("open = 1")
             lines = lines.unionByName(state.select(*names, F.col(MESSAGE).alias(TEXT)))
+            earlier = state.select(F.struct(*self.sources).alias("__source"), "idle")
+            seen = seen.join(earlier, "__source", "full")
+        else:
+            seen = seen.withColumn("idle", F.lit(None).cast("int"))
+        idle = F.when(F.col("ended").isNull(), F.col("idle") + 1).otherwise(0)
+        over = F.coalesce("ended", F.lit(False))
+        if self.idle_batches is not None:
+            over = over | (idle >= self.idle_batches)
+        seen = seen.select("__source", idle.alias("idle"), over.alias("over"))
         events = assemble_events(
             lines, self.rules, TEXT, source=self.sources, order=[*self.orders, self.chunk],
             chunk=self.chunk, mark_last="open",
         )
-        stored = events.withColumn("open", F.col("open").cast("int"))
+        # AQE splits a hot source: the other side has one row per source
+        marked = events.withColumn("__source", F.struct(*self.sources)).join(seen, "__source", "left").drop("__source")
+        stored = marked.withColumn("open", (F.col("open") & ~F.col("over")).cast("int")).drop("over")
         stored.write.mode("overwrite").partitionBy("open").parquet(self._path(number))
 
     def start(self, lines: DataFrame, checkpoint: str, **trigger):
         """Start on a stream of lines; the checkpoint folder belongs to this assembly's folder."""
         kept = lines.select(*self.sources, *self.orders, self.chunk).schema
         self._schema = T.StructType([
-            *kept, T.StructField(MESSAGE, T.StringType()), T.StructField("open", T.IntegerType()),
+            *kept, T.StructField(MESSAGE, T.StringType()), T.StructField("idle", T.IntegerType()),
+            T.StructField("open", T.IntegerType()),
         ])
         return (
             lines.writeStream.foreachBatch(self._process).option("checkpointLocation", checkpoint)

@@ -63,17 +63,20 @@ def a05(spark, sf_dir):
     return found.select("event_id", "message", "log_type", accessors.scalar(F.col("amount")).alias("amount"))
 
 
-@query("a06_empty_input", """select doc_id, '' as log_type, 0::bigint as numbers from documents
-    where doc_id not in (select doc_id from labels)""")
+@query("a06_empty_input", r"""select doc_id, count(*) as events, count(*) filter (trim(line, ' ') = '') as blank,
+    sum(len(regexp_extract_all(line, '(^|[ \t\r:,!;%@/()\[\]])w[a-z]*')))::bigint as words
+    from (select doc_id, unnest(string_split(regexp_replace(text, '\n$', ''), chr(10))) as line from (
+      select doc_id, case when doc_id % 3 = 0 then '' when doc_id % 3 = 1 then chr(10) || chr(10) else text end as text
+      from documents)) group by 1""")
 def a06(spark, sf_dir):
-    # documents without a label get an empty text: still one event each, with no captures
-    rules = RuleSet().var("number", r"(?<number>\d+)")
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    unlabelled = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
-    events = split_events(unlabelled.withColumn("text", F.lit("")), rules, "text")
-    found = extract(events, rules, "text")
-    return found.select(
-        "doc_id", "log_type", F.size("number").cast("long").alias("numbers")
+    # blank and other texts together: an empty text is one event, so is each blank line
+    rules = RuleSet(right_boundary=False).var("word", "(?<word>w[a-z]*)")
+    text = F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, "\n\n").otherwise(F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    found = extract(split_events(docs, rules, "text"), rules, "text")
+    blank = F.when(F.trim("log_type") == "", 1)
+    return found.groupBy("doc_id").agg(
+        F.count("*").alias("events"), F.count(blank).alias("blank"), F.sum(F.size("word")).cast("long").alias("words")
     )
 
 

@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtables import PATTERN, RuleSet
-from logtables.sources.text import spread
 from logtables.workspace import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- application log from events
@@ -131,7 +130,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(
         F.lit("order="), F.col("o_orderkey").cast("string"), F.lit(" cust="), cust.cast("string"), again, shown
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", line.alias("line"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", line.alias("line"))
 
 
 # ---------------------------------------------------------------- JSON log from events
@@ -153,7 +152,7 @@ def json_text(*extra: Column) -> Column:
 
 
 def json_log(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", json_text(*extra).alias("value"))
+    return table(spark, sf_dir, "events").select("event_id", "event_type", json_text(*extra).alias("value"))
 
 
 SQL_MESSAGE = "'user=' || user_id || ' action=' || event_type"

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from logtables import JsonLogParser, LogQuery, RuleSet, enrich_columns
-from logtables.operators.jsonlogs import CONFLICTS, OBJECT, field_text, object_json
+from logtables.operators.jsonlogs import CONFLICTS, CORRUPT, OBJECT, field_text, object_json
 from logtables.sources.json import is_array
 from logtables.workspace import new_folder
 from queries.inputs import (
@@ -38,11 +38,14 @@ def s05(spark, sf_dir):
     return found.select(*fields("id", "extracted.uid", "extracted.action", "extracted.amount"))
 
 
-def array_rows(spark, sf_dir):
-    """Each row an array of two objects and two other values."""
+def array_text():
+    """An array of two objects and two other values."""
     second = F.to_json(F.struct(F.col("event_id").alias("id"), F.lit("user=7 action=retry").alias("message")))
-    text = F.concat(F.lit("[ "), json_text(), F.lit(", \"user=1\", 5,\n "), second, F.lit(" ]"))
-    return table(spark, sf_dir, "events").select("event_id", text.alias("value"))
+    return F.concat(F.lit("[ "), json_text(), F.lit(", \"user=1\", 5,\n "), second, F.lit(" ]"))
+
+
+def array_rows(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", array_text().alias("value"))
 
 
 @query("s06_json_arrays", f"{ID_ACTION} union all select event_id::varchar, 'retry' from events")
@@ -51,16 +54,41 @@ def s06(spark, sf_dir):
     return found.select(*fields("id", "extracted.action"))
 
 
-@query("s07_detect_layout", f"{ID_ACTION} union all select event_id::varchar, 'retry' from events where event_type = 'click'")
+@query("s06_json_array_files", f"{ID_ACTION} union all select event_id::varchar, 'retry' from events")
+def s06_files(spark, sf_dir):
+    # one array per row of the table, each a file of its own in effect: files are cut at the row's end
+    folder = new_folder(spark, "json-arrays")
+    arrays = array_rows(spark, sf_dir).select(F.floor(F.col("event_id") / 500).alias("part"), F.substring("value", 2, 1 << 30).alias("v"))
+    inner = F.array_join(F.array_sort(F.collect_list(F.expr("left(v, length(v) - 1)"))), ",\n")
+    arrays.groupBy("part").agg(F.concat(F.lit("\n["), inner, F.lit("]")).alias("value")).write.partitionBy("part").text(folder)
+    found = parser("message").parse(f"{folder}/part=*", layout="array")
+    return found.select(*fields("id", "extracted.action"))
+
+
+def mixed_rows(spark, sf_dir):
+    """Clicks as arrays, other events as two lines: an object and a blank."""
+    text = F.when(F.col("event_type") == "click", array_text()).otherwise(F.concat(json_text(), F.lit("\n\n")))
+    return table(spark, sf_dir, "events").select(text.alias("value"))
+
+
+SQL_MIXED = f"{ID_ACTION} union all select event_id::varchar, 'retry' from events where event_type = 'click'"
+
+
+@query("s07_detect_layout", SQL_MIXED)
 def s07(spark, sf_dir):
-    # clicks come as arrays, other events as two lines: an object and a blank
-    arrays = array_rows(spark, sf_dir).withColumnRenamed("value", "array")
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", json_text().alias("line"))
-    rows = arrays.join(events, "event_id").select(
-        F.when(F.col("event_type") == "click", F.col("array"))
-        .otherwise(F.concat("line", F.lit("\n\n"))).alias("value")
-    )
-    found = parser("message").parse(rows, layout="auto")
+    found = parser("message").parse(mixed_rows(spark, sf_dir), layout="auto")
+    return found.select(*fields("id", "extracted.action"))
+
+
+@query("s07_detect_layout_of_files", f"{ID_ACTION} where event_id % 100 <> 0 or event_type <> 'click' union all {ID_ACTION} where event_id % 100 = 0 and event_type = 'click'")
+def s07_files(spark, sf_dir):
+    # a folder with files of arrays, one object in each, and files of lines
+    folder = new_folder(spark, "json-mixed")
+    events = table(spark, sf_dir, "events")
+    as_array = (F.col("event_id") % 100 == 0) & (F.col("event_type") == "click")
+    events.where(as_array).select(F.concat(F.lit(" [\n"), json_text(), F.lit("]")).alias("value"), F.col("event_id").alias("part")).write.partitionBy("part").text(folder)
+    events.where(~as_array).select(json_text().alias("value"), F.lit(-1).alias("part")).write.mode("append").partitionBy("part").text(folder)
+    found = parser("message").parse(f"{folder}/part=*", layout="auto")
     return found.select(*fields("id", "extracted.action"))
 
 
@@ -79,15 +107,14 @@ def j01(spark, sf_dir):
     return parser().parse(json_log(spark, sf_dir)).select("event_id", object_json(obj()).alias("enriched"))
 
 
-@query("j02_enrich_one_object", """select event_id, props::varchar as props,
-    json_extract_string(props, '$.k') as k, 0::bigint as n from events""")
+@query("j02_enrich_one_object", f"""select event_id, case when event_type <> 'error' then user_id::varchar end as uid,
+    case when event_type <> 'error' then {SQL_AMOUNT} end as amount, event_type = 'error' as refused from events""")
 def j02(spark, sf_dir):
-    # "props" holds numbers only, so nothing is mined and the object stays as it was
-    rows = table(spark, sf_dir, "events").select("event_id", "props", F.col("props").alias("value"))
-    rules = RuleSet().var("number", r"(?<number>\d+)")
-    found = JsonLogParser(rules).parse_one(rows)
-    inner = F.try_variant_get(obj()["extracted"], "$", "map<string,string>")
-    return found.select("event_id", "props", *fields("k"), F.size(inner).cast("long").alias("n"))
+    # errors come cut off, which is no JSON
+    text = F.when(F.col("event_type") == "error", F.expr("left(value, length(value) - 3)")).otherwise(F.col("value"))
+    rows = json_log(spark, sf_dir).select("event_id", F.col("value"), F.col("event_type")).withColumn("value", text)
+    found = parser().parse_one(rows.select("event_id", "value"), strict=False)
+    return found.select("event_id", *fields("extracted.uid", "extracted.amount"), F.col(CORRUPT).isNotNull().alias("refused"))
 
 
 @query("j03_target_fields", "select event_id, user_id::varchar as uid, null::varchar as amount from events")
@@ -213,11 +240,13 @@ def j13(spark, sf_dir):
     return found.select("event_id", *fields("uid", "action"), F.array_join(CONFLICTS, ",").alias("conflicts"))
 
 
-@query("j14_raise", "select event_id, user_id::varchar as uid, event_type as action from events")
+@query("j14_raise", """select event_id, case when event_type <> 'click' then user_id::varchar end as uid,
+    case when event_type = 'click' then 'action' else '' end as taken, event_type = 'click' as refused from events""")
 def j14(spark, sf_dir):
-    # no key is taken here; the failing case is in the tests
-    found = parser("message").on_conflict("raise").parse(json_log(spark, sf_dir))
-    return found.select("event_id", *fields("uid", "action"))
+    # clicks have the key "action" already; without strict such an object is reported instead of ending the job
+    action = F.when(F.col("event_type") == "click", F.lit("old")).alias("action")
+    found = parser("message").on_conflict("raise").parse(json_log(spark, sf_dir, action), strict=False)
+    return found.select("event_id", *fields("uid"), F.array_join(CONFLICTS, ",").alias("taken"), F.col(CORRUPT).isNotNull().alias("refused"))
 
 
 @query("j15_nothing_to_merge", f"select event_id, '{{' || {SQL_HEAD} || '}}' as enriched from events")

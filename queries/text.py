@@ -134,7 +134,66 @@ def r09(spark, sf_dir):
     )
 
 
+@query("r09_paths", r"""
+with cut as (select page_id, url, regexp_extract(url, '^https?://([a-zA-Z0-9 ._-]+(/[a-zA-Z0-9 ._-]+)*)', 1) as run from pages)
+select page_id, case when run = '' then null
+    when rest = '' or regexp_matches(rest, '^[ \t\r\n:,!;%@/()\[\]]') then run
+    when contains(run, '/') then regexp_replace(run, '/[^/]*$', '') end as path
+from (select *, substr(url, position(run in url) + len(run)) as rest from cut)""")
+def r09_paths(spark, sf_dir):
+    rules = RuleSet().var("url", rf"//(?<path>{PATTERN.LINUX_FILE_PATH})")
+    found = extract(table(spark, sf_dir, "pages").select("page_id", "url"), rules, "url", log_type=False)
+    return found.select("page_id", *firsts(found, "path"))
+
+
+SQL_HEX = "md5(event_id::varchar)"
+SQL_UUID = "||'-'||".join(f"substr({SQL_HEX}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+
+
+@query("r09_java", f"""select event_id, {SQL_UUID} as uuid, (event_id % 60000)::varchar as port, 'app.svc_' || event_id || '.Main' as cls,
+    'fn$' || event_id as name, 'a,b:[c]#' || event_id as raw, 'app.svc.Main$Inner.run(Svc.java:' || event_id || ') ~[app.jar:' || event_id || ']' as location,
+    '10.0.0.' || event_id % 256 as ip, '-' || event_id || '.5' as amount, 'svc ' || event_id || '.log' as file,
+    'done (' || event_id || ' rows) <ok> ~5%' as text from events""")
+def r09_java(spark, sf_dir):
+    rules = (
+        RuleSet()
+        .var("uuid", rf"uuid=(?<uuid>{PATTERN.UUID})").var("port", rf"port=(?<port>{PATTERN.PORT})")
+        .var("class", rf"class=(?<cls>{PATTERN.JAVA_FULLY_QUALIFIED_CLASS_NAME})").var("name", rf"name=(?<name>{PATTERN.JAVA_IDENTIFIER})")
+        .var("raw", rf"raw=(?<raw>{PATTERN.LOG_LINE_NO_WHITE_SPACE})").var("frame", rf"at (?<location>{PATTERN.JAVA_STACK_LOCATION})")
+        .var("peer", rf"ip=(?<ip>{PATTERN.IPV4})").var("amount", rf"amount=(?<amount>{PATTERN.FLOAT})")
+        .var("file", rf"file=(?<file>{PATTERN.LINUX_FILE_NAME})").var("log", rf"log=(?<text>{PATTERN.LOG_LINE})")
+    )
+    key = F.col("event_id").cast("string")
+    uuid = F.concat_ws("-", *(F.substring(F.md5(key), a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    line = F.concat(
+        F.lit("uuid="), uuid, F.lit(" port="), (F.col("event_id") % 60000).cast("string"), F.lit(" class=app.svc_"), key, F.lit(".Main name=fn$"), key,
+        F.lit(" raw=a,b:[c]#"), key, F.lit(" ip=10.0.0."), (F.col("event_id") % 256).cast("string"), F.lit(" amount=-"), key,
+        F.lit(".5\n  at app.svc.Main$Inner.run(Svc.java:"), key, F.lit(") ~[app.jar:"), key, F.lit("]\nfile=svc "), key, F.lit(".log\nlog=done ("), key,
+        F.lit(" rows) <ok> ~5%"),
+    )
+    found = extract(table(spark, sf_dir, "events").select("event_id", line.alias("line")), rules, "line", log_type=False)
+    return found.select("event_id", *firsts(found, "uuid", "port", "cls", "name", "raw", "location", "ip", "amount", "file", "text"))
+
+
 # ---------------------------------------------------------------- extraction
+PAIRS = [a + b for a in "abcdehilnorstu" for b in "aenorstdhiluv"]
+SQL_PAIR = f"'({'|'.join(PAIRS)})'"
+SQL_STOPS = r"[ \t\r\n:,!;%@/()\[\]]"
+
+
+@query("x01_many_options", rf"""select doc_id,
+    len(list_filter(regexp_split_to_array(text, {DELIMITED}), lambda x: regexp_full_match(x, {SQL_PAIR})))::bigint as words,
+    len(list_filter(range(1, len(e)), lambda i: regexp_matches(e[i], '(^|{SQL_STOPS})' || {SQL_PAIR} || '$')
+        and regexp_matches(e[i + 1], '^the($|{SQL_STOPS})')))::bigint as followed
+from (select doc_id, text, string_split(text, ' ') as e from documents)""")
+def x01_many_options(spark, sf_dir):
+    # hundreds of options, of which the longest has to win
+    rules = RuleSet().var("pair", f"(?<pair>{'|'.join(f'{p}|{p} the' for p in PAIRS)})")
+    found = extract(table(spark, sf_dir, "documents"), rules, "text", log_type=False)
+    followed = F.filter("pair", lambda p: p.endswith(" the"))
+    return found.select("doc_id", F.size("pair").cast("long").alias("words"), F.size(followed).cast("long").alias("followed"))
+
+
 @query("x01_extract", f"{SQL_FIELDS}, event_id from events")
 def x01(spark, sf_dir):
     found = extract(app_log(spark, sf_dir), APP_RULES, "line", log_type=False)

@@ -158,3 +158,23 @@ def test_sources(spark, tmp_path):
             LogQuery(rules).from_(wrong)
     with pytest.raises(TypeError):
         from_strings(spark, [5])
+
+
+@pytest.mark.parametrize("case", ["outlier", "equal", "nulls", "text"])
+def test_even_chunks_hold_their_bound(spark, case):
+    n, size = 20_000, 1_000
+    first = {
+        "outlier": F.when(F.col("id") == 0, 0).otherwise(F.col("id") + 10**15), "equal": F.when(F.col("id") % 10 > 0, 5).otherwise(F.col("id")),
+        "nulls": F.when(F.col("id") % 3 == 0, F.col("id")), "text": F.col("id").cast("string"),
+    }[case]
+    lines = spark.range(n).select(first.alias("at"), "id", F.lit("x").alias("value"))
+    counts = lines.groupBy(even_chunks(lines, ["at", "id"], size).alias("c")).count().collect()
+    assert max(r["count"] for r in counts) <= 2 * size and sum(r["count"] for r in counts) == n
+    rising = lines.withColumn("c", even_chunks(lines, ["at", "id"], size)).orderBy("at", "id").collect()
+    assert [r["c"] for r in rising] == sorted(r["c"] for r in rising)
+
+
+def test_order_must_tell_lines_apart(spark):
+    lines = spark.createDataFrame([("a", 1, "user=1"), ("a", 1, "user=2"), ("b", 1, "user=3")], "source string, n long, value string")
+    with pytest.raises(Exception, match="name a column more in order"):
+        assemble_events(lines, STAMPED, order="n").collect()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from logtables import RuleSet, assemble_events, extract
 from logtables.sources.text import read_text_stream
-from logtables.streaming.jobs import EventAssembly, run_available, stream_log_type_counts, stream_new_log_types
+from logtables.streaming.jobs import EventAssembly, run_available, stream_log_type_counts
 from logtables.workspace import new_folder, shared_folder
 
 RULES = RuleSet().timestamp("t", r"\d{4}-\d\d-\d\d").var("u", r"user=(?<u>\d+)")
@@ -45,7 +45,7 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(rows.collect(), key=key) == sorted(batch.select("value", "u", "log_type").collect(), key=key)
     counts = run_available(stream_log_type_counts(stream), "counts", complete=True)
     assert {tuple(r) for r in counts.collect()} == {tuple(r) for r in batch.groupBy("log_type").count().collect()}
-    new = run_available(stream_new_log_types(stream).select("log_type"), "new")
+    new = run_available(stream.select("log_type"), "new", new_types=True)
     assert sorted(r[0] for r in new.collect()) == ["  more user=<u>", "<timestamp> user=<u>"]
 
 
@@ -74,3 +74,32 @@ def test_folders(spark):
     assert shared_folder(Session("local[2]", None)) == shared_folder(Session("local[2]", None))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         new_folder(Session("spark://host", None), "x")
+
+
+def test_sources_end(spark, tmp_path):
+    """A source ends with its last line, or when batches bring nothing of it; the state then forgets it."""
+    schema = "source string, n long, value string"
+    batches = [
+        [("a", 1, "2024-01-01 a1"), ("b", 2, "2024-01-01 b1"), (None, 3, "2024-01-01 n1")],
+        [("a", 4, "  more"), ("a", 5, "END"), ("b", 6, "  more")],
+        [("c", 7, "2024-01-01 c1"), (None, 8, "  more")],
+        [("a", 9, "late"), ("c", 10, "  more")],
+        [("c", 11, "2024-01-01 c2")],
+    ]
+    inbox, state = str(tmp_path / "in"), str(tmp_path / "state")
+    left = []
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        lines = spark.readStream.schema(schema).parquet(inbox).withColumn("part", F.floor(F.col("n") / 30))
+        job = EventAssembly(spark, RULES, state, order="n", chunk="part", last_line=F.col("value") == "END", idle_batches=2)
+        job.start(lines, str(tmp_path / "checkpoint")).awaitTermination()
+        now = {(r["source"], r["n"]) for r in job.events().collect()} - {(r["source"], r["n"]) for r in job.events(include_open=False).collect()}
+        left.append(now)
+    assert left == [
+        {("a", 1), ("b", 2), (None, 3)}, {("b", 2), (None, 3)}, {("b", 2), (None, 3), ("c", 7)}, {("a", 9), (None, 3), ("c", 7)}, {("a", 9), ("c", 11)},
+    ]
+    events = {(r["source"], r["message"]) for r in job.events().collect()}
+    assert events == {
+        ("a", "2024-01-01 a1\n  more\nEND"), ("b", "2024-01-01 b1\n  more"), (None, "2024-01-01 n1\n  more"), ("a", "late"),
+        ("c", "2024-01-01 c1\n  more"), ("c", "2024-01-01 c2"),
+    }
