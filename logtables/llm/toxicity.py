@@ -2,8 +2,9 @@
 
 Features of a whole text: densities of lexicon words, given ones and those learned from labels, plain and disguised
 (digits and marks for letters, letters spaced or repeated), how near they stand to a second person, capitals,
-punctuation, and the rates of disguised spellings. Words are learned and trees fitted on a bounded sample of labelled rows, the each on texts of its own, the calibration on others again. Every text is
-scored by itself, in the task that reads it.
+punctuation, and the rates of disguised spellings. Words are learned, trees fitted and scores calibrated on a bounded
+sample of labelled rows: a text is measured with words that others taught, and the rows that calibrate are not those
+that the trees are fitted to. Every text is scored by itself, in the task that reads it.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ NAMES = ["lexicon_density", "hits", "learned_density", "learned_hits", "learned_
          "capitals", "exclamations", "questions", "punctuation", "digits", "disguised_words", "repeats", "length"]
 _CLASS = np.array([1 if 65 <= b <= 90 else 2 if 97 <= b <= 122 or b >= 128 else 3 if 48 <= b <= 57 else 4 if b == 33 else 5 if b == 63
                    else 6 if 33 <= b <= 126 else 0 for b in range(256)])
-#: Rows of the labelled sample, at most. Half of its texts teach words, a third of the others calibrate.
+#: Rows of the labelled sample, at most. Every fourth of its texts calibrates.
 SAMPLE = 20_000
 #: Lengths of word beginnings that are learned beside whole words.
 STEMS = (4, 5, 6)
@@ -129,53 +130,66 @@ def bounded_sample(labels: DataFrame, label: str, learnable, rows: int, doc_id:
     return kept.withColumn("hash", F.xxhash64("doc_id", F.lit(7))).orderBy("hash", "doc_id").limit(rows)
 
 
-def learn_words(texts: DataFrame, size: int = LEARNED, least: int = 5, odds: float = 3.0) -> dict[str, float]:
+def learn_words(texts: DataFrame, size: int = LEARNED, least: int = 3, odds: float = 3.0) -> list[dict[str, float]]:
     """Words and beginnings of words that toxic texts have and others hardly, with their log-odds: at most ``size``.
 
-    ``texts`` has text and label. A word counts once per text, and must be in at least ``least`` toxic ones.
+    ``texts`` has text, label and fold (0 or 1). The result has what each fold teaches, and what both do together. A word
+    counts once per text, and must be in at least ``least`` toxic ones and in one in 200.
     """
+    names = ["toxic0", "toxic1", "other0", "other1"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n: dict[bool, Counter] = {True: Counter(), False: Counter()}
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n[label > 0].update(stems_of(set((text or "").lower().split())))
-            stems = list(n[True].keys() | n[False].keys())
-            columns = [pa.array(stems, pa.string()), *(pa.array([n[k][s] for s in stems], pa.int64()) for k in (True, False))]
-            yield pa.RecordBatch.from_arrays(columns, ["stem", "toxic", "other"])
-
-    totals = texts.agg(F.sum(F.when(F.col("label") > 0, 1).otherwise(0)), F.count("*")).first()
-    toxic, other = (totals[0] or 0) + 1, totals[1] - (totals[0] or 0) + 1
-    counted = texts.select("text", "label").mapInArrow(count, "stem string, toxic bigint, other bigint")
-    counted = counted.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    weight = F.log((F.col("toxic") + 0.5) / F.lit(toxic)) - F.log((F.col("other") + 0.5) / F.lit(other))
-    best = counted.where(F.col("toxic") >= least).withColumn("weight", weight).where(F.col("weight") >= odds)
-    return {r["stem"]: r["weight"] for r in best.orderBy(F.desc("toxic"), "stem").limit(size).collect()}
+            n = {name: Counter() for name in names}
+            for text, label, fold in zip(*(c.to_pylist() for c in batch.columns)):
+                n[f"{'toxic' if label > 0 else 'other'}{fold}"].update(stems_of(set((text or "").lower().split())))
+            stems = list(set().union(*n.values()))
+            columns = [pa.array(stems, pa.string()), *(pa.array([n[name][s] for s in stems], pa.int64()) for name in names)]
+            yield pa.RecordBatch.from_arrays(columns, ["stem", *names])
+
+    toxic = F.col("label") > 0
+    totals = texts.agg(*(
+        F.count(F.when((toxic if name.startswith("toxic") else ~toxic) & (F.col("fold") == int(name[-1])), 1)).alias(name) for name in names
+    )).first()
+    counted = texts.select("text", "label", "fold").mapInArrow(count, "stem string, " + ", ".join(f"{n} bigint" for n in names))
+    counted = counted.groupBy("stem").agg(*(F.sum(n).alias(n) for n in names)).where(F.col("toxic0") + F.col("toxic1") >= least)
+    counted = stored(counted, "toxicity-words")
+    taught = []
+    for folds in ("0", "1", "01"):
+        t, o = (sum((F.col(f"{kind}{f}") for f in folds), F.lit(0)) for kind in ("toxic", "other"))
+        all_t, all_o = (sum(totals[f"{kind}{f}"] for f in folds) + 1 for kind in ("toxic", "other"))
+        weight = F.log((t + 0.5) / F.lit(all_t)) - F.log((o + 0.5) / F.lit(all_o))
+        best = counted.where(t >= max(least, all_t // 200)).select("stem", weight.alias("weight"), t.alias("t")).where(F.col("weight") >= odds)
+        taught.append({r["stem"]: r["weight"] for r in best.orderBy(F.desc("t"), "stem").limit(size).collect()})
+    return taught
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learnable, label: str = "toxic", rows: int = SAMPLE, doc_id: str = "doc_id",
                  text: str = "text") -> ToxicityModel:
     """Fit on at most ``rows`` labelled documents for which the column ``learnable`` of labels is true.
 
-    Equal texts count once, with the largest label. Without labelled rows the model is a constant.
+    Equal texts count once, with the largest label. The texts are dealt into two folds; those of one are measured with
+    the words that the other teaches, and texts to come with the words of both. Without labelled rows the model is a
+    constant.
     """
     sample = bounded_sample(labels, label, learnable, rows, doc_id)
     # the sample is at most ``rows`` ids, so it is sent to where the texts are
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
     chosen = chosen.groupBy(F.xxhash64("text").alias("hash")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
-    chosen = stored(chosen, "toxicity-sample")
-    learned = learn_words(chosen.where(F.pmod("hash", F.lit(2)) == 0))
+    chosen = stored(chosen.withColumn("fold", F.pmod("hash", F.lit(2)).cast("int")), "toxicity-sample")
+    taught = learn_words(chosen)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = pa.array([features(t, learned) for t in batch.column(2).to_pylist()], pa.list_(pa.float64()))
+            rows = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            x = pa.array([features(t, taught[1 - fold]) for t, fold in rows], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), x], ["hash", "label", "x"])
 
-    rest = chosen.where(F.pmod("hash", F.lit(2)) != 0).select("hash", "label", "text")
-    found = rest.mapInArrow(measure, "hash bigint, label double, x array<double>").orderBy("hash").collect()
+    measured = chosen.select("hash", "label", "text", "fold").mapInArrow(measure, "hash bigint, label double, x array<double>")
+    found = measured.orderBy("hash").collect()
     x = np.array([r["x"] for r in found]).reshape(-1, len(NAMES))
     y = np.array([r["label"] for r in found])
-    return ToxicityModel(learned, x, y, np.arange(len(y)) % 3 == 2)
+    return ToxicityModel(taught[2], x, y, np.arange(len(y)) % 4 == 3)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
