@@ -1,24 +1,16 @@
 r"""The rule dialect and its translation to Java regex text. Runs on the driver only, once per rule set.
 
-Python's own regex parser reads a rule; this module keeps the parts the dialect allows and writes them
-back as Java regex. Every character class becomes an explicit set of code points, so nested classes,
+A small reader turns a rule into nodes and refuses what the dialect does not have; the nodes are written back as
+Java regex. Every character class becomes an explicit set of code points, so nested classes,
 ``&&`` and shorthand escapes cannot change meaning between the two regex flavours.
 """
 
 from __future__ import annotations
 
 import re
-import warnings
 from dataclasses import dataclass
 from itertools import product
 
-try:  # Python 3.11 and later
-    from re import _constants as K
-    from re import _parser as sre
-except ImportError:  # pragma: no cover
-    import sre_constants as K
-    import sre_parse as sre
-
 MAX_CODE = 0x10FFFF
 END = MAX_CODE + 1  # stands for "end of text" in head sequences
 
@@ -106,86 +98,189 @@ class RuleSyntaxError(ValueError):
     """The rule is not valid in the dialect."""
 
 
-_CATEGORY = {
-    K.CATEGORY_DIGIT: ("d", False),
-    K.CATEGORY_NOT_DIGIT: ("d", True),
-    K.CATEGORY_SPACE: ("s", False),
-    K.CATEGORY_NOT_SPACE: ("s", True),
-    K.CATEGORY_WORD: ("w", False),
-    K.CATEGORY_NOT_WORD: ("w", True),
-}
+_CONTROL = {"t": 0x09, "n": 0x0A, "r": 0x0D, "f": 0x0C, "v": 0x0B, "a": 0x07}
+_HEX = {"x": 2, "u": 4, "U": 8}
+_QUANTIFIER = re.compile(r"\{(\d*)(?:(,)(\d*))?\}")
+_GROUP_NAME = re.compile(r"\?P?<([^<>()=!]*)>")
 
-_REFUSED = {
-    "ASSERT": "lookaround",
-    "ASSERT_NOT": "lookaround",
-    "AT": "anchors and word boundaries",
-    "GROUPREF": "backreferences",
-    "GROUPREF_EXISTS": "conditional groups",
-    "MIN_REPEAT": "non-greedy quantifiers",
-    "POSSESSIVE_REPEAT": "possessive quantifiers",
-    "ATOMIC_GROUP": "atomic groups",
-}
 
+class _Reader:
+    """Reads one rule from left to right."""
 
-def parse(pattern: str, delimiters: Ranges):
-    """Read one rule. ``.`` stands for any character that is not a delimiter."""
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        try:
-            tree = sre.parse(re.sub(r"\(\?<(?=[A-Za-z_])", "(?P<", pattern))
-        except (re.error, OverflowError) as e:
-            raise RuleSyntaxError(f"invalid regex {pattern!r}: {e}") from e
-    if tree.state.flags & ~int(re.UNICODE):
-        raise RuleSyntaxError(f"inline flags are not supported: {pattern!r}")
-    names = {index: name for name, index in tree.state.groupdict.items()}
-    any_char = complement(delimiters)
-
-    def category(code) -> Ranges:
-        letter, negated = _CATEGORY[code]
-        return complement(SHORTHAND[letter]) if negated else SHORTHAND[letter]
-
-    def char_class(items) -> Ranges:
-        negated, ranges = False, []
-        for op, arg in items:
-            if op is K.NEGATE:
-                negated = True
-            elif op is K.LITERAL:
-                ranges.append((arg, arg))
-            elif op is K.RANGE:
-                ranges.append(arg)
-            else:
-                ranges.extend(category(arg))
-        ranges = union(ranges)
-        return complement(ranges) if negated else ranges
-
-    def node(op, arg):
-        if op is K.LITERAL:
-            return Chars(((arg, arg),))
-        if op is K.NOT_LITERAL:
-            return Chars(complement(((arg, arg),)))
-        if op is K.ANY:
-            return Chars(any_char)
-        if op is K.IN:
-            return Chars(char_class(arg))
-        if op is K.BRANCH:
-            return Alt(tuple(sequence(option) for option in arg[1]))
-        if op is K.MAX_REPEAT:
-            low, high, item = arg
-            return repeat(low, None if high is K.MAXREPEAT else high, sequence(item))
-        if op is K.SUBPATTERN:
-            group, add, drop, item = arg
-            if add or drop:
-                raise RuleSyntaxError(f"inline flags are not supported: {pattern!r}")
-            inner = sequence(item)
-            return Capture(names[group], inner) if group in names else inner
-        what = _REFUSED.get(str(op), str(op))
-        raise RuleSyntaxError(f"{what} are not supported: {pattern!r}")
-
-    def sequence(items):
-        out = seq(*(node(op, arg) for op, arg in items))
+    def __init__(self, pattern: str, delimiters: Ranges):
+        self.pattern, self.at, self.any_char = pattern, 0, complement(delimiters)
+        self.names: set[str] = set()
+
+    def invalid(self, why: str) -> RuleSyntaxError:
+        return RuleSyntaxError(f"invalid regex {self.pattern!r}: {why} at position {self.at}")
+
+    def refused(self, what: str) -> RuleSyntaxError:
+        return RuleSyntaxError(f"{what} are not supported: {self.pattern!r}")
+
+    def peek(self, text: str) -> bool:
+        return self.pattern.startswith(text, self.at)
+
+    def take(self, text: str) -> bool:
+        found = self.peek(text)
+        self.at += len(text) * found
+        return found
+
+    def char(self) -> str:
+        if self.at >= len(self.pattern):
+            raise self.invalid("it ends too early")
+        self.at += 1
+        return self.pattern[self.at - 1]
+
+    def alternation(self):
+        options = [self.sequence()]
+        while self.take("|"):
+            options.append(self.sequence())
+        if len(options) > 1 and all(isinstance(option, Chars) for option in options):
+            return Chars(union(r for option in options for r in option.ranges))
+        return options[0] if len(options) == 1 else Alt(tuple(options))
+
+    def sequence(self):
+        items = []
+        while self.at < len(self.pattern) and not self.peek("|") and not self.peek(")"):
+            if self.peek("(?#"):
+                end = self.pattern.find(")", self.at)
+                if end < 0:
+                    raise self.invalid("a comment has no end")
+                self.at = end + 1
+                continue
+            items.append(self.quantified(self.atom()))
+        out = seq(*items)
         return out.items[0] if len(out.items) == 1 else out
 
-    return sequence(tree)
+    def quantified(self, item):
+        bounds = self.quantifier()
+        if bounds is None:
+            return item
+        if self.take("?"):
+            raise self.refused("non-greedy quantifiers")
+        if self.take("+"):
+            raise self.refused("possessive quantifiers")
+        if self.quantifier() is not None:
+            raise self.invalid("two quantifiers stand together")
+        low, high = bounds
+        if high is not None and low > high:
+            raise self.invalid("the least is above the most")
+        return repeat(low, high, item)
+
+    def quantifier(self) -> tuple[int, int | None] | None:
+        for mark, bounds in (("*", (0, None)), ("+", (1, None)), ("?", (0, 1))):
+            if self.take(mark):
+                return bounds
+        found = _QUANTIFIER.match(self.pattern, self.at)
+        if not found or not (found[1] or found[2]):
+            return None  # a brace that is no quantifier stands for itself
+        self.at = found.end()
+        low = int(found[1] or 0)
+        return low, (int(found[3]) if found[3] else None) if found[2] else low
+
+    def atom(self):
+        char = self.char()
+        if char == "(":
+            return self.group()
+        if char == "[":
+            return Chars(self.char_class())
+        if char == ".":
+            return Chars(self.any_char)
+        if char in "^$":
+            raise self.refused("anchors and word boundaries")
+        if char in "*+?" or char == "{" and _QUANTIFIER.match(self.pattern, self.at - 1) and self.pattern[self.at] != "}":
+            raise self.invalid("there is nothing to repeat")
+        if char == "\\":
+            return Chars(self.escape(False))
+        return Chars(((ord(char), ord(char)),))
+
+    def group(self):
+        name = None
+        if self.peek("?"):
+            if self.take("?:"):
+                pass
+            elif self.peek("?=") or self.peek("?!") or self.peek("?<=") or self.peek("?<!"):
+                raise self.refused("lookaround")
+            elif self.peek("?P="):
+                raise self.refused("backreferences")
+            elif self.peek("?("):
+                raise self.refused("conditional groups")
+            elif self.peek("?>"):
+                raise self.refused("atomic groups")
+            elif found := _GROUP_NAME.match(self.pattern, self.at):
+                name = found[1]
+                if not name.isidentifier() or name in self.names:
+                    raise self.invalid(f"bad or repeated group name {name!r}")
+                self.names.add(name)
+                self.at = found.end()
+            elif re.compile(r"\?[aiLmsux-]+[:)]").match(self.pattern, self.at):
+                raise RuleSyntaxError(f"inline flags are not supported: {self.pattern!r}")
+            else:
+                raise self.invalid("unknown kind of group")
+        inner = self.alternation()
+        if not self.take(")"):
+            raise self.invalid("a group has no end")
+        return inner if name is None else Capture(name, inner)
+
+    def escape(self, in_class: bool) -> Ranges:
+        char = self.char()
+        if char.lower() in SHORTHAND:
+            ranges = SHORTHAND[char.lower()]
+            return ranges if char.islower() else complement(ranges)
+        if char in _HEX:
+            digits = self.pattern[self.at : self.at + _HEX[char]]
+            if len(digits) < _HEX[char] or not re.fullmatch("[0-9a-fA-F]+", digits) or int(digits, 16) > MAX_CODE:
+                raise self.invalid(f"bad escape \\{char}")
+            self.at += len(digits)
+            return ((int(digits, 16),) * 2,)
+        octal = re.compile("[0-7]{3}" if char != "0" and not in_class else "[0-7]{1,3}").match(self.pattern, self.at - 1)
+        if char.isdigit() and octal:
+            self.at = octal.end()
+            if int(octal[0], 8) > 0o377:
+                raise self.invalid("an octal escape is too large")
+            return ((int(octal[0], 8),) * 2,)
+        if char.isdigit() and not in_class:
+            raise self.refused("backreferences")
+        if in_class and char == "b":
+            return ((0x08, 0x08),)
+        if char in "bBAZ" and not in_class:
+            raise self.refused("anchors and word boundaries")
+        if char in _CONTROL:
+            return ((_CONTROL[char],) * 2,)
+        if char.isascii() and char.isalnum():
+            raise self.invalid(f"bad escape \\{char}")
+        return ((ord(char), ord(char)),)
+
+    def char_class(self) -> Ranges:
+        negated, ranges, first_place = self.take("^"), [], self.at
+        while self.at == first_place or not self.peek("]"):
+            low = self.class_item()
+            if self.peek("-") and not self.peek("-]"):
+                self.take("-")
+                high = self.class_item()
+                if not _is_char(low) or not _is_char(high) or low[0][0] > high[0][0]:
+                    raise self.invalid("bad character range")
+                low = ((low[0][0], high[0][0]),)
+            ranges += low
+        self.take("]")
+        return complement(union(ranges)) if negated else union(ranges)
+
+    def class_item(self) -> Ranges:
+        char = self.char()
+        return self.escape(True) if char == "\\" else ((ord(char), ord(char)),)
+
+
+def _is_char(ranges: Ranges) -> bool:
+    return len(ranges) == 1 and ranges[0][0] == ranges[0][1]
+
+
+def parse(pattern: str, delimiters: Ranges):
+    """Read one rule. ``.`` stands for any character that is not a delimiter."""
+    reader = _Reader(pattern, delimiters)
+    node = reader.alternation()
+    if reader.at < len(pattern):
+        raise reader.invalid("a bracket closes nothing")
+    return node
 
 
 def repeat(low: int, high: int | None, item):
