@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logtables.llm.chat import digests, prefix_examples
 from logtables.llm.common import remainder, table
+from logtables.llm.decontamination import contamination
+from logtables.llm.html_text import extract_main_text
+from logtables.llm.licenses import scan_licenses
+from logtables.llm.minhash import near_duplicates
+from logtables.llm.packing import pack_documents
+from logtables.llm.quality import fit_quality, score_quality
+from logtables.llm.token_counts import token_counts
+from logtables.llm.topk import top_k
+from logtables.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,16 +36,12 @@ def public_vocabulary(name: str) -> str:
 
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from logtables.llm.packing import pack_documents
-
     packed = pack_documents(table(spark, sf_dir, "documents"), public_vocabulary("byte_bpe_50k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from logtables.llm.decontamination import contamination
-
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return found.select(
@@ -81,8 +87,6 @@ MARKED = r"\### Assistant: </turn> ok"
 
 @query
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from logtables.llm.chat import digests, prefix_examples
-
     more = spark.sql("select explode(array(named_struct('turn', 0, 'role', 'user'), named_struct('turn', 1, 'role', 'assistant'))) as t")
     more = more.select(F.lit(-7).alias("conv_id"), "t.turn", "t.role", F.lit(MARKED).alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -107,16 +111,12 @@ from shown group by conv_id"""
 
 @query
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from logtables.llm.html_text import extract_main_text
-
     texts = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
 @query
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from logtables.llm.topk import top_k
-
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
@@ -134,16 +134,12 @@ select query_id, rank::int as rank, vec_id, score from (
 
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from logtables.llm.token_counts import token_counts
-
     return token_counts(table(spark, sf_dir, "documents"), public_vocabulary("piece_bpe_32k.model"))
 
 
 @query
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files: a directory per source, language and hundred ids, its first document the licence file."""
-    from logtables.llm.licenses import scan_licenses
-
     name = F.when(F.col("doc_id") % 100 == 0, "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), name)
     files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
@@ -151,30 +147,22 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str):
-    from logtables.llm.toxicity import fit_toxicity
-
     return fit_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
 
 
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from logtables.llm.toxicity import score_toxicity
-
     scored = score_toxicity(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def quality_model(spark: SparkSession, sf_dir: str):
-    from logtables.llm.quality import fit_quality
-
     return fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
 
 
 @query
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from logtables.llm.quality import score_quality
-
     scored = score_quality(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
@@ -182,6 +170,4 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from logtables.llm.minhash import near_duplicates
-
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
