@@ -7,7 +7,7 @@
    out, and what remains is a key. So all pairs within that distance meet under a key. m is the least for which two
    sets at the similarity threshold differ in more values with a probability below 1e-6: 13 for 0.85, 16 for 0.8.
 3. Classes that share a key are compared by signature, in units of two blocks of bounded size; keys with the same
-   members count once. A unit gives a spanning forest of the pairs within the distance, not the pairs. Connected, these
+   members count once, and keys whose members others have connected already are left out. A unit gives a spanning forest of the pairs within the distance, not the pairs. Connected, these
    are groups outside of which no link can be.
 4. Full sets are made again for the classes in groups, and confirmed from the nearest pairs on in units of two
    blocks; pairs that are linked already by others are passed over. A unit gives a spanning forest of the
@@ -34,6 +34,8 @@ from logtables.llm.components import connected_components
 VALUES = 64
 MISSED = 1e-6
 BLOCK = 512
+#: One key in so many is compared before the others.
+EARLY = 2
 MEMO_WORDS = 400_000
 _RANDOM = np.random.default_rng(20)
 _FACTORS = _RANDOM.integers(1, 2**63, VALUES, dtype="u8") * np.uint64(2) + np.uint64(1)
@@ -152,13 +154,17 @@ def units(members: DataFrame, group: str, size: str, node: str, block: int) -> D
 def forests(rows: DataFrame, group: str, node: str, values: list[str], confirm: Callable[[], Callable], most: int) -> DataFrame:
     """Links (a, b) that connect what belongs together in each unit: every member of a tree with its smallest.
 
+    Members that agree in the column ``known``, if there is one, are connected already; of those, one link at most leaves
+    the unit.
+
     ``confirm`` makes, once per task, a function of the unit's value columns that returns (signatures, test), where
     test(i, j) tells whether a pair is a link; pairs that differ in more than ``most`` values aren't tested.
     """
     kind = rows.schema[node].dataType.simpleString()
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [group, "first", "last"]
-    dealt = rows.select(*keys, "block", node, *values).repartition(n, *keys).sortWithinPartitions(*keys)
+    known = "known" if "known" in rows.columns else node
+    dealt = rows.select(*keys, "block", node, F.col(known).alias("known"), *values).repartition(n, *keys).sortWithinPartitions(*keys)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prepare = confirm()
@@ -169,19 +175,22 @@ def forests(rows: DataFrame, group: str, node: str, values: list[str], confirm:
             members = sorted(unit, key=lambda line: line[4])
             if len(members) < 2:
                 continue
-            signatures, test = prepare([m[5:] for m in members])
+            signatures, test = prepare([m[6:] for m in members])
             blocks = np.array([m[3] for m in members])
             first = np.flatnonzero(blocks == key[1])
             second = first if key[1] == key[2] else np.flatnonzero(blocks == key[2])
-            forest = Forest(len(members))
+            forest, firsts = Forest(len(members)), {}
+            for i, member in enumerate(members):
+                forest.join(i, firsts.setdefault(member[5], i))
+            heads = [i for i in range(len(members)) if forest.root(i) == i]
             if len(first) and len(second):
                 for i, j, _ in zip(*(x.tolist() for x in within_distance(signatures, first, second, most))):
                     if forest.root(i) != forest.root(j) and test(i, j):
                         forest.join(i, j)
-            for i, member in enumerate(members):
+            for i in heads:
                 root = forest.root(i)
                 if root != i:
-                    a.append(member[4])
+                    a.append(members[i][4])
                     b.append(members[root][4])
             if len(a) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -276,8 +285,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     met = met.where("n > 1").groupBy("n", "least", "most", "members").agg(F.min("key").alias("key"))
     met = stored(met.select("key", "n"), "shared-keys")
     members = stored(keys.join(met, "key").select("key", "n", "node"), "key-members")
-    compared = units(members, "key", "n", "node", block).join(nodes, "node")
-    near = forests(compared, "key", "node", ["signature"], by_signature, most)
+    # a share of the keys first: what they connect need not be compared again, and most keys of large groups fall away
+    part = units(members.where(F.pmod("key", F.lit(EARLY)) == 0), "key", "n", "node", block).join(nodes, "node")
+    early = connected_components(forests(part, "key", "node", ["signature"], by_signature, most), "near")
+    early = stored(early, "early-groups")
+    rest = members.where(F.pmod("key", F.lit(EARLY)) != 0).join(early, "node", "left")
+    rest = rest.select("key", "n", "node", F.coalesce("component", "node").alias("known"))
+    open_keys = rest.groupBy("key").agg(F.min("known").alias("l"), F.max("known").alias("m")).where("l <> m").select("key")
+    part = units(rest.join(open_keys, "key"), "key", "n", "node", block).join(nodes, "node")
+    late = forests(part, "key", "node", ["signature"], by_signature, most)
+    near = early.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)
     groups = stored(connected_components(near, "near"), "groups")
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     grouped = groups.join(sizes, "component").join(nodes, "node")
