@@ -86,6 +86,22 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+STORY = "<p>" + "It was late, and the road was long; nobody spoke, not even the driver. " * 4 + "</p>"
+STORY_TEXT = " ".join(STORY[3:-4].split())
+LINKS = "<ul>" + "<li><a href=/x>Elsewhere</a></li>" * 5 + "</ul>"
+
+
+def test_ratios_decide_on_marked_and_unmarked_pages():
+    cards = "<article class=card><h3><a href=/1>First teaser</a></h3></article><article class=card><h3><a href=/2>Second</a></h3></article>"
+    assert html_text.main_text(f"<body><div class=story>{STORY * 3}</div>{cards}</body>") == " ".join([STORY_TEXT] * 3)
+    assert html_text.main_text(f"<body><div class=story>{STORY * 3}</div><article class=card><p>A teaser.</p></article></body>").startswith(STORY_TEXT)
+    # inside a marked part, paths of links go; parts without a mark go if they are weak
+    assert html_text.main_text(f"<article>{STORY}{LINKS}</article><div class=x><p>Buy.</p></div>") == STORY_TEXT
+    assert html_text.main_text(f"<div class=x>{STORY}{LINKS}</div>") == STORY_TEXT
+    # one and the same path, once in a marked part
+    assert html_text.main_text(f"<div><p>Weak.</p></div><div role=main>{STORY}</div>") == STORY_TEXT
+
+
 def test_pages(spark):
     rows = [(i, p, "old", "x") for i, (p, _) in enumerate(PAGES)] * 2
     pages = spark.createDataFrame(rows, "page_id bigint, html string, text string, row string")
