@@ -1,9 +1,11 @@
 """License scans: TF-IDF cosine to templates, then inheritance along directories.
 
-The vector space has the words and word pairs of the templates; weights come from their document frequency in the
-whole corpus, which is one pass and one row per term. A text's passages (each line, each run of lines that speak of
-licences, the whole text) are compared with every template. Terms outside the templates add to a passage's length
-with the weight of a term that no document has, so ordinary prose never comes close.
+The templates are notices of a few sentences and the full texts of licences (``license_texts/``). The vector space has
+their words and word pairs; weights come from their document frequency in the whole corpus, which is one pass and one
+row per term. A text's passages (each line, paragraph and run of lines that speak of licences, runs of lines about as
+long as a template from every line on, the whole text) are compared with every template that the text's words can
+reach. Terms outside the templates add to a passage's length with the weight of a term that no document has, so
+ordinary prose never comes close.
 
 Files without a licence of their own inherit from the nearest directory above them, their own first, that has a
 licence file. Directories, not files, are joined with their ancestors.
@@ -11,6 +13,7 @@ licence file. Directories, not files, are joined with their ancestors.
 
 from __future__ import annotations
 
+import pathlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -49,7 +52,11 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: Full texts, without the lines that name the holder of the rights.
+TEXTS = pathlib.Path(__file__).parent / "license_texts"
 THRESHOLD = 0.7
+#: Runs of lines are of about these multiples of a template's words; at the threshold it has few others or few missing.
+LENGTHS = (0.6, 1.0, 1.5)
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|copyright)(\.[a-z]+)?$"
 WORD = re.compile(r"[a-z0-9]+(?:[-.+][a-z0-9]+)*")
 
@@ -60,6 +67,10 @@ def terms_of(text: str) -> list[str]:
     return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
+def full_texts() -> list[tuple[str, str]]:
+    return [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(TEXTS.glob("*.txt"))]
+
+
 def document_frequencies(docs: DataFrame, text: str, templates: list[tuple[str, str]]) -> tuple[int, dict[str, int]]:
     """The number of documents, and for each term of the templates that of documents with it: one row per term."""
     vocabulary = sorted({t for _, x in templates for t in terms_of(x)})
@@ -85,67 +96,160 @@ def document_frequencies(docs: DataFrame, text: str, templates: list[tuple[str,
 
 
 class Matcher:
-    """Cosines of passages to templates."""
+    """Cosines of passages to templates: notices, and full texts."""
 
-    def __init__(self, templates: list[tuple[str, str]], documents: int, frequency: dict[str, int], threshold: float):
-        self.names, self.threshold = [name for name, _ in templates], threshold
-        self.idf = {t: np.log((1 + documents) / (1 + frequency.get(t, 0))) + 1 for _, x in templates for t in terms_of(x)}
-        self.unseen = np.log(1 + documents) + 1
+    def __init__(self, templates: list[tuple[str, str]], documents: int, frequency: dict[str, int], threshold: float,
+                 texts: list[tuple[str, str]] | None = None):
+        both = [*templates, *(texts or [])]
+        self.names, self.threshold, self.notices = [name for name, _ in both], threshold, len(templates)
+        self.idf = {t: float(np.log((1 + documents) / (1 + frequency.get(t, 0))) + 1) for _, x in both for t in terms_of(x)}
+        self.unseen = float(np.log(1 + documents) + 1)
         self.vectors: list[dict[str, float]] = []
-        #: Words of which a passage must have one: without them no template can reach the threshold.
+        self.lengths = [len(WORD.findall(x.lower())) for _, x in both]
+        #: Words of which a passage must have one: without them no notice can reach the threshold.
         self.cues: set[str] = set()
-        for _, text in templates:
+        for at, (_, text) in enumerate(both):
             vector = {t: n * self.idf[t] for t, n in Counter(terms_of(text)).items()}
             norm = sum(v * v for v in vector.values()) ** 0.5
             vector = {t: v / norm for t, v in vector.items()}
             self.vectors.append(vector)
+            if at >= self.notices:
+                continue
             rest = 1.0
             for term in sorted((t for t in vector if " " not in t), key=lambda t: (-self.idf[t], t)):
                 if rest < threshold**2 * 0.999:
                     break
                 self.cues.add(term)
                 rest -= sum(v * v for t, v in vector.items() if term in t.split(" ") and not (set(t.split(" ")) - {term}) & self.cues)
+        #: A cosine's square is at most the share of the template's square that lies in terms the passage has. Here that
+        #: share per word and template, that of a pair at its rarer word; the last row is for all other words.
+        self.row = {t: i for i, t in enumerate(sorted(t for t in self.idf if " " not in t))}
+        self.share = np.zeros((len(self.row) + 1, len(both)))
+        self.least = threshold**2 * 0.999
+        #: term to (template, its weight there)
+        self.places: dict[str, list[tuple[int, float]]] = {}
+        for at, vector in enumerate(self.vectors):
+            for t, v in vector.items():
+                self.share[self.row[max(t.split(" "), key=self.idf.__getitem__)], at] += v * v
+                self.places.setdefault(t, []).append((at, v))
+
+    def cosines(self, words: list[str]) -> list[float]:
+        scores, norm = [0.0] * len(self.names), 0.0
+        for t, n in Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])]).items():
+            weight = n * self.idf.get(t, self.unseen)
+            norm += weight * weight
+            for at, v in self.places.get(t, ()):
+                scores[at] += v * weight
+        return [round(min(1.0, s / norm**0.5), 9) for s in scores] if norm else scores
 
     def best(self, passage: str) -> tuple[float, str | None]:
-        counts = Counter(terms_of(passage))
-        vector = {t: n * self.idf.get(t, self.unseen) for t, n in counts.items()}
-        norm = sum(v * v for v in vector.values()) ** 0.5
-        scores = [sum(v * vector.get(t, 0.0) for t, v in template.items()) / norm for template in self.vectors] if norm else [0.0]
+        scores = self.cosines(WORD.findall(passage.lower()))
         at = int(np.argmax(scores))  # of equal ones the first
-        return (round(min(1.0, scores[at]), 9), self.names[at]) if scores[at] >= self.threshold else (0.0, None)
+        return (scores[at], self.names[at]) if scores[at] >= self.threshold else (0.0, None)
+
+    def nearest_run(self, words: list[str], runs: list[tuple[int, int]], template: int) -> tuple[int, int] | None:
+        """Of runs whose starts and ends both rise, that with the highest cosine to one template, if it may reach the threshold."""
+        vector, counts, dot, norm, a, b = self.vectors[template], {}, 0.0, 0.0, 0, 0
+        highest, nearest = self.threshold - 1e-6, None
+
+        def change(term: str, by: int) -> None:
+            nonlocal dot, norm
+            weight, n = self.idf.get(term, self.unseen), counts.get(term, 0)
+            counts[term] = n + by
+            norm += (2 * n * by + 1) * weight * weight
+            dot += by * weight * vector.get(term, 0.0)
+
+        for start, end in runs:
+            if start >= b:
+                counts, dot, norm, a, b = {}, 0.0, 0.0, start, start
+            while b < end:
+                change(words[b], 1)
+                if b > a:
+                    change(f"{words[b - 1]} {words[b]}", 1)
+                b += 1
+            while a < start:
+                change(words[a], -1)
+                if a + 1 < b:
+                    change(f"{words[a]} {words[a + 1]}", -1)
+                a += 1
+            cosine = dot / norm**0.5
+            if cosine > highest + 1e-9:
+                highest, nearest = cosine, (start, end)
+        return nearest
 
     def scan(self, text: str | None) -> tuple[str | None, float, str | None]:
-        """Licence, cosine, and whether the whole text or a passage ("header") has it."""
-        words = set(WORD.findall(text.lower())) if text else set()
-        if self.cues.isdisjoint(words):
+        """Licence, cosine, and whether the whole text or a passage ("header") has it.
+
+        A full text goes before notices, which full texts contain, and a whole text before its passages.
+        """
+        found = self.row.keys() & set(WORD.findall(text.lower())) if text else set()
+        if not found:
+            return None, 0.0, None
+        possible = np.flatnonzero(self.share[[self.row[w] for w in found]].sum(axis=0) >= self.least)
+        if not len(possible):
             return None, 0.0, None
-        lines = text.split("\n")
-        spoken = [i for i, line in enumerate(lines) if not self.cues.isdisjoint(WORD.findall(line.lower()))]
-        passages = {lines[i] for i in spoken}
-        runs = np.split(np.array(spoken), np.flatnonzero(np.diff(spoken) > 3) + 1)
-        passages.update("\n".join(lines[r[0]: r[-1] + 1]) for r in runs)
-        score, name = max(map(self.best, sorted(passages)), key=lambda x: x[0])
-        whole, of_whole = self.best(text)
-        if of_whole and whole >= score:
-            return of_whole, whole, "file"
+        lines = [WORD.findall(line.lower()) for line in text.split("\n")]
+        words = [w for line in lines for w in line]
+        whole = self.cosines(words)
+        if max(whole[self.notices:], default=0.0) >= self.threshold:
+            at = self.notices + int(np.argmax(whole[self.notices:]))
+            return self.names[at], whole[at], "file"
+        starts = np.concatenate([[0], np.cumsum([len(line) for line in lines])])
+        other = len(self.row)
+        rows = np.array([self.row.get(w, other) for w in words])
+        filled = np.flatnonzero(np.diff(starts))  # lines with words
+        passages = {(i, i + 1) for i in filled.tolist()}
+        breaks = np.flatnonzero(np.diff(filled) > 1) + 1
+        passages.update((int(r[0]), int(r[-1]) + 1) for r in np.split(filled, breaks))  # paragraphs
+        spoken = np.array([i for i in filled.tolist() if not self.cues.isdisjoint(lines[i])], dtype=int)
+        if len(spoken):
+            passages.update((int(r[0]), int(r[-1]) + 1) for r in np.split(spoken, np.flatnonzero(np.diff(spoken) > 3) + 1))
+        ranges = np.array([(starts[i], starts[j]) for i, j in sorted(passages)])
+        chosen: set[tuple[int, int]] = set()
+        begins = starts[filled]
+        for at in possible.tolist():
+            sums = np.concatenate([[0.0], np.cumsum(self.share[rows, at])])
+            within = ranges[sums[ranges[:, 1]] - sums[ranges[:, 0]] >= self.least - 1e-9]
+            chosen.update((int(a), int(b)) for a, b in within)
+            for size in (self.lengths[at] * f for f in LENGTHS):
+                after = np.searchsorted(starts, np.minimum(begins + size, len(words)))  # first line end that is far enough
+                for ends in (starts[after], starts[after - 1]):
+                    reach = (ends > begins) & (sums[ends] - sums[begins] >= self.least - 1e-9)
+                    run = self.nearest_run(words, list(zip(begins[reach].tolist(), ends[reach].tolist())), at)
+                    if run:
+                        chosen.add(run)
+        best = (False, 0.0, None)
+        for a, b in sorted(chosen):
+            scores = self.cosines(words[a:b])
+            for part, full in ((scores[: self.notices], False), (scores[self.notices:], True)):
+                highest = max(part, default=0.0)
+                if highest >= self.threshold and (full, highest) > best[:2]:
+                    best = (full, highest, self.names[part.index(highest) + (self.notices if full else 0)])
+        full, score, name = best
+        highest = max(whole)
+        if not full and highest >= self.threshold and highest >= score:
+            return self.names[whole.index(highest)], highest, "file"
         return (name, score, "header") if name else (None, 0.0, None)
 
 
 def scan_licenses(files: DataFrame, path: str, text: str = "text", templates: list[tuple[str, str]] | None = None,
-                  threshold: float = THRESHOLD) -> DataFrame:
+                  threshold: float = THRESHOLD, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """The columns of files but text, with license, score, origin.
 
     origin is "header" or "file" for a licence in the text itself (score: its cosine), "inherited" (score null) for
     one of the nearest directory, and null if there is none, with a null license. A directory's licence is that of
     its licence files, told by their names; of several the one with the highest cosine, ties by name. Null and empty
     texts have no licence of their own, null paths inherit nothing, repeated rows stay, an empty table gives no rows.
-    Columns of files that are named like the results are left out.
+    Columns of files that are named like the results are left out. ``templates`` are notices, ``texts`` full texts;
+    without either they are those of this module.
     """
+    if texts is None:
+        texts = [] if templates else full_texts()
     templates = templates or TEMPLATES
     spark = files.sparkSession
     kept = [c for c in files.columns if c not in (text, "license", "score", "origin")]
-    documents, frequency = document_frequencies(files, text, templates)
-    shared = spark.sparkContext.broadcast(Matcher(templates, documents, frequency, threshold))
+    documents, frequency = document_frequencies(files, text, [*templates, *texts])
+    shared = spark.sparkContext.broadcast(Matcher(templates, documents, frequency, threshold, texts))
     rows = files.select(F.struct(*kept).alias("row"), F.col(path).alias("path"), F.col(text).alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
 

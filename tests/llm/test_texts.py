@@ -165,6 +165,82 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(rows.where("false"), "path").count() == 0
 
 
+MIT_FILE = """The MIT License (MIT)
+
+Copyright (c) 2019 Ann Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def test_licence_files_and_texts_inside_files(spark):
+    texts = dict(licenses.full_texts())
+    held = "Copyright (c) 2020, Some Company Inc.\nAll rights reserved.\n\n"
+    code = "".join(f"def step_{i}(value):\n    return value * {i} + other_{i}\n\n" for i in range(60))
+    comment = "".join(f"# {line}\n" for line in MIT_FILE.split("\n"))
+    # a sentence that is wrapped, amid lines that speak of licences too
+    permission = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\n" \
+                 "files (the \"Software\"), to deal in the Software without restriction\n"
+    amid = "The program may use any form of the work, see the public file.\nFor the version of the documentation see the other file.\n" * 3
+    files = {
+        "mit/LICENSE": (MIT_FILE, "MIT", "file"), "bsd3/LICENSE": (held + texts["BSD-3-Clause"], "BSD-3-Clause", "file"),
+        "bsd2/LICENSE": (held + texts["BSD-2-Clause"], "BSD-2-Clause", "file"), "apache/LICENSE": (texts["Apache-2.0"], "Apache-2.0", "file"),
+        "gpl2/COPYING": (texts["GPL-2.0"], "GPL-2.0", "file"), "gpl3/COPYING": (texts["GPL-3.0"], "GPL-3.0", "file"),
+        "agpl/COPYING": (texts["AGPL-3.0"], "AGPL-3.0", "file"), "lgpl/COPYING": (texts["LGPL-3.0"], "LGPL-3.0", "file"),
+        "mit/x/y.py": (code, "MIT", "inherited"), "gpl3/x.c": ("int main;", "GPL-3.0", "inherited"),
+        "code/a.py": (code + comment + code, "MIT", "header"), "code/b.py": (code, "None", "None"),
+        "code/c.txt": (amid + permission + amid, "MIT", "header"), "code/d.txt": (amid, "None", "None"),
+    }
+    rows = spark.createDataFrame([(p, t) for p, (t, _, _) in files.items()], "path string, text string")
+    found = {r.path: (str(r.license), str(r.origin)) for r in licenses.scan_licenses(rows, "path").collect()}
+    assert found == {p: (name, origin) for p, (_, name, origin) in files.items()}
+
+
+def test_words_in_reach_lose_no_passage():
+    rng = random.Random(3)
+    texts = [("Long", " ".join(x for _, x in licenses.TEMPLATES[:9])), ("Zlib", dict(licenses.full_texts())["Zlib"])]
+    matcher = licenses.Matcher(licenses.TEMPLATES, 50, {"the": 45, "license": 9}, 0.7, texts)
+    tried = inside = 0
+    for _ in range(300):
+        _, text = rng.choice(licenses.TEMPLATES + texts)
+        words = text.split()
+        for at in range(rng.randrange(0, 4)):
+            words.insert(rng.randrange(len(words)), rng.choice(["the", "other", "copy\n", "\n\n"]))
+        passage = " ".join(words)
+        alone = matcher.best(passage)
+        assert not alone[1] or matcher.scan(passage)[0] is not None
+        width, words = rng.randrange(4, 14), text.split()
+        wrapped = "\n".join("rem " + " ".join(words[i: i + width]) for i in range(0, len(words), width))
+        prose = "the license of other prose and more prose\n" * 30
+        if matcher.best(wrapped)[0] > 0.8:
+            inside += matcher.scan(f"{prose}{wrapped}\n{prose}")[0] is not None
+            tried += 1
+    assert tried == inside > 100
+    # the run that is kept while sliding is the best of all runs
+    lines = [[rng.choice("abcdefgh") for _ in range(rng.randrange(1, 5))] for _ in range(60)]
+    words, starts = [w for line in lines for w in line], np.cumsum([0, *map(len, lines)])
+    small = licenses.Matcher([("T", "a b c d a b")], 9, {"a": 5}, 0.2)
+    runs = [(int(starts[i]), int(starts[i + 2])) for i in range(len(lines) - 1)]
+    highest = max(small.cosines(words[a:b])[0] for a, b in runs)
+    assert small.cosines(words[slice(*small.nearest_run(words, runs, 0))])[0] == pytest.approx(highest)
+
+
 def test_cues_lose_no_passage():
     rng = random.Random(2)
     matcher = licenses.Matcher(licenses.TEMPLATES, 100, {"the": 90, "license": 9, "under the": 50}, 0.7)
