@@ -6,7 +6,8 @@ join clauses, per block). Each is smoothed with the paths beside it in page orde
 between long ones, both are fused into one weight, and the paths at or above a share of the page's best are content.
 Where the page says itself what a part is (article, nav, a class name such as "sidebar"), that is fused in as well: a
 path under a part that is never content weighs nothing, and a path under a part marked as content weighs several times
-as much and may have more links. The ratios decide on every page, marked or not.
+as much and may have more links. Names and forms only lower a path's weight, and not if the part holds most of the
+page's text outside links. The ratios decide on every page, marked or not.
 """
 
 from __future__ import annotations
@@ -35,16 +36,19 @@ SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 #: A new list item or cell doesn't close one outside of these.
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",),
          "option": ("select",), "tbody": ("table",), "tfoot": ("table",), "p": ("td", "th", "table", "article", "section", "div", "body", "aside")}
-NEVER = frozenset("head nav header footer aside form button select option dialog menu label input fieldset figure".split()) - {"figure"}
+NEVER = frozenset("head nav header footer aside button select option dialog menu label input".split())
+LOWERING = frozenset("form fieldset".split())
 CONTENT = frozenset("article main".split())
-NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-#: Parts of class names and ids, as words.
-NEVER_NAMES = frozenset(
+NEVER_ROLES = frozenset("navigation banner contentinfo complementary dialog alert menu menubar toolbar".split())
+LOWERING_ROLES = frozenset("search form".split())
+#: Class names and ids, whole or their last word, that lower a part, unless the first word says something of the layout.
+NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies copyright disqus footer foot form gdpr header masthead menu menus modal nav navbar navigation newsletter notice "
     "notices notification pager pagination popup promo promoted promotion related replies respond share sharing sidebar "
     "side skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
 )
+LAYOUT = frozenset("has have hide is no not show with without".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -53,12 +57,14 @@ MARKS = re.compile(r"[.,;:!?…。、，；：！？]")
 SHARE = 0.1
 #: The weight of a path that the page marks as content, and how much less of its text must be outside links.
 MARKED = 4.0
+#: The weight of a path for each part above it that a name, a form or fieldset lowers.
+LOWERED = 0.02
 
 
-def blocks_of(page: str) -> list[tuple[str, int, str, int]]:
-    """Blocks in page order: (path, -1 never content, 1 marked content, else 0; text; characters in links)."""
-    stack: list[tuple[str, str, int, bool]] = [("", "", 0, False)]  # tag, path, kind, in a link
-    blocks: list[tuple[str, int, str, int]] = []
+def blocks_of(page: str) -> list[tuple[str, int, tuple[str, ...], str, int]]:
+    """Blocks in page order: (path, -1 never content, 1 marked content, else 0; lowered parts above; text; characters in links)."""
+    stack: list[tuple[str, str, int, bool, tuple[str, ...]]] = [("", "", 0, False, ())]  # tag, path, kind, in a link, lowered parts
+    blocks: list[tuple[str, int, tuple[str, ...], str, int]] = []
     parts: list[str] = []
     linked = 0
     raw = None
@@ -70,7 +76,7 @@ def blocks_of(page: str) -> list[tuple[str, int, str, int]]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 at = next(s for s in reversed(stack) if s[0] not in INLINE)
-                blocks.append((at[1], at[2], text, linked))
+                blocks.append((at[1], at[2], at[4], text, linked))
             parts.clear()
         linked = 0
 
@@ -109,11 +115,14 @@ def blocks_of(page: str) -> list[tuple[str, int, str, int]]:
             else:
                 close(tag)
             continue
+        if tag in ("svg", "math") and m[3].rstrip().endswith("/"):
+            continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
             if tag not in INLINE and tag != "svg" and tag != "math":
                 parts.append(" ")
-            pos = end.end() if end else len(page)
+            if end or tag not in ("svg", "math"):  # a drawing or formula without an end ends at the next tag
+                pos = end.end() if end else len(page)
             continue
         if tag in VOID:
             if tag in ("br", "hr", "wbr", "img", "input") and tag != "wbr":
@@ -129,18 +138,21 @@ def blocks_of(page: str) -> list[tuple[str, int, str, int]]:
             close(other, SCOPE[tag])
         if tag not in INLINE:
             flush()
-        kind, label = kind_of(tag, m[3], stack[-1][2], stack)
         top = stack[-1]
-        stack.append((tag, top[1] if tag in INLINE else f"{top[1]}/{label}", kind, top[3] or tag == "a"))
+        kind, lowered, label = kind_of(tag, m[3], top[2])
+        path = top[1] if tag in INLINE else f"{top[1]}/{label}"
+        # a lowered inline tag has no step in the path
+        above = (*top[4], f"{top[1]}/{label}") if lowered else top[4]
+        stack.append((tag, path, kind, top[3] or tag == "a", above))
         depth = max(depth, len(stack))
     flush()
     return blocks
 
 
-def kind_of(tag: str, attributes: str, above: int, stack: list) -> tuple[int, str]:
-    """Whether a part is never content (-1), marked as content (1) or neither (0), and its step in the path."""
+def kind_of(tag: str, attributes: str, above: int) -> tuple[int, bool, str]:
+    """Whether a part is never content (-1), marked as content (1) or neither (0), whether it is lowered, its step in the path."""
     names: list[str] = []
-    kind = above
+    kind, lowered, content = above, tag in LOWERING, tag in CONTENT
     if attributes and not attributes.isspace():
         for m in ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -148,36 +160,39 @@ def kind_of(tag: str, attributes: str, above: int, stack: list) -> tuple[int, st
                 names += value.split()
             elif name == "role" and value.lower() in NEVER_ROLES:
                 kind = -1
-            elif name == "role" and value.lower() in ("main", "article") and kind == 0:
-                kind = 1
+            elif name == "role" and value.lower() in LOWERING_ROLES:
+                lowered = True
+            elif name == "role" and value.lower() in ("main", "article"):
+                content = True
             elif name in ("hidden",) or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                 kind = -1
         if re.search(r"(?:^|\s)hidden(?:\s|$)", attributes):
             kind = -1
     if kind < 0:
-        return -1, tag
+        return -1, False, tag
     if tag in NEVER:
-        return -1, tag
+        return -1, False, tag
     if tag in ("html", "body"):
-        return kind, tag
-    if any(w.lower() in NEVER_NAMES for n in names for w in WORD.findall(n)):
-        # a comment thread is often made of articles
-        return -1, tag
-    if tag in CONTENT:
-        kind = 1
-    return kind, f"{tag}.{'.'.join(sorted(names))}" if names and tag not in INLINE else tag
+        return kind, False, tag
+    lowered = not content and (lowered or any(map(lowers, names)))
+    return int(content or kind), lowered, f"{tag}.{'.'.join(sorted(names))}" if names and tag not in INLINE else tag
+
+
+def lowers(name: str) -> bool:
+    words = [w.lower() for w in WORD.findall(name)]
+    return name.lower() in NAMES or bool(words) and words[-1] in NAMES and words[0] not in LAYOUT
 
 
 def main_text(page: str | None, share: float = SHARE) -> str:
     """The page's main text; empty if there is none."""
     if not page:
         return ""
-    blocks = [b for b in blocks_of(page) if b[1] >= 0]
+    blocks = [(b[:3], *b[3:]) for b in blocks_of(page) if b[1] >= 0]
     if not blocks:
         return ""
-    paths: dict[tuple[str, int], list[float]] = {}
-    for path, kind, text, linked in blocks:
-        sums = paths.setdefault((path, kind), [0, 0, 0, 0])
+    paths: dict[tuple[str, int, tuple[str, ...]], list[float]] = {}
+    for path, text, linked in blocks:
+        sums = paths.setdefault(path, [0, 0, 0, 0])
         sums[0] += max(0, len(text) - linked)
         sums[1] += len(MARKS.findall(text)) if not linked else 0
         sums[2] += 1
@@ -185,11 +200,26 @@ def main_text(page: str | None, share: float = SHARE) -> str:
     order = list(paths)  # by first place in the page
     ratio = [paths[p][0] / paths[p][2] for p in order]
     marks = [paths[p][1] / paths[p][2] for p in order]
-    factor = {p: MARKED if p[1] > 0 else 1.0 for p in order}
+    most = holding_most(paths)
+    factor = {}
+    for p in order:
+        low = sum(part not in most for part in p[2])
+        factor[p] = LOWERED**low if low else MARKED if p[1] > 0 else 1.0
     weight = {p: a * (1 + b) * factor[p] for p, a, b in zip(order, smoothed(ratio), smoothed(marks))}
     best = max(weight.values())
-    kept = {p for p, w in weight.items() if w >= share * best and 2 * factor[p] * paths[p][0] >= paths[p][3]}
-    return " ".join(text for path, kind, text, _ in blocks if (path, kind) in kept)
+    kept = {p for p, w in weight.items() if w >= share * best and 2 * max(1.0, factor[p]) * paths[p][0] >= paths[p][3]}
+    return " ".join(text for path, text, _ in blocks if path in kept)
+
+
+def holding_most(paths: dict[tuple[str, int, tuple[str, ...]], list[float]]) -> set[str]:
+    """Lowered parts that hold most of the page's text outside links; marked text outside of lowered parts counts by its weight."""
+    held: dict[str, float] = {}
+    everything = 0.0
+    for (_, kind, parts), sums in paths.items():
+        everything += sums[0] * (MARKED if kind > 0 and not parts else 1)
+        for part in set(parts):
+            held[part] = held.get(part, 0) + sums[0]
+    return {part for part, n in held.items() if 2 * n > everything}
 
 
 def smoothed(values: list[float]) -> list[float]:

@@ -102,6 +102,32 @@ def test_ratios_decide_on_marked_and_unmarked_pages():
     assert html_text.main_text(f"<div><p>Weak.</p></div><div role=main>{STORY}</div>") == STORY_TEXT
 
 
+SIDE = "<div class=sidebar><p>Some other words, and a few more.</p></div>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<article class="post category-social">{STORY}</article>{SIDE}',
+    f'<div role=main class="share"><p></p>{STORY}</div>{SIDE}',
+    f'<div class="no-sidebar">{STORY}{SIDE}</div>', f'<div class="has-sidebar">{STORY}{SIDE}</div>', f'<div id=social><div>{STORY}</div>{SIDE}</div>',
+    f'<div class="ad-free share-ready">{STORY}</div>{SIDE}', f'<div class="page-widget">{STORY}</div>{SIDE}',
+    f'<body><form id="aspnetForm"><div>{STORY}</div>{SIDE}<form><fieldset><p>Search here.</p></fieldset></form></form></body>',
+    f'<form><article>{STORY}</article>{SIDE}</form>',
+    f'<div class="skip"><div>{STORY * 2}</div></div><article class=card><p>A teaser.</p></article>',
+    f'<article><svg class="icon" viewBox="0 0 1 1"/>{STORY}</article>{SIDE}', f'<article><math/>{STORY}<math><mi>x</mi></math></article>{SIDE}',
+    f'<article><svg width=1><path d="M0"/>{STORY}</article>{SIDE}', f'<article><svg><text>x</text></svg>{STORY}</article>{SIDE}',
+])
+def test_names_and_forms_lose_no_page(page):
+    assert STORY_TEXT in html_text.main_text(page)
+    assert "other words" not in html_text.main_text(page)
+
+
+def test_names_still_lower_their_parts():
+    comments = "<section class=comments><article class=comment><p>First, and not the last!</p></article></section>"
+    for page in (f"<article>{STORY}</article>{comments}", f"<div>{STORY}</div>{comments}", f"<main>{STORY}{comments}</main>",
+                 f"<div>{STORY}</div><form><p>Your name, please.</p></form>", f"<div>{STORY}</div><div class='page-footer'><p>Some words.</p></div>"):
+        assert html_text.main_text(page) == STORY_TEXT
+
+
 def test_pages(spark):
     rows = [(i, p, "old", "x") for i, (p, _) in enumerate(PAGES)] * 2
     pages = spark.createDataFrame(rows, "page_id bigint, html string, text string, row string")
