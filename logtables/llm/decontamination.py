@@ -37,14 +37,15 @@ class TestItems:
     """All windows of some test items, in order.
 
     An item of fewer words than ``window`` is one window. ``keys`` has a row for each different window: its word
-    numbers from 1, then zeros. ``owners`` and ``first`` tell the items of each.
+    numbers from 1, then zeros. ``owners`` and ``first`` tell the items of each. ``sides`` has all places of windows
+    in items, by the word before and by the word after: (window and word as one number, items, places in them).
     """
 
     __test__ = False
 
     def __init__(self, items: list[tuple[object, str | None]], window: int):
         self.window, self.vocabulary = window, {}
-        self.ids, rows, owner, at = [], [], [], []
+        self.ids, rows, owner, at, before, after = [], [], [], [], [], []
         for item_id, text in items:
             words = words_of(text)
             if item_id is None or not words:
@@ -55,13 +56,20 @@ class TestItems:
                 rows.append(part + [0] * (window - len(part)))
                 owner.append(len(self.ids))
                 at.append(start)
+                before.append(numbers[start - 1] if start else 0)
+                after.append(numbers[start + window] if start + window < len(numbers) else 0)
             self.ids.append(item_id)
         rows = np.array(rows, ">u4").reshape(-1, window)
         self.lengths = np.zeros(0, "i8")
         if len(rows):
             self.keys, inverse = np.unique(packed(rows), return_inverse=True)
             order = np.argsort(inverse, kind="stable")
-            self.owners, self.starts = np.array(owner)[order], np.array(at)[order]
+            owner, at = np.array(owner), np.array(at)
+            self.owners, self.sides = owner[order], []
+            for side in (before, after):
+                code = inverse.astype("i8") * (len(self.vocabulary) + 1) + np.array(side, "i8")
+                by_word = np.argsort(code, kind="stable")
+                self.sides.append((code[by_word], owner[by_word], at[by_word]))
             self.first = np.searchsorted(inverse[order], np.arange(len(self.keys) + 1))
             words = np.frombuffer(b"".join(k.ljust(4 * window, b"\0") for k in self.keys.tolist()), ">u4").reshape(-1, window)
             self.words, self.lengths = words, (words > 0).sum(axis=1)
@@ -100,20 +108,36 @@ class Shard:
         return window, self.suffixes[low[window] + nth]
 
 
-def spans_of(items: TestItems, window: np.ndarray, place: np.ndarray, text: np.ndarray):
-    """The longest matches: (place, length, item, place in the item), by place.
+def edges(items: TestItems, side: int, window: np.ndarray, word: np.ndarray):
+    """Where matches begin (side 0) or end (1): (occurrence, item, place in the item).
 
-    Of the items that have a window, the first stands for all.
+    ``word`` is the word beside each occurrence. A match goes on at all places of the window in items that have the
+    same word beside them, which are one range and left out; so the work grows with the matches, not with all pairs of
+    places.
     """
-    owner, start = items.owners[items.first[window]], items.starts[items.first[window]]
-    order = np.lexsort((place, place - start, owner, text[place]))
-    window, place, owner, start = window[order], place[order], owner[order], start[order]
-    new = np.r_[True, (np.diff(place) != 1) | (np.diff(start) != 1) | (np.diff(owner) != 0) | (np.diff(text[place]) != 0)]
-    at = np.flatnonzero(new)
-    last = np.r_[at[1:], len(place)] - 1
-    length = place[last] + items.lengths[window[last]] - place[at]
-    order = np.argsort(place[at], kind="stable")
-    return place[at][order], length[order], owner[at][order], start[at][order]
+    codes, owners, starts = items.sides[side]
+    code = window * (len(items.vocabulary) + 1) + word
+    low = np.searchsorted(codes, code, "left")
+    same = np.where(word > 0, np.searchsorted(codes, code, "right") - low, 0)
+    n = items.first[window + 1] - items.first[window] - same
+    which = np.repeat(np.arange(len(n)), n)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + items.first[window[which]]
+    nth += np.where(nth >= low[which], same[which], 0)
+    return which, owners[nth], starts[nth]
+
+
+def spans_of(items: TestItems, window: np.ndarray, place: np.ndarray, numbers: np.ndarray):
+    """The longest matches of every item and every place in it: (place, length, item, place in the item), by place."""
+    sides = numbers.astype("i8")
+    begin, owner, start = edges(items, 0, window, np.where(place > 0, sides[place - 1], 0))
+    end, end_owner, end_start = edges(items, 1, window, sides[place + items.lengths[window]])
+    # along a diagonal of text and item, beginnings and ends take turns
+    order = np.lexsort((place[begin], place[begin] - start, owner))
+    begin, owner, start = begin[order], owner[order], start[order]
+    end = end[np.lexsort((place[end], place[end] - end_start, end_owner))]
+    length = place[end] + items.lengths[window[end]] - place[begin]
+    order = np.lexsort((start, owner, place[begin]))
+    return place[begin][order], length[order], owner[order], start[order]
 
 
 def search_block(items: TestItems, item_type: pa.DataType, shortest: int):
@@ -141,7 +165,7 @@ def search_block(items: TestItems, item_type: pa.DataType, shortest: int):
                 pairs = np.unique(np.repeat(row, n) * len(block.ids) + owners)
                 for r, o in zip(*(x.tolist() for x in np.divmod(pairs, len(block.ids)))):
                     found[r] = [*found[r], block.ids[o]] if block.ids[o] not in found[r][-1:] else found[r]
-                for p, n, o, s in zip(*(x.tolist() for x in spans_of(block, window, place, text))):
+                for p, n, o, s in zip(*(x.tolist() for x in spans_of(block, window, place, numbers))):
                     r = int(text[p])
                     spans[r].append({"start": p - int(offset[r]), "length": n, "item_id": block.ids[o], "item_start": s})
             hit = [union_length(s) for s in spans]

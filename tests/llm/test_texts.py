@@ -54,6 +54,33 @@ def test_matches_equal_brute_force(spark, docs, block_chars):
                 assert mine[0][s.start: s.start + s.length] == texts[s.item_id][s.item_start: s.item_start + s.length]
 
 
+def longest_matches(text, items, window):
+    w, found = words(text), set()
+    for item, t in items:
+        b = words(t)
+        n = min(window, len(b))
+        pairs = {(j, i) for i in range(len(b) - n + 1) for j in range(len(w) - n + 1) if n and w[j: j + n] == b[i: i + n]}
+        for j, i in pairs:
+            if (j - 1, i - 1) not in pairs:
+                m = next(m for m in range(len(w) + 1) if (j + m + 1, i + m + 1) not in pairs)
+                found.add((j, n + m, item, i))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("block_chars", [16_000_000, 60])
+def test_spans_are_all_longest_matches(spark, docs, block_chars):
+    rng = random.Random(7)
+    make = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    a, b, c = "s t u v w x y z", "u v w x y z one two three", "v w x y p v w x y q"
+    items = [(1, a), (2, b), (3, c), (4, "k k k k k k k"), (5, "k k")] + [(10 + k, make(rng.randrange(1, 12))) for k in range(8)]
+    rows = [(1, f"so {b} end"), (2, f"{a} {b}"), (3, c), (4, "k " * 15), (5, "v w x y"), (6, "")] + [(10 + k, make(40)) for k in range(12)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontamination.contamination(docs(rows), bench, window=4, block_chars=block_chars).collect()
+    got = {r.doc_id: sorted((s.start, s.length, s.item_id, s.item_start) for s in r.spans) for r in found}
+    assert got == {i: longest_matches(t, items, 4) for i, t in rows}
+    assert (1, 9, 2, 0) in got[1]
+
+
 def test_clean_rows_keep_their_columns(spark, docs):
     bench = spark.createDataFrame([(1, "one two three four five")], "item_id bigint, text string")
     rows = docs([(1, "zero ONE two-three four five"), (2, "one two three"), (3, None), (None, "x")])
