@@ -21,14 +21,30 @@ PARTS = 4
 
 
 def stream_of(spark, sf_dir, name, key="event_id"):
-    """A table as a stream of at least PARTS batches, in the order of a key."""
+    """A table as a stream of PARTS batches, in the order of a key; rows without a key come in the last.
+
+    Each part is written in the partitions of the table and read as one batch. Parts with fewer files than the largest
+    are filled up with empty ones, so that no batch reaches into the next part.
+    """
     rows = table(spark, sf_dir, name)
     folder = new_folder(spark, f"{name}-parts")
     low, high = rows.agg(F.min(key), F.max(key)).first()
+    low, high = (0, 0) if low is None else (low, high)
     part = F.least(F.floor((F.col(key) - low) * PARTS / F.lit(max(1, high - low))), F.lit(PARTS - 1))
+    # partition 0 writes a file in any case, others if they have rows
+    writing = rows.select(part.alias("part"), F.spark_partition_id().alias("p")).where("p > 0").distinct()
+    files = 1 + (writing.groupBy("part").count().agg(F.max("count")).first()[0] or 0)
     for i in range(PARTS):  # the stream takes files by their age
-        rows.where(part == i).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        rows.where(part == i).write.mode("append").parquet(folder)
+        for _ in range((i + 1) * files - files_in(spark, folder)):
+            rows.where(F.lit(False)).coalesce(1).write.mode("append").parquet(folder)
+        if files_in(spark, folder) != (i + 1) * files:
+            raise RuntimeError(f"part {i} of {name} has other files than expected")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+def files_in(spark, folder):
+    return len(spark.read.parquet(folder).inputFiles())
 
 
 def app_stream(spark, sf_dir):
