@@ -15,6 +15,7 @@ from logtables.llm.licenses import scan_licenses
 from logtables.llm.minhash import near_duplicates
 from logtables.llm.packing import pack_documents
 from logtables.llm.quality import fit_quality, score_quality
+from logtables.llm.repeats import repeated_spans
 from logtables.llm.token_counts import token_counts
 from logtables.llm.topk import top_k
 from logtables.llm.toxicity import fit_toxicity, score_toxicity
@@ -171,3 +172,9 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
