@@ -13,6 +13,7 @@ from logtables.llm.decontamination import contamination
 from logtables.llm.html_text import extract_main_text
 from logtables.llm.licenses import scan_licenses
 from logtables.llm.minhash import near_duplicates
+from logtables.llm.negatives import hard_negatives
 from logtables.llm.packing import pack_documents
 from logtables.llm.quality import fit_quality, score_quality
 from logtables.llm.repeats import repeated_spans
@@ -178,3 +179,33 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_spans(table(spark, sf_dir, "documents"), length=400)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", moved)
+    return hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+SQL["op12_hard_negatives"] = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where label is not null and vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+         list_sum(list_transform(list_zip(a.v, r.v), lambda z: z[1] * z[2]))::bigint as score
+  from v a join v r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from (
+    select *, row_number() over (partition by anchor_id order by score desc, vec_id) as n from scored where same) where n <= 5),
+negatives as (
+  select anchor_id, positive_id, positive_score, s.vec_id as negative_id, s.score as negative_score,
+         row_number() over (partition by anchor_id, positive_id order by s.score desc, s.vec_id)::int as rank
+  from positives p join scored s using (anchor_id)
+  where not s.same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 10"""
