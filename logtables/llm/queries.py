@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtables.llm.chat import digests, prefix_examples
+from logtables.llm.codes import quantise
 from logtables.llm.common import remainder, table
 from logtables.llm.decontamination import contamination
 from logtables.llm.html_text import extract_main_text
@@ -209,3 +210,45 @@ negatives as (
   from positives p join scored s using (anchor_id)
   where not s.same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score)
 select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 10"""
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantise(table(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Each round as two tables: the nearest entries, and the codebooks after it. Lists are cut and compared by component."""
+    head = f"""
+with v as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (
+  select vec_id, part, list_slice(v, part * (len(v) // {parts}) + 1, (part + 1) * (len(v) // {parts})) as x
+  from v, (select unnest(range({parts})) as part)),
+books0 as (
+  select part, (row_number() over (partition by part order by vec_id) - 1)::int as entry, x as c from p
+  where vec_id in (select vec_id from v order by vec_id limit {entries}))"""
+    for i in range(rounds + 1):
+        head += f""",
+near{i} as (
+  select vec_id, part, x, min_by(entry, d * {entries} + entry) as entry, min(d) as d from (
+    select vec_id, p.part, x, entry, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+    from p join books{i} b on p.part = b.part) group by vec_id, part, x)"""
+        if i < rounds:
+            head += f""",
+means{i} as (
+  select part, entry, list(m order by i) as c from (
+    select part, entry, i, (sum(val) - ((sum(val) % count(*)) + count(*)) % count(*)) // count(*) as m
+    from (select part, entry, unnest(x)::hugeint as val, unnest(range(len(x))) as i from near{i}) group by part, entry, i)
+  group by part, entry),
+books{i + 1} as (select b.part, b.entry, coalesce(m.c, b.c)::bigint[] as c from books{i} b left join means{i} m using (part, entry))"""
+    return head + f""",
+coded as (
+  select vec_id, string_agg(printf('%02x', entry), '' order by part) as code, sum(d)::bigint as error from near{rounds} group by vec_id)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+       (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) from books{rounds}) as codebooks_sha256
+from coded join v using (vec_id)"""
+
+
+SQL["op13_vector_codes"] = _codes_sql()
