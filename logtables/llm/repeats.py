@@ -29,11 +29,11 @@ from logtables.llm.common import stored
 from logtables.workspace import new_folder
 
 #: Bytes that are worked on at a time; longer texts are taken in sections.
-SECTION = 1 << 20
+SECTION = 1 << 19
 #: Starts in a block, at most.
 BLOCK = 32
 #: Suffixes in a bucket, and samples for each.
-BUCKET = 150_000
+BUCKET = 100_000
 SAMPLES = 100
 SAMPLED_TEXTS = 20_000
 #: Up to this size a part of a bucket is sorted by whole keys.
@@ -110,8 +110,12 @@ def binary(rows: np.ndarray) -> pa.Array:
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Values of ``width`` bytes each as rows."""
-    return np.frombuffer(b"".join(column.to_pylist()), "u1").reshape(-1, width)
+    """Values of ``width`` bytes each as rows, without a copy."""
+    if not len(column):
+        return np.zeros((0, width), "u1")
+    _, offsets, data = column.buffers()
+    first = np.frombuffer(offsets, "i4")[column.offset]
+    return np.frombuffer(data, "u1")[first: first + width * len(column)].reshape(-1, width)
 
 
 def suffixes(texts: DataFrame, length: int, splitters: np.ndarray | None, share: float = 1.0) -> DataFrame:
@@ -124,7 +128,7 @@ def suffixes(texts: DataFrame, length: int, splitters: np.ndarray | None, share:
         bounds = None if cuts is None else np.array(cuts, f"S{lead + 24}")
         for batch in batches:
             keys = matrix(batch.column(0), 16)
-            for data, numbers, places, bases in sections([x.encode() for x in batch.column(1).to_pylist()], length - 1):
+            for data, numbers, places, bases in sections(batch.column(1).cast(pa.binary()).to_pylist(), length - 1):
                 stops = np.append(places[1:], len(data))
                 of, at, first, last = chosen(data, places, stops, length, window)
                 if bounds is None:
@@ -181,7 +185,8 @@ def compared(buckets: DataFrame, lead: int) -> DataFrame:
         # a bucket has a bounded size, by the splitters
         rows = pa.Table.from_batches(held).combine_chunks()
         leads = matrix(rows.column("lead").combine_chunks(), lead)
-        tokens = leads.view(">u8").astype("u8")
+        tokens = np.ascontiguousarray(leads).view(">u8").astype("u8")
+        del held
         order = multikey_quicksort(tokens)
         same = (tokens[order[1:]] == tokens[order[:-1]]).all(axis=1)
         met = np.append(same, False) | np.append(False, same)
@@ -262,7 +267,7 @@ def over_texts(texts: DataFrame, lists: DataFrame, names: list[str], length: int
             if not batch.num_rows:
                 continue
             keys, places = matrix(batch.column(0), 16), flat(batch.column(2), names)
-            for data, numbers, starts, bases in sections([x.encode() for x in batch.column(1).to_pylist()], reach):
+            for data, numbers, starts, bases in sections(batch.column(1).cast(pa.binary()).to_pylist(), reach):
                 parts, owners, shifts = [], [], []
                 for i, start, base in zip(numbers.tolist(), starts.tolist(), bases.tolist()):
                     rows = places[i]
@@ -394,9 +399,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
             if not batch.num_rows:
                 continue
             out: tuple[list, ...] = ([], [], [], [])
-            values = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), flat(batch.column(3), ["first", "last"]))
-            for string, copies, (first, last) in values:
-                data = string.encode()
+            values = zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), flat(batch.column(3), ["first", "last"]))
+            for data, copies, (first, last) in values:
                 spans = covered(first, last, length, len(data), copies > 1)
                 kept, at = hashlib.sha256(), 0
                 for a, b in spans:
