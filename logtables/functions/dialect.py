@@ -20,8 +20,10 @@ SHORTHAND = {
     "s": ((0x09, 0x0A), (0x0D, 0x0D), (0x20, 0x20)),
     "w": ((0x30, 0x39), (0x41, 0x5A), (0x5F, 0x5F), (0x61, 0x7A)),
 }
-#: Combinations of alternatives that one rule may have; a rule with more is refused when it is added.
-MAX_VARIANTS = 4096
+#: Options of alternations, and combinations of several optional parts, that are written out one by one; rules with more are
+#: matched and read in other ways.
+MOST_OPTIONS = 4096
+MOST_COMBINATIONS = 64
 HEAD_LENGTH = 24
 HEAD_COUNT = 96
 
@@ -381,47 +383,46 @@ def without_captures(node):
 
 
 # ---------------------------------------------------------------- how a match can begin
-def heads(node) -> list[tuple[tuple[Ranges, ...], bool]]:
+def heads(node, length: int = HEAD_LENGTH) -> list[tuple[tuple[Ranges, ...], bool]]:
     """Sequences of character sets every match begins with; True marks one that is the whole match."""
     if isinstance(node, Chars):
         return [((node.ranges,), True)]
     if isinstance(node, Capture):
-        return heads(node.item)
+        return heads(node.item, length)
     if isinstance(node, Alt):
-        return _capped([head for option in node.options for head in heads(option)])
+        return _capped([head for option in node.options for head in heads(option, length)], length)
     if isinstance(node, Seq):
         result = [((), True)]
         for item in node.items:
             if not any(whole for _, whole in result):
                 break
-            result = _follow(result, heads(item))
+            result = _follow(result, heads(item, length), length)
         return result
-    inner = heads(node.item)
+    inner = heads(node.item, length)
     result = [((), True)]
-    for _ in range(min(node.low, HEAD_LENGTH)):
-        result = _follow(result, inner)
+    for _ in range(min(node.low, length)):
+        result = _follow(result, inner, length)
     if node.high == node.low:
         return result
     if node.high is not None and node.high - node.low == 1:
-        return _capped(result + _follow(result, inner))
-    more = [(head, False) for head, _ in _follow(result, inner)]
-    return _capped(result + more)
+        return _capped(result + _follow(result, inner, length), length)
+    more = [(head, False) for head, _ in _follow(result, inner, length)]
+    return _capped(result + more, length)
 
 
-def _follow(firsts, seconds):
+def _follow(firsts, seconds, length):
     out = []
     for head, whole in firsts:
-        if not whole or len(head) >= HEAD_LENGTH:
+        if not whole or len(head) >= length:
             out.append((head, False))
         else:
-            out.extend((head + tail, end) for tail, end in seconds)
-    return _capped(out)
+            out.extend(((head + tail)[:length], end and len(head) + len(tail) <= length) for tail, end in seconds)
+    return _capped(out, length)
 
 
-def _capped(sequences):
+def _capped(sequences, length):
     """Keep the number of sequences small by cutting them shorter."""
     unique = dict.fromkeys(sequences)
-    length = HEAD_LENGTH
     while len(unique) > HEAD_COUNT:
         length -= 1
         unique = dict.fromkeys((head[:length], whole and len(head) <= length) for head, whole in unique)
@@ -440,6 +441,50 @@ def compatible(firsts, seconds) -> bool:
 
 
 # ---------------------------------------------------------------- alternatives
+def decided(node, after: tuple, stop: Ranges | None) -> bool:
+    """Does every text leave at most one way through the node that takes another character?
+
+    Then Java's first match of a rule is its longest one, however many optional parts there are: what can go on in one
+    way only loses nothing by going on, and to end is always the shorter way. ``after`` holds the items that follow and ``stop`` what can
+    come after a whole match, if that is known.
+    """
+    if isinstance(node, Chars):
+        return True
+    if isinstance(node, Capture):
+        return decided(node.item, after, stop)
+    if isinstance(node, Seq):
+        return all(decided(item, (*node.items[i + 1 :], *after), stop) for i, item in enumerate(node.items))
+    if isinstance(node, Alt):
+        ways = [seq(option, *after) for option in node.options]
+        if any(width(seq(option, *after))[0] == 0 for option in node.options[:-1]):
+            return False  # an earlier option could end where a later one goes on
+        apart = all(_apart(a, b, stop) for i, a in enumerate(ways) for b in ways[i + 1 :])
+        return apart and all(decided(option, after, stop) for option in node.options)
+    if node.high == 0:
+        return True
+    more = Repeat(0, None, node.item) if node.high != 1 else Seq(())
+    if node.low != node.high:
+        if width(node.item)[0] == 0:
+            return False
+        if not _apart(seq(node.item, more, *after), seq(*after), stop):
+            return False
+    return decided(node.item, (more, *after), stop)
+
+
+def _apart(first, second, stop: Ranges | None) -> bool:
+    """Can no text begin with a match of each, but for the empty match? A few characters mostly tell."""
+
+    def beginnings(node, length: int) -> list[tuple[Ranges, ...]]:
+        found = [(head, whole) for head, whole in heads(node, length) if head]
+        return [head + (stop,) if whole and stop is not None else head for head, whole in found]
+
+    return any(not compatible(beginnings(first, length), beginnings(second, length)) for length in (1, 5, HEAD_LENGTH))
+
+
+class TooManyOptions(Exception):
+    """Too many to be written out."""
+
+
 def expand(node, wanted, before: tuple = (), after: tuple = ()) -> list:
     """Multiply out the parts for which ``wanted(node, nodes before, nodes after)`` holds, in order of preference.
 
@@ -451,6 +496,8 @@ def expand(node, wanted, before: tuple = (), after: tuple = ()) -> list:
         variants = [()]
         for i, item in enumerate(node.items):
             choice = expand(item, wanted, (*before, *node.items[:i]), (*node.items[i + 1 :], *after))
+            if len(variants) > 1 < len(choice) and len(variants) * len(choice) > MOST_COMBINATIONS:
+                raise TooManyOptions
             variants = _limited([(*parts, one) for parts, one in product(variants, choice)])
         return [seq(*parts) for parts in variants]
     if isinstance(node, Capture):
@@ -472,13 +519,13 @@ def expand_few(node, wanted) -> list:
     """The same as ``expand`` if there is one option; otherwise some list of more than one."""
     try:
         return expand(node, wanted)
-    except RuleSyntaxError:
+    except TooManyOptions:
         return [node, node]
 
 
 def _limited(variants):
-    if len(variants) > MAX_VARIANTS:
-        raise RuleSyntaxError(f"the rule has more than {MAX_VARIANTS} combinations of alternatives")
+    if len(variants) > MOST_OPTIONS:
+        raise TooManyOptions
     return variants
 
 
@@ -491,10 +538,68 @@ def read_at_once(node) -> bool:
     return all(read_at_once(child) for child in children(node))
 
 
+#: Begins the names of groups that only tell whether a part took part.
+PART = "?"
+
+
+def last_rounds(node):
+    """The node with captures in the last round of a repetition only, where they keep their values."""
+    if isinstance(node, Chars) or not captures(node):
+        return node
+    if isinstance(node, Capture):
+        return Capture(node.name, last_rounds(node.item))
+    if isinstance(node, Seq):
+        return seq(*(last_rounds(item) for item in node.items))
+    if isinstance(node, Alt):
+        return Alt(tuple(last_rounds(option) for option in node.options))
+    last = last_rounds(node.item)
+    if node.high != 1:
+        last = seq(repeat(max(node.low - 1, 0), None if node.high is None else node.high - 1, without_captures(node.item)), last)
+    return Repeat(0, 1, last) if node.low == 0 else last
+
+
+def told_apart(node):
+    """(node, guards): every optional part and every option with captures as a group of its own, by which one can see if it took part.
+
+    ``guards`` has the innermost such group of each capture that may be missing. None if the text of a part can be empty, which tells nothing.
+    """
+    guards: dict[str, str] = {}
+    names = iter(range(10**6))
+
+    def wrapped(part, guard: str | None):
+        if not captures(part):
+            return part
+        if width(part)[0] == 0:
+            raise TooManyOptions
+        name = f"{PART}{next(names)}"
+        return Capture(name, walk(part, name))
+
+    def walk(part, guard: str | None):
+        if isinstance(part, Capture):
+            if guard is not None:
+                guards[part.name] = guard
+            return Capture(part.name, walk(part.item, guard))
+        if isinstance(part, Seq):
+            return Seq(tuple(walk(item, guard) for item in part.items))
+        if isinstance(part, Alt):
+            return Alt(tuple(wrapped(option, guard) for option in part.options))
+        if isinstance(part, Repeat) and captures(part):
+            return Repeat(part.low, part.high, wrapped(part.item, guard) if part.low == 0 else walk(part.item, guard))
+        return part
+
+    try:
+        return walk(last_rounds(node), None), guards
+    except TooManyOptions:
+        return None
+
+
 def parts(node) -> tuple[str, list[str | None]]:
     """Java regex in which each capture and all text between captures is a group; the groups' captures or None."""
     if not captures(node):
         return (f"({java(node)})", [None]) if width(node) != (0, 0) else ("", [])
+    if isinstance(node, Capture) and node.name.startswith(PART):
+        text, names = parts(node.item)
+        return f"({text})", [node.name, *names]
     if isinstance(node, Capture):
         return f"({java(node.item)})", [node.name]
     if isinstance(node, Seq):

@@ -7,7 +7,12 @@ ends before a delimiter or at the end, of two matches at one place the one with
 longer one, and with as many they are equal. So alternatives go by falling number of delimiters. Where that
 number varies, an alternative that a later one may beat is guarded: it is refused when the other one's match
 leaves less of the run of characters that the two can take. Rules that can never start alike (``user=``,
-``action=``) need no guard.
+``action=``) need no guard. A rule that any text leaves one way to go on in needs none for its own options and optional
+parts either.
+
+Where a rule has more combinations of optional parts than can be written out, a fold takes the place of the regex:
+each place where a match may start has an array of candidates, one for each place where it may end, the longest first; the first one that a
+rule matches as a whole is kept, and a fold over the places picks matches from left to right.
 
 The captures are then read from the short matched texts, not from the whole line.
 """
@@ -45,6 +50,7 @@ class Variant:
     prefix: str = ""
     by_prefix: bool = False  # a match that begins with the prefix can only be of this variant
     optional: bool = False  # captures that took no part read as empty
+    guards: dict[str, str] | None = None  # groups that are empty if the capture took no part
     certain: bool = False  # the prefixes of all variants tell whether a match is of this one
 
 
@@ -58,11 +64,14 @@ class Matcher:
         self.left = f"(?<!{inside})"
         self.right = f"(?!{inside})" if rules.right_boundary else ""
         nodes = [rule.node for rule in rules.ordered]
-        self.find = self._scan(nodes, self.left)
         timestamps = [rule.node for rule in rules.ordered if rule.is_timestamp]
-        self.event_start = self._scan(nodes, "", len(timestamps)) if timestamps else None
-        self.event = None
-        if timestamps:
+        self.has_timestamps, self.event_start, self.event = bool(timestamps), None, None
+        try:
+            self.find, self.fold = self._scan(nodes, self.left), None
+        except dialect.TooManyOptions:
+            self.find, self.fold = self._any(nodes), Fold(self, nodes, timestamps)
+        if timestamps and not self.fold:
+            self.event_start = self._scan(nodes, "", len(timestamps))
             # from one line break to the next one before a timestamp; group 1 is the event
             following = self._scan(nodes, "", len(timestamps), groups_before=1)
             self.event = f"\\n((?s:.)*?)(?=\\z|\\n{following})"
@@ -157,7 +166,13 @@ class Matcher:
 
     def _options(self, node) -> list:
         """A rule as the options that have to be compared by length."""
-        return dialect.expand(node, self._ambiguous)
+        stop = dialect.union((*self.delimiters, ENDED)) if self.right else None
+        return [node] if dialect.decided(node, (), stop) else dialect.expand(node, self._ambiguous)
+
+    @staticmethod
+    def _any(nodes) -> str:
+        """Regex for texts that one of the rules matches as a whole."""
+        return f"\\A(?:{'|'.join(dialect.java(dialect.without_captures(node), None, (ENDED,)) for node in nodes)})\\z"
 
     def _variants(self, nodes) -> list[Variant]:
         def wanted(node, before, after) -> bool:
@@ -165,13 +180,22 @@ class Matcher:
 
         variants: list[Variant] = []
         for node in nodes:
-            optional = dialect.read_at_once(node)
-            flats = [node] if optional else dialect.expand(node, wanted)
-            if optional and len(dialect.expand_few(node, wanted)) == 1:
-                flats, optional = dialect.expand(node, wanted), False
+            optional, guards = dialect.read_at_once(node), None
+            if optional:
+                flats = [node]
+                if len(dialect.expand_few(node, wanted)) == 1:
+                    flats, optional = dialect.expand(node, wanted), False
+            else:
+                try:
+                    flats = dialect.expand(node, wanted)
+                except dialect.TooManyOptions:
+                    told = dialect.told_apart(node)
+                    if told is None:
+                        raise dialect.RuleSyntaxError("too many combinations of optional parts of which some match the empty text") from None
+                    flats, guards = [told[0]], told[1]
             for flat in flats:
                 flat = flat if isinstance(flat, Seq) else Seq((flat,))
-                variants.append(Variant(flat, self._heads(flat), optional=optional))
+                variants.append(Variant(flat, self._heads(flat), optional=optional, guards=guards))
         for i, variant in enumerate(variants):
             # a match is shown to one variant only: the first that fits it as a whole
             variant.refused = "".join(
@@ -198,10 +222,14 @@ class Matcher:
     # ------------------------------------------------------------ executor side: columns
     def matches(self, text: Column) -> Column:
         """All matches in text order."""
+        if self.fold:
+            return self.fold.matches(text)
         return F.regexp_extract_all(text, F.lit(self.find), F.lit(0))
 
     def pieces(self, text: Column) -> Column:
         """Static text and matches in turn: even entries are static, odd entries are matches."""
+        if self.fold:
+            return self.fold.pieces(text)
         marked = F.regexp_replace(text, F.lit(self.find), F.lit(f"{MARK}$0{MARK}"))
         zipped = F.zip_with(
             F.split(text, self.find, -1), self.matches(text), lambda static, match: F.array(static, match)
@@ -221,10 +249,12 @@ class Matcher:
             else:
                 own = F.filter(found, lambda match: all_of(self._tests(variant, match)))
             read = F.transform(own, lambda match: self._read(variant, name, match))
+            if variant.guards:
+                return F.filter(read, lambda item: item.isNotNull())
             return F.filter(read, lambda item: item != "") if variant.optional else read
 
         # variants exclude each other, so of several texts at most one is not empty
-        never_empty = all(self._always_text(variant.node, name) for variant in holders)
+        never_empty = all(not variant.guards and self._always_text(variant.node, name) for variant in holders)
 
         def value(match: Column) -> Column:
             texts = []
@@ -260,6 +290,9 @@ class Matcher:
             return cut
         places = [i + 1 for i, group in enumerate(variant.groups) if group == name]
         texts = [F.regexp_extract(match, variant.pattern, place) for place in places]
+        guard = (variant.guards or {}).get(name)
+        if guard:
+            return F.when(F.regexp_extract(match, variant.pattern, variant.groups.index(guard) + 1) != "", texts[0])
         return texts[0] if len(texts) == 1 else F.concat(*texts)
 
     @staticmethod
@@ -316,9 +349,20 @@ class Matcher:
     @staticmethod
     def _placeholders(variant: Variant, match: Column) -> Column:
         """Captures inside another capture get no placeholder of their own."""
-        if variant.optional:
+        if variant.optional or variant.guards:
             body, names = dialect.parts(variant.node)
             read = [F.regexp_extract(match, f"\\A{body}\\z", i + 1) for i in range(len(names))]
+            if variant.guards:
+                shown = []
+                for text, name in zip(read, names):
+                    guard = variant.guards.get(name)
+                    if name is None:
+                        shown.append(text)
+                    elif guard:
+                        shown.append(F.when(read[names.index(guard)] != "", f"<{name}>").otherwise(""))
+                    elif not name.startswith(dialect.PART):
+                        shown.append(F.lit(f"<{name}>"))
+                return F.concat(*shown)
             return F.concat(*(
                 text if name is None else F.when(text != "", f"<{name}>").otherwise("") for text, name in zip(read, names)
             ))
@@ -358,8 +402,10 @@ class Matcher:
 
     def starts_event(self, line: Column) -> Column:
         """Does the line begin with a timestamp?"""
-        if self.event_start is None:
+        if not self.has_timestamps:
             return F.lit(True)
+        if self.fold:
+            return self.fold.starts_event(line)
         return F.rlike(line, F.lit(f"\\A{self.event_start}"))
 
     def events(self, text: Column) -> Column:
@@ -368,12 +414,16 @@ class Matcher:
         Text before the first timestamp is an event of its own; a final line break ends the last line.
         """
         body = self._body(text)
+        if self.fold and self.has_timestamps:
+            return self.fold.events(F.split(body, "\n", -1))
         if self.event is None:
             return F.split(body, "\n", -1)
         return F.regexp_extract_all(F.concat(F.lit("\n"), body), F.lit(self.event), F.lit(1))
 
     def first_event(self, text: Column) -> Column:
         """The first of ``events``."""
+        if self.fold and self.has_timestamps:
+            return F.get(self.events(text), F.lit(0))
         if self.event_start is None:
             return F.substring_index(self._body(text), "\n", 1)
         return F.regexp_extract(F.concat(F.lit("\n"), self._body(text)), self.event, 1)
@@ -383,3 +433,96 @@ class Matcher:
         """The text with plain line breaks and none at the end."""
         plain = F.when(F.contains(text, F.lit("\r\n")), F.replace(text, F.lit("\r\n"), F.lit("\n"))).otherwise(text)
         return F.when(plain.endswith("\n"), F.left(plain, F.length(plain) - 1)).otherwise(plain)
+
+
+def let(value: Column, body) -> Column:
+    """What ``body`` makes of the value, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+class Fold:
+    """Longest matches by candidates: for each start the ends from the farthest on, until a rule matches the whole text between them.
+
+    A text is cut into runs of other characters and single delimiters in turn, so that matches start and end at runs. The work for a start is
+    bounded by the delimiters that a match can hold; where a rule sets no such bound, all ends are candidates.
+    """
+
+    PICKS = "array<struct<i:int,j:int>>"
+
+    def __init__(self, matcher: Matcher, nodes: list, timestamps: list):
+        if not matcher.right:
+            raise dialect.RuleSyntaxError("rules with so many optional parts need right_boundary=True")
+        self.whole, self.stamp = Matcher._any(nodes), Matcher._any(timestamps) if timestamps else None
+        self.delimiter = dialect.java_class(matcher.delimiters)
+        counts = [dialect.count(node, matcher.delimiters)[1] for node in nodes]
+        self.most = None if None in counts else max(counts)
+        firsts = [dialect.first(node)[0] for node in nodes]
+        self.first = f"\\A{dialect.java_class(dialect.union(r for ranges in firsts for r in ranges))}"
+
+    def _cut(self, text: Column) -> Column:
+        both = F.zip_with(F.split(text, self.delimiter, -1), F.regexp_extract_all(text, F.lit(self.delimiter), F.lit(0)), lambda a, b: F.array(a, b))
+        return F.filter(F.flatten(both), lambda part: part.isNotNull())
+
+    @staticmethod
+    def _joined(parts: Column, i: Column, j: Column) -> Column:
+        return F.array_join(F.slice(parts, i + 1, F.greatest(j - i + 1, F.lit(0))), "")
+
+    def _end(self, parts: Column, i: Column) -> Column:
+        """The run with which the longest match from run ``i`` on ends, or null."""
+        last = F.size(parts) - 1
+        farthest = last if self.most is None else F.least(last, i + 2 * self.most)
+        end = F.aggregate(
+            F.sequence(farthest, i, F.lit(-2)), F.lit(None).cast("int"),
+            lambda found, j: F.coalesce(found, F.when(F.rlike(self._joined(parts, i, j), F.lit(self.whole)), j)),
+        )
+        return F.when(F.rlike(F.concat(F.get(parts, i), F.coalesce(F.get(parts, i + 1), F.lit(""))), F.lit(self.first)), end)
+
+    def _picks(self, parts: Column) -> Column:
+        """First and last run of all matches; the next one may start at the delimiter where one has ended, if another precedes it."""
+        starts = F.sequence(F.lit(0), F.size(parts) - 1, F.lit(2))
+        kind = f"struct<next:int,found:{self.PICKS}>"
+
+        def fold(ends: Column) -> Column:
+            def pick(done: Column, i: Column) -> Column:
+                j = F.get(ends, F.shiftright(i, 1))
+                following = F.when(F.get(parts, j) == "", j).otherwise(j + 2)
+                more = F.struct(following.alias("next"), F.array_append(done["found"], F.struct(i.alias("i"), j.alias("j"))).alias("found"))
+                return F.when((i < done["next"]) | j.isNull(), done).otherwise(more.cast(kind))
+
+            none = F.struct(F.lit(0).alias("next"), F.array().cast(self.PICKS).alias("found")).cast(kind)
+            return F.aggregate(starts, none, pick, lambda done: done["found"])
+
+        return let(F.transform(starts, lambda i: self._end(parts, i)), fold)
+
+    def matches(self, text: Column) -> Column:
+        return let(self._cut(text), lambda parts: F.transform(self._picks(parts), lambda p: self._joined(parts, p["i"], p["j"])))
+
+    def pieces(self, text: Column) -> Column:
+        def cut(parts: Column, picks: Column) -> Column:
+            n = F.size(picks)
+
+            def static(k: Column) -> Column:
+                first = F.when(k == 0, F.lit(0)).otherwise(F.get(picks, k - 1)["j"] + 1)
+                last = F.when(k == n, F.size(parts) - 1).otherwise(F.get(picks, k)["i"] - 1)
+                return self._joined(parts, first, last)
+
+            found = F.transform(picks, lambda p: self._joined(parts, p["i"], p["j"]))
+            both = F.zip_with(F.transform(F.sequence(F.lit(0), n), static), found, lambda a, b: F.array(a, b))
+            return F.filter(F.flatten(both), lambda piece: piece.isNotNull())
+
+        return let(self._cut(text), lambda parts: let(self._picks(parts), lambda picks: cut(parts, picks)))
+
+    def starts_event(self, line: Column) -> Column:
+        def test(parts: Column) -> Column:
+            found = let(self._end(parts, F.lit(0)), lambda j: self._joined(parts, F.lit(0), j))
+            return F.coalesce(F.rlike(found, F.lit(self.stamp)), F.lit(False))
+
+        return let(self._cut(line), test)
+
+    def events(self, lines: Column) -> Column:
+        def add(done: Column, line: Column) -> Column:
+            n = F.size(done)
+            longer = F.concat(F.slice(done, F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(F.concat(F.get(done, n - 1), F.lit("\n"), line)))
+            return F.when((n == 0) | self.starts_event(line), F.array_append(done, line)).otherwise(longer)
+
+        return F.aggregate(lines, F.array().cast("array<string>"), add)

@@ -211,6 +211,55 @@ def x01_repeated(spark, sf_dir):
     )
 
 
+#: Twenty optional parts, each of which begins in its own way; every third value is empty.
+MANY_PARTS = 20
+MANY_RULES = RuleSet().var("many", "order" + "".join(rf"(?: f{i}=(?<f{i}>\d*))?" for i in range(MANY_PARTS)))
+
+
+def many_parts(spark, sf_dir):
+    """Lines "order f0=.. f4=.. end" with the parts whose number and order key say so."""
+    parts = []
+    for i in range(MANY_PARTS):
+        value = F.when((F.col("o_orderkey") + i) % 3 == 0, F.lit("")).otherwise((F.col("o_custkey") + i).cast("string"))
+        parts.append(F.when((F.col("o_orderkey") + i * i) % 4 != 0, F.concat(F.lit(f" f{i}="), value)).otherwise(""))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("order"), *parts, F.lit(" end")).alias("line"))
+
+
+def _many_sql(shown: str) -> list[str]:
+    """For each part its SQL, where {v} is the value."""
+    out = []
+    for i in range(MANY_PARTS):
+        value = shown.format(i=i, v=f"case when (o_orderkey + {i}) % 3 = 0 then '' else (o_custkey + {i})::varchar end")
+        out.append(f"case when (o_orderkey + {i * i}) % 4 <> 0 then {value} else '' end")
+    return out
+
+
+@query("x01_many_optional_parts", f"""select o_orderkey,
+    concat('order', {", ".join(_many_sql("' f{i}=<f{i}>'"))}, ' end') as log_type,
+    concat({", ".join(_many_sql("'[' || {v} || ']'"))}) as found from orders""")
+def x01_many(spark, sf_dir):
+    found = extract(many_parts(spark, sf_dir), MANY_RULES, "line")
+    values = [F.array_join(F.transform(f"f{i}", lambda v: F.concat(F.lit("["), v, F.lit("]"))), "") for i in range(MANY_PARTS)]
+    return found.select("o_orderkey", "log_type", F.concat(*values).alias("found"))
+
+
+#: Parts that begin alike: only the end of a match tells which of them took part.
+ALIKE_RULES = RuleSet().var("alike", "go" + "".join(rf"(?: (?<w{i}>[a-z]+))?(?: (?<n{i}>[a-z]+)=\d)?" for i in range(8)))
+
+
+@query("x01_parts_that_begin_alike", """select event_id,
+    case when event_id % 3 = 2 then '' else event_type end as word,
+    case when event_id % 3 = 0 then '' else event_type end as named,
+    'x go' || case when event_id % 3 = 2 then '' else ' <w0>' end || case when event_id % 3 = 0 then '' else ' <n0>=7' end || ' 12'
+    as log_type from events""")
+def x01_alike(spark, sf_dir):
+    word = F.when(F.col("event_id") % 3 == 2, "").otherwise(F.concat(F.lit(" "), "event_type"))
+    named = F.when(F.col("event_id") % 3 == 0, "").otherwise(F.concat(F.lit(" "), "event_type", F.lit("=7")))
+    lines = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("x go"), word, named, F.lit(" 12")).alias("line"))
+    found = extract(lines, ALIKE_RULES, "line")
+    return found.select("event_id", F.array_join("w0", ",").alias("word"), F.array_join("n0", ",").alias("named"), "log_type")
+
+
 @query("x02_log_type", f"select event_id, {SQL_LOG_TYPE} as log_type from events")
 def x02(spark, sf_dir):
     return extract(app_log(spark, sf_dir), APP_RULES, "line").select("event_id", "log_type")

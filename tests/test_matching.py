@@ -5,7 +5,8 @@ import model
 import pytest
 from pyspark.sql import functions as F
 
-from logtables.functions.matching import MARK
+from logtables.functions import dialect
+from logtables.functions.matching import MARK, Fold
 from logtables.operators.extract import extract
 from logtables.patterns import PATTERN
 from logtables.rules import RuleSet
@@ -249,3 +250,74 @@ def test_segment_loops_equal_the_model(spark, seed, delimiters):
     plain = [model.ModelRule("r", f"{prefix}(?P<v>{loop}){suffix}")]
     texts = ["p=" + "".join(rng.choice("aab /.x=") for _ in range(rng.randint(0, 12))) for _ in range(150)]
     assert not check(spark, rules, plain, texts, delimiters)
+
+
+def optional_rule(parts, first="k"):
+    """(dialect, Python) of a rule of optional parts, given as texts with one capture each."""
+    return first + "".join(f"(?:{p})?" for p in parts), first + "".join(f"(?:{p})?" for p in parts).replace("(?<", "(?P<").replace(".", DOT)
+
+
+def built(pattern, name="r"):
+    started = time.perf_counter()
+    rules = RuleSet(delimiters=D).var(name, pattern)
+    matcher = rules.matcher
+    assert time.perf_counter() - started < 1
+    return rules, matcher
+
+
+@pytest.mark.parametrize("value", [r"\d+", r"\d*", r"\d+|x", r"[0-9x]+"])
+@pytest.mark.parametrize("n", [7, 20])
+def test_many_optional_captures_that_begin_apart(spark, n, value):
+    """One regex of a length in proportion to the parts; captures may be empty."""
+    rng = random.Random(n)
+    pattern, py = optional_rule([rf" a{i}=(?<c{i}>{value})" for i in range(n)])
+    rules, matcher = built(pattern)
+    assert matcher.fold is None and len(matcher.find) < 60 * n + 200
+    texts = ["k" + "".join(f" a{i}={rng.choice(['', '7', '12', 'x', 'y'])}" for i in range(n) if rng.random() < 0.7) + rng.choice(["", " y", "/x"]) for _ in range(40)]
+    assert not check(spark, rules, [model.ModelRule("r", py)], texts)
+
+
+def test_many_optional_captures_that_begin_alike(spark):
+    """Which parts to take is only known at the end of the match, so candidates are compared by a fold."""
+    rng = random.Random(1)
+    pattern, py = optional_rule([rf" (?<c{i}>[ab]+){'x' if i % 2 else ''}" for i in range(20)])
+    rules, matcher = built(pattern)
+    assert isinstance(matcher.fold, Fold)
+    texts = ["k" + "".join(" " + rng.choice(["a", "ab", "bx", "ax", "c"]) for _ in range(rng.randint(0, 7))) for _ in range(40)]
+    assert not check(spark, rules, [model.ModelRule("r", py)], texts + ["", "k", "  k a k b", "k  a/k bx/"])
+
+
+@pytest.mark.parametrize("seed", range(0, 70, 3))
+def test_fold_equals_the_model(spark, monkeypatch, seed):
+    """All rules through the fold, whatever their size."""
+    rules, plain, texts = random_case(random.Random(seed))
+    if not plain:
+        pytest.skip("no valid rule in this case")
+    monkeypatch.setattr(Fold, "__bool__", lambda self: True, raising=False)
+    matcher = rules.matcher
+    nodes = [rule.node for rule in rules.ordered]
+    matcher.fold = Fold(matcher, nodes, [])
+    assert not check(spark, rules, plain, texts)
+
+
+def test_fold_and_events(spark, monkeypatch):
+    monkeypatch.setattr(dialect, "MOST_COMBINATIONS", 0)
+    alike = "".join(rf"(?: (?<c{i}>[ab]+))?(?: (?<d{i}>[ab]+)x)?" for i in range(3))
+    rules = RuleSet().timestamp("t", r"\d\d").var("r", f"k{alike}").var("n", r"(?<n>\d\d-\d)")
+    assert rules.matcher.fold
+    text = "first\n12 k a bx\nmore k b\n34-5 no event\n56 end\n"
+    frame = spark.createDataFrame([(text,), (None,), ("",)], "value string")
+    rows = frame.select(rules.matcher.events(F.col("value")), rules.matcher.first_event(F.col("value"))).collect()
+    assert rows[0][0] == ["first", "12 k a bx\nmore k b\n34-5 no event", "56 end"] and rows[0][1] == "first"
+    assert rows[1][0] is None
+    row = extract(frame, rules).first()
+    assert (row["c0"], row["d0"], row["n"], row["timestamps"]) == (["a", "b"], ["bx"[0]], ["34-5"], ["12", "56"])
+
+
+def test_refused_when_added():
+    parts = "".join(rf"(?: (?<c{i}>[ab]+))?" for i in range(20))
+    with pytest.raises(ValueError, match="right_boundary"):
+        RuleSet(right_boundary=False).var("r", f"k{parts}")
+    empty = "".join(rf"(?:(?<c{i}>[ab]*))?" for i in range(20))
+    with pytest.raises(ValueError, match="empty text"):
+        RuleSet().var("r", f"k{empty}")
