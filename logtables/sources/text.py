@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 TEXT, SOURCE, BLOCK, LINE = "value", "source", "block", "line"
 
 
-def _with_place(lines: DataFrame) -> DataFrame:
+def place_of_lines(lines: DataFrame) -> DataFrame:
+    """The lines of a file source with their file, split and place."""
     return lines.select(
         *[F.col(f"`{name}`") for name in lines.columns],  # the text and partition columns, if any
         F.col("_metadata.file_path").alias(SOURCE),
@@ -33,7 +34,7 @@ def read_text_logs(
     lines = spark.read.text(path if isinstance(path, str) else list(path), wholetext=wholetext)
     if where is not None:
         lines = lines.where(where)
-    return _with_place(lines)
+    return place_of_lines(lines)
 
 
 def read_binary_logs(spark: SparkSession, path: str | Sequence[str], strict: bool = True) -> DataFrame:
