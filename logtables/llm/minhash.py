@@ -6,14 +6,15 @@
    difference, by the pigeonhole principle. For each chunk the one allowed error is enumerated: every value in turn is left
    out, and what remains is a key. So all pairs within that distance meet under a key. m is the least for which two
    sets at the similarity threshold differ in more values with a probability below 1e-6: 13 for 0.85, 16 for 0.8.
-3. Classes that share a key are compared by signature, in units of two blocks of bounded size; keys with the same
-   members count once, and keys whose members others have connected already are left out. A unit gives a spanning forest of the pairs within the distance, not the pairs. Connected, these
+3. Of a key, every class is compared with the smallest one first, each such pair once, however many keys it shares. Keys whose members
+   these links have connected are done; in the others, what isn't in the largest tree is compared by signature with all the rest, in units of
+   two blocks of bounded size. A unit gives a spanning forest of the pairs within the distance, not the pairs. Connected, these
    are groups outside of which no link can be.
-4. Full sets are made again for the classes in groups, and confirmed from the nearest pairs on in units of two
-   blocks; pairs that are linked already by others are passed over. A unit gives a spanning forest of the
-   confirmed links, whose components are the result.
+4. Full sets are made again for the classes in groups. Blocks of a group, each with the group's smallest class, are confirmed from the
+   nearest pairs on; that connects most of a group with one copy of each text. Then, as for keys, what isn't in the largest
+   tree of a group is confirmed against all the rest. The components of the confirmed links are the result.
 
-Within one group the comparisons grow with the square of its distinct texts, spread over units of a fixed size; what
+What is outside of the largest tree of a group is compared with the whole group, spread over units of a fixed size; what
 leaves a unit grows with its members.
 """
 
@@ -34,8 +35,6 @@ from logtables.llm.components import connected_components
 VALUES = 64
 MISSED = 1e-6
 BLOCK = 512
-#: One key in so many is compared before the others.
-EARLY = 2
 MEMO_WORDS = 400_000
 _RANDOM = np.random.default_rng(20)
 _FACTORS = _RANDOM.integers(1, 2**63, VALUES, dtype="u8") * np.uint64(2) + np.uint64(1)
@@ -140,15 +139,48 @@ def within_distance(signatures: np.ndarray, first: np.ndarray, second: np.ndarra
     return a[order], b[order], distance[order]
 
 
-def units(members: DataFrame, group: str, size: str, node: str, block: int) -> DataFrame:
-    """Each member in all units (group, i, j) of its block i with the blocks j of its group; a unit has two blocks or one.
+def blocks_with_least(members: DataFrame, group: str, size: str, node: str, block: int) -> DataFrame:
+    """Each member in one block of its group, as a unit (group, i, i); the group's smallest member is in all of them."""
+    blocks = F.ceil(F.col(size) / block).cast("int")
+    own = F.array(F.pmod(F.xxhash64(node, group), blocks).cast("int"))
+    # the group is named by its smallest member
+    placed = members.withColumn("block", F.explode(F.when(F.col(node) == F.col(group), F.sequence(F.lit(0), blocks - 1)).otherwise(own)))
+    return placed.withColumn("first", F.col("block")).withColumn("last", F.col("block"))
+
 
-    Columns ``first`` and ``last`` number the blocks; ``block`` is the member's own.
+def units(members: DataFrame, group: str, node: str, block: int) -> DataFrame:
+    """Members in all units (group, i, j) of two blocks, or one, in which two of them may not be connected yet.
+
+    The column ``known`` tells what is connected. Members outside of the group's largest tree meet all others; those in it only
+    those outside. Groups of one tree are left out. ``first`` and ``last`` number the blocks of a unit; ``block`` is the member's own.
     """
-    blocks = F.ceil(F.col(size) / block).cast("int")
-    own = members.withColumn("block", F.pmod(F.xxhash64(node, group), blocks).cast("int"))
-    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.ceil(F.col(size) / block).cast("int") - 1)))
-    return other.withColumn("first", F.least("block", "other")).withColumn("last", F.greatest("block", "other")).drop("other")
+    trees = members.groupBy(group, "known").agg(F.count("*").alias("n"))
+    main = trees.groupBy(group).agg(F.max(F.struct("n", "known")).alias("m"), F.sum("n").alias("n")).where("m.n < n")
+    main = main.select(group, F.col("m.known").alias("main"), F.ceil(F.col("m.n") / block).cast("int").alias("mains"), F.ceil((F.col("n") - F.col("m.n")) / block).cast("int").alias("rests"))
+    own = members.join(main, group)
+    inside = F.col("known") == F.col("main")
+    hashed = F.xxhash64(node, group)
+    number = F.when(inside, F.col("rests") + F.pmod(hashed, "mains")).otherwise(F.pmod(hashed, "rests")).cast("int")
+    others = F.when(inside, F.col("rests")).otherwise(F.col("rests") + F.col("mains")) - 1
+    own = own.withColumn("block", number).withColumn("other", F.explode(F.sequence(F.lit(0), others)))
+    return own.withColumn("first", F.least("block", "other")).withColumn("last", F.greatest("block", "other")).drop("other", "main", "mains", "rests")
+
+
+def near_pairs(pairs: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """Those of the pairs (a, b) whose signatures are within the distance."""
+    kind = nodes.schema["node"].dataType.simpleString()
+    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("_b"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "u2").reshape(-1, VALUES) for i in (2, 3))
+                near = pa.array((a != b).sum(axis=1) <= most)
+                yield pa.RecordBatch.from_arrays([batch.column(i).filter(near) for i in range(2)], ["a", "b"])
+
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.select("a", "b", "_a", "_b").mapInArrow(keep, f"a {kind}, b {kind}")
 
 
 def forests(rows: DataFrame, group: str, node: str, values: list[str], confirm: Callable[[], Callable], most: int) -> DataFrame:
@@ -283,26 +315,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     met = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most"),
                                   F.bit_xor(F.xxhash64("node")).alias("members"))
     met = met.where("n > 1").groupBy("n", "least", "most", "members").agg(F.min("key").alias("key"))
-    met = stored(met.select("key", "n"), "shared-keys")
-    members = stored(keys.join(met, "key").select("key", "n", "node"), "key-members")
-    # a share of the keys first: what they connect need not be compared again, and most keys of large groups fall away
-    part = units(members.where(F.pmod("key", F.lit(EARLY)) == 0), "key", "n", "node", block).join(nodes, "node")
-    early = connected_components(forests(part, "key", "node", ["signature"], by_signature, most), "near")
-    early = stored(early, "early-groups")
-    rest = members.where(F.pmod("key", F.lit(EARLY)) != 0).join(early, "node", "left")
-    rest = rest.select("key", "n", "node", F.coalesce("component", "node").alias("known"))
-    open_keys = rest.groupBy("key").agg(F.min("known").alias("l"), F.max("known").alias("m")).where("l <> m").select("key")
-    part = units(rest.join(open_keys, "key"), "key", "n", "node", block).join(nodes, "node")
-    late = forests(part, "key", "node", ["signature"], by_signature, most)
-    near = early.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)
+    met = stored(met.select("key", "least"), "shared-keys")
+    members = stored(keys.join(met, "key").select("key", "least", "node"), "key-members")
+    pairs = members.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    first = stored(near_pairs(pairs, nodes, most), "near-pairs")
+    trees = stored(connected_components(first, "near"), "trees")
+    known = members.join(trees, "node", "left").select("key", "node", F.coalesce("component", "node").alias("known"))
+    late = forests(units(stored(known, "known"), "key", "node", block).join(nodes, "node"), "key", "node", ["signature"], by_signature, most)
+    near = trees.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)
     groups = stored(connected_components(near, "near"), "groups")
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     grouped = groups.join(sizes, "component").join(nodes, "node")
     # the text of a class is that of its smallest id
     wanted = grouped.select("node", "component", "n", "signature", F.col("content").alias("c"))
     texts = chosen.join(wanted, (F.col("doc_id") == F.col("node")) & (F.col("content") == F.col("c")))
-    texts = texts.groupBy("node").agg(*(F.first(c).alias(c) for c in ("component", "n", "signature", "text")))
-    confirmed = forests(units(texts, "component", "n", "node", block), "component", "node", ["signature", "text"], by_sets(shingle, percent), most)
+    texts = stored(texts.groupBy("node").agg(*(F.first(c).alias(c) for c in ("component", "n", "signature", "text"))), "texts")
+    confirm = by_sets(shingle, percent)
+    values = ["signature", "text"]
+    linked_first = stored(forests(blocks_with_least(texts, "component", "n", "node", block), "component", "node", values, confirm, most), "links")
+    joined = stored(connected_components(linked_first, "links"), "linked")
+    known = groups.join(joined.select("node", F.col("component").alias("tree")), "node", "left").select("node", "component", F.coalesce("tree", "node").alias("known"))
+    # only groups of several trees need their texts again
+    rest = units(stored(known, "known"), "component", "node", block).join(texts.select("node", *values), "node")
+    confirmed = linked_first.unionByName(forests(rest, "component", "node", values, confirm, most))
     components = connected_components(confirmed, "links")
     of_class = classes.join(components, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component_id"))
     of_id = linked.join(of_class, ["high", "low"]).select("doc_id", "component_id")

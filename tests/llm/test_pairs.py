@@ -123,3 +123,19 @@ def test_components(spark):
         for a, b in edges:
             up[a] = up[b] = min(up[a], up[b])
     assert found == {n: c for n, c in up.items()}
+
+
+def test_large_group_of_near_copies(spark, docs):
+    """Most of a group is one tree; what is outside of it is compared with all of it, through several blocks."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    rows = []
+    for i in range(450):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 5, 7])):
+            copy[rng.randrange(120)] = f"v{rng.randrange(10_000)}"
+        rows.append((i, " ".join(copy)))
+    found = minhash.near_duplicates(docs(rows), 3, 85, block=40)
+    expected = brute_components(rows, 3, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found.collect()} == expected
+    assert len({c for _, c, _ in expected.values()}) > 20
