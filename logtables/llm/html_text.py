@@ -7,7 +7,12 @@ between long ones, both are fused into one weight, and the paths at or above a s
 Where the page says itself what a part is (article, nav, a class name such as "sidebar"), that is fused in as well: a
 path under a part that is never content weighs nothing, and a path under a part marked as content weighs several times
 as much and may have more links. Names and forms only lower a path's weight, and not if the part holds most of the
-page's text outside links. The ratios decide on every page, marked or not.
+page's text outside links; but what a name tells to be reader comments is never content, however much it holds. The ratios decide on every
+page, marked or not.
+
+Then the ratios judge containers: where the content paths hold most of the text of a marked part, its other blocks are content too, and so are
+blocks between two content blocks of one parent, unless they are lowered or mostly links. So short lists, quotes, tables and captions
+inside an article stay.
 """
 
 from __future__ import annotations
@@ -48,6 +53,9 @@ NAMES = frozenset(
     "notices notification pager pagination popup promo promoted promotion related replies respond share sharing sidebar "
     "side skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
 )
+#: Words of names of reader comments, and last words of names that only tell something about them.
+COMMENTS = frozenset("comment comments commentlist commentarea disqus replies respond".split())
+ABOUT = frozenset("allowed closed count counter disabled enabled form icon link number off on open toggle".split())
 LAYOUT = frozenset("has have hide is no not show with without".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
@@ -61,10 +69,13 @@ MARKED = 4.0
 LOWERED = 0.02
 
 
-def blocks_of(page: str) -> list[tuple[str, int, tuple[str, ...], str, int]]:
-    """Blocks in page order: (path, -1 never content, 1 marked content, else 0; lowered parts above; text; characters in links)."""
-    stack: list[tuple[str, str, int, bool, tuple[str, ...]]] = [("", "", 0, False, ())]  # tag, path, kind, in a link, lowered parts
-    blocks: list[tuple[str, int, tuple[str, ...], str, int]] = []
+def blocks_of(page: str) -> list[tuple[str, int, tuple[str, ...], str, int, tuple[int, ...], int]]:
+    """Blocks in page order: (path, -1 never content, 1 marked content, else 0; lowered parts above; text; characters in links;
+    numbers of its element and those above, its own last; number of the nearest marked one or 0)."""
+    # tag, path, kind, in a link, lowered parts, elements, nearest marked element
+    stack: list[tuple[str, str, int, bool, tuple[str, ...], tuple[int, ...], int]] = [("", "", 0, False, (), (), 0)]
+    blocks: list[tuple[str, int, tuple[str, ...], str, int, tuple[int, ...], int]] = []
+    elements = 0
     parts: list[str] = []
     linked = 0
     raw = None
@@ -76,7 +87,7 @@ def blocks_of(page: str) -> list[tuple[str, int, tuple[str, ...], str, int]]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 at = next(s for s in reversed(stack) if s[0] not in INLINE)
-                blocks.append((at[1], at[2], at[4], text, linked))
+                blocks.append((at[1], at[2], at[4], text, linked, at[5], at[6]))
             parts.clear()
         linked = 0
 
@@ -139,18 +150,20 @@ def blocks_of(page: str) -> list[tuple[str, int, tuple[str, ...], str, int]]:
         if tag not in INLINE:
             flush()
         top = stack[-1]
-        kind, lowered, label = kind_of(tag, m[3], top[2])
+        kind, lowered, label, content = kind_of(tag, m[3], top[2])
         path = top[1] if tag in INLINE else f"{top[1]}/{label}"
         # a lowered inline tag has no step in the path
         above = (*top[4], f"{top[1]}/{label}") if lowered else top[4]
-        stack.append((tag, path, kind, top[3] or tag == "a", above))
+        elements += 1
+        chain = top[5] if tag in INLINE else (*top[5], elements)
+        stack.append((tag, path, kind, top[3] or tag == "a", above, chain, elements if content else top[6]))
         depth = max(depth, len(stack))
     flush()
     return blocks
 
 
-def kind_of(tag: str, attributes: str, above: int) -> tuple[int, bool, str]:
-    """Whether a part is never content (-1), marked as content (1) or neither (0), whether it is lowered, its step in the path."""
+def kind_of(tag: str, attributes: str, above: int) -> tuple[int, bool, str, bool]:
+    """Whether a part is never content (-1), in marked content (1) or neither (0), if it is lowered, its step in the path, if it is itself a mark."""
     names: list[str] = []
     kind, lowered, content = above, tag in LOWERING, tag in CONTENT
     if attributes and not attributes.isspace():
@@ -168,14 +181,19 @@ def kind_of(tag: str, attributes: str, above: int) -> tuple[int, bool, str]:
                 kind = -1
         if re.search(r"(?:^|\s)hidden(?:\s|$)", attributes):
             kind = -1
-    if kind < 0:
-        return -1, False, tag
-    if tag in NEVER:
-        return -1, False, tag
+    if kind < 0 or tag in NEVER:
+        return -1, False, tag, False
     if tag in ("html", "body"):
-        return kind, False, tag
+        return kind, False, tag, False
+    if tag not in INLINE and any(map(of_comments, names)):
+        return -1, False, tag, False
     lowered = not content and (lowered or any(map(lowers, names)))
-    return int(content or kind), lowered, f"{tag}.{'.'.join(sorted(names))}" if names and tag not in INLINE else tag
+    return int(content or kind), lowered, f"{tag}.{'.'.join(sorted(names))}" if names and tag not in INLINE else tag, content
+
+
+def of_comments(name: str) -> bool:
+    words = [w.lower() for w in WORD.findall(name)]
+    return any(w in COMMENTS for w in words) and words[0] not in LAYOUT and words[-1] not in ABOUT
 
 
 def lowers(name: str) -> bool:
@@ -187,11 +205,11 @@ def main_text(page: str | None, share: float = SHARE) -> str:
     """The page's main text; empty if there is none."""
     if not page:
         return ""
-    blocks = [(b[:3], *b[3:]) for b in blocks_of(page) if b[1] >= 0]
+    blocks = [(b[:3], *b[3:]) for b in blocks_of(page) if b[1] >= 0]  # path, text, linked, elements, marked
     if not blocks:
         return ""
     paths: dict[tuple[str, int, tuple[str, ...]], list[float]] = {}
-    for path, text, linked in blocks:
+    for path, text, linked, *_ in blocks:
         sums = paths.setdefault(path, [0, 0, 0, 0])
         sums[0] += max(0, len(text) - linked)
         sums[1] += len(MARKS.findall(text)) if not linked else 0
@@ -208,7 +226,37 @@ def main_text(page: str | None, share: float = SHARE) -> str:
     weight = {p: a * (1 + b) * factor[p] for p, a, b in zip(order, smoothed(ratio), smoothed(marks))}
     best = max(weight.values())
     kept = {p for p, w in weight.items() if w >= share * best and 2 * max(1.0, factor[p]) * paths[p][0] >= paths[p][3]}
-    return " ".join(text for path, text, _ in blocks if path in kept)
+    return " ".join(text for (_, text, *_), stays in zip(blocks, contained(blocks, [b[0] in kept for b in blocks])) if stays)
+
+
+def contained(blocks: list[tuple], kept: list[bool]) -> list[bool]:
+    """The blocks that stay, with those that their container keeps: see the module's docstring."""
+    whole: dict[int, list[float]] = {}
+    parts_of: dict[int, set[str]] = {}
+    span: dict[int, list[int]] = {}
+    for (_, _, parts), *_, marked in blocks:
+        if marked:
+            # what is lowered above the marked part is so for all of it
+            common = parts_of.setdefault(marked, set(parts))
+            common &= set(parts)
+    for i, ((_, _, parts), text, linked, chain, marked) in enumerate(blocks):
+        if marked and not set(parts) - parts_of[marked]:
+            sums = whole.setdefault(marked, [0, 0])
+            sums[0] += len(text) - linked
+            sums[1] += (len(text) - linked) * kept[i]
+        if kept[i] and len(chain) > 1:
+            span.setdefault(chain[-2], [i, i, len(parts)])[1] = i
+    out = list(kept)
+    for i, ((_, _, parts), text, linked, chain, marked) in enumerate(blocks):
+        free = len(text) - linked
+        if out[i]:
+            continue
+        held, all_kept = whole.get(marked, (0, 0))
+        if held and 2 * all_kept >= held and not set(parts) - parts_of[marked] and 2 * MARKED * free >= len(text):
+            out[i] = True
+        elif 2 * free >= len(text):
+            out[i] = any(e in span and span[e][0] < i < span[e][1] and len(parts) <= span[e][2] for e in chain[:-1])
+    return out
 
 
 def holding_most(paths: dict[tuple[str, int, tuple[str, ...]], list[float]]) -> set[str]:

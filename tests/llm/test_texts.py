@@ -155,6 +155,50 @@ def test_names_still_lower_their_parts():
         assert html_text.main_text(page) == STORY_TEXT
 
 
+def reader_comments(n, name):
+    return f"<section {name}>" + "".join(f"<div><p>{'I have read it twice, and I do not agree; others may. ' * 3}{i}</p></div>" for i in range(n)) + "</section>"
+
+
+@pytest.mark.parametrize("name", ['id="comments"', "class=comments", 'class="comment-list"', 'id="disqus_thread"', 'class="user-comments box"', 'id="respond"', 'class="replies"'])
+@pytest.mark.parametrize("n", [1, 6, 20, 100])
+def test_reader_comments_are_never_content(n, name):
+    comments = reader_comments(n, name)
+    for page in (f"<article>{STORY}</article>{comments}", f"<article>{STORY}{comments}</article>", f"<body><div>{STORY}</div>{comments}</body>",
+                 f"<main><article>{STORY}</article>{comments}</main>", f"<div class=story>{STORY}{comments}</div>"):
+        assert html_text.main_text(page) == STORY_TEXT
+
+
+@pytest.mark.parametrize("wrap", ["<article>%s</article>", "<div role=main>%s</div>", "<body><div class=story>%s</div></body>", "<article class='post comments-open has-comments'>%s</article>"])
+def test_short_parts_inside_the_content_stay(wrap):
+    inner = (f"<h1>Title</h1>{STORY * 3}<h2>Part</h2><blockquote>Quoted, once.</blockquote><pre>a = 1</pre><ul><li>One</li><li>Two</li></ul>"
+             "<table><tr><td>Cell</td><td>7</td></tr></table><dl><dt>Term</dt><dd>Sense</dd></dl>"
+             f"<figure><img src=x><figcaption>A view</figcaption></figure>{LINKS}<div class=share>Share it.</div>{STORY * 2}")
+    text = html_text.main_text(wrap % inner + SIDE + "<footer>foot</footer>")
+    middle = "Part Quoted, once. a = 1 One Two Cell 7 Term Sense A view"
+    assert " ".join([STORY_TEXT] * 3 + [middle] + [STORY_TEXT] * 2) in text and "Elsewhere" not in text and "Share" not in text
+
+
+def brute_ratios(paths):
+    """Weights of unmarked, unlowered paths, in page order, straight from the description."""
+    ratios = [(t / n, m / n) for t, m, n in paths]
+    out = []
+    for i in range(len(paths)):
+        near = [ratios[max(0, i - 1)], ratios[i], ratios[i], ratios[min(len(paths) - 1, i + 1)]]
+        out.append(sum(a for a, _ in near) / 4 * (1 + sum(b for _, b in near) / 4))
+    return out
+
+
+def test_ratios_equal_brute_force():
+    """Sections of one paragraph class each: which of them stay is what the plain formula says."""
+    rng = random.Random(8)
+    for _ in range(200):
+        sections = [[" ".join("word" * rng.randint(1, 2) + rng.choice(["", ",", "."]) for _ in range(rng.choice([1, 3, 30]))) for _ in range(rng.randint(1, 4))] for _ in range(rng.randint(1, 6))]
+        page = "".join(f"<div class=c{i}x>" + "".join(f"<div>{t}</div>" for t in texts) + "</div>" for i, texts in enumerate(sections))
+        weights = brute_ratios([(sum(map(len, texts)), sum(t.count(",") + t.count(".") for t in texts), len(texts)) for texts in sections])
+        expected = [t for texts, w in zip(sections, weights) if w >= html_text.SHARE * max(weights) for t in texts]
+        assert html_text.main_text(page) == " ".join(expected)
+
+
 def test_pages(spark):
     rows = [(i, p, "old", "x") for i, (p, _) in enumerate(PAGES)] * 2
     pages = spark.createDataFrame(rows, "page_id bigint, html string, text string, row string")
