@@ -1,9 +1,10 @@
 """From lines to events.
 
 A timestamp at the start of a line begins an event; the lines after it belong to it. The assembly never
-puts a whole source into one task: each source is cut into chunks of bounded size, events are put together
-per chunk, and only the loose ends (the lines of a chunk before its first timestamp) are carried over to
-the event they continue. The text is shuffled once.
+puts a whole source into one task: each source is cut into chunks of bounded size. A first pass leaves one row
+per chunk, the place of its first timestamp; a scan along these rows tells which earlier chunk holds the event that the
+loose end of a chunk continues (its lines before the first timestamp). So every line knows its chunk before the text moves:
+it is shuffled once and put together once.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from logtables.rules import RuleSet
 from logtables.sources.text import BLOCK, LINE, SOURCE, TEXT, text_column
+from logtables.workspace import new_folder
 
 MESSAGE = "message"
 ROWS_PER_CHUNK = 1_000_000
@@ -114,8 +116,9 @@ def assemble_events(
     """
     sources = [source] if isinstance(source, str) else list(source)
     orders = [order] if isinstance(order, str) else list(order)
+    by_block = isinstance(chunk, str) and chunk == BLOCK or chunk is None and orders[0] == BLOCK
     if chunk is None:
-        chunk = F.col(BLOCK) if orders[0] == BLOCK else even_chunks(df, orders)
+        chunk = F.col(BLOCK) if by_block else even_chunks(df, orders)
     elif isinstance(chunk, str):
         chunk = F.col(chunk)
     line = text_column(df, text)
@@ -128,27 +131,20 @@ def assemble_events(
         F.coalesce(line, F.lit("")).alias("__line"),
         F.coalesce(rules.matcher.starts_event(line).cast("int"), F.lit(0)).alias("__start"),
     )
+    # per chunk, one small row: where its first event starts, by the order column that tells lines of a chunk apart
     part = ["__source", "__chunk"]
-
-    # per chunk: number the events; 0 is the loose end before the first timestamp. One shuffle, by chunk.
-    within = W.partitionBy(*part).orderBy("__at")
-    tied = F.raise_error(F.lit(f"lines of one source agree in {', '.join(orders)}: name a column more in order")).cast("int")
-    lines_once = F.when(F.lag("__at").over(within) == F.col("__at"), tied).otherwise(F.col("__start"))
-    numbered = lines.withColumn("__start", lines_once).withColumns({
-        "__no": F.sum("__start").over(within.rowsBetween(W.unboundedPreceding, W.currentRow)),
-        "__starts": F.sum("__start").over(W.partitionBy(*part)),
-    })
-    pieces = numbered.groupBy(*part, "__no").agg(
-        F.min("__at").alias("__at"),
-        F.max("__starts").alias("__starts"),
-        _joined("__at", "__line").alias("__text"),
+    simple = len(orders) == 1 or orders == [BLOCK, LINE] and by_block
+    place = F.col(f"__at.`{orders[-1]}`") if simple else F.col("__at")
+    begins = F.col("__start") == 1
+    chunks = lines.groupBy(*part).agg(
+        F.min(F.when(begins, place)).alias("__first"),
+        F.max(F.when(begins, place.isNull().cast("int"))).alias("__null"),  # an order of NULL comes before all others
     )
-
-    # per source: which chunk holds the event that a loose end continues. One small row per chunk.
+    # per source, along these rows: the chunk of the event that a loose end continues
     along = W.partitionBy("__source").orderBy("__chunk")
-    started = F.when(F.col("__started") > 0, F.col("__chunk"))
-    anchors = lines.groupBy(*part).agg(F.max("__start").alias("__started")).select(
-        *part,
+    started = F.when(F.col("__null").isNotNull(), F.col("__chunk"))
+    carried = chunks.select(
+        *part, "__first", "__null",
         F.coalesce(
             F.last(started, ignorenulls=True).over(along.rowsBetween(W.unboundedPreceding, -1)),
             F.first("__chunk").over(along.rowsBetween(W.unboundedPreceding, W.currentRow)),
@@ -158,27 +154,28 @@ def assemble_events(
             F.min("__chunk").over(W.partitionBy("__source")),
         ).alias("__final"),
     )
-    placed = pieces.join(anchors, part)
-    loose = (F.col("__no") == 0) & (F.col("__anchor") != F.col("__chunk"))
-    tails = (
-        placed.where(loose)
-        .groupBy("__source", "__anchor")
-        .agg(_joined("__chunk", "__text").alias("__tail"))
-        .withColumnRenamed("__anchor", "__chunk")
-    )
-    # at most one tail per chunk, for its last event: the join keys are those of the first shuffle
-    complete = placed.where(~loose).join(tails, part, "left")
-    ends_chunk = F.col("__no") == F.col("__starts")
-    columns = [
+    # written down, its size decides whether it is broadcast to the lines
+    folder = new_folder(df.sparkSession, "chunks")
+    carried.write.parquet(folder)
+    carried = df.sparkSession.read.schema(carried.schema).parquet(folder)
+    in_chunk = (F.col("__null") == 1) | (place >= F.col("__first"))
+    placed = lines.join(carried, part).withColumn("__chunk", F.when(F.coalesce(in_chunk, F.lit(False)), F.col("__chunk")).otherwise(F.col("__anchor")))
+
+    within = W.partitionBy(*part).orderBy("__at")
+    tied = F.raise_error(F.lit(f"lines of one source agree in {', '.join(orders)}: name a column more in order")).cast("int")
+    once = F.when(F.lag("__at").over(within) == F.col("__at"), tied).otherwise(F.col("__start"))
+    numbered = placed.withColumn("__start", once).withColumn("__no", F.sum("__start").over(within.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    last = []
+    if mark_last:
+        numbered = numbered.withColumn("__starts", F.sum("__start").over(W.partitionBy(*part)))
+        of_source = (F.col("__chunk") == F.col("__final")) & (F.col("__no") == F.col("__starts"))
+        last = [F.max(of_source).alias(mark_last)]
+    events = numbered.groupBy(*part, "__no").agg(F.min("__at").alias("__at"), _joined("__at", "__line").alias(MESSAGE), *last)
+    return events.select(
         *[F.col(f"__source.`{name}`").alias(name) for name in sources],
         *[F.col(f"__at.`{name}`").alias(name) for name in orders],
-        F.when(ends_chunk & F.col("__tail").isNotNull(), F.concat_ws("\n", "__text", "__tail"))
-        .otherwise(F.col("__text"))
-        .alias(MESSAGE),
-    ]
-    if mark_last:
-        columns.append((ends_chunk & (F.col("__chunk") == F.col("__final"))).alias(mark_last))
-    return complete.select(*columns)
+        MESSAGE, *([mark_last] if mark_last else []),
+    )
 
 
 def _joined(key: str, text: str) -> Column:
