@@ -44,18 +44,22 @@ def read_binary_logs(spark: SparkSession, path: str | Sequence[str], strict: boo
 
 
 def read_text_stream(
-    spark: SparkSession, path: str, max_files: int | None = None, numbered: bool = False
+    spark: SparkSession, path: str, max_files: int | None = None, numbered: bool = False, placed: bool = False
 ) -> DataFrame:
     """Lines of newly added files, as a stream: (value, source).
 
     Streams know no line order; ``numbered`` adds it (line, and block for pieces of 100,000 lines) by
-    reading each file as a whole, which suits rolled log files. Kafka and the like have offsets instead.
+    reading each file as a whole, which suits small rolled log files. ``placed`` adds the file's split (block) only, so that large files
+    are read in splits; ``EventAssembly.of_files`` numbers their lines in its batches. Kafka and the like have offsets instead.
     """
+    if numbered and placed:
+        raise ValueError("numbered and placed exclude each other")
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.text(path, wholetext=numbered).select(
-        F.col("value").alias(TEXT), F.col("_metadata.file_path").alias(SOURCE)
+        F.col("value").alias(TEXT), F.col("_metadata.file_path").alias(SOURCE),
+        *([F.col("_metadata.file_block_start").alias(BLOCK)] if placed else []),
     )
     if not numbered:
         return lines

@@ -12,31 +12,103 @@ from logtables.operators.analytics import log_type_counts
 from logtables.operators.events import MESSAGE, assemble_events
 from logtables.operators.extract import LOG_TYPE
 from logtables.rules import RuleSet
-from logtables.sources.text import SOURCE, TEXT
+from logtables.sources.text import BLOCK, LINE, SOURCE, TEXT
 from logtables.workspace import new_folder
 
+#: The split of a line as a chunk, beside the order columns.
+_SPLIT = "split"
+
 
 def stream_log_type_counts(events: DataFrame) -> DataFrame:
     """Running counts; one row of state per log type. Write it in "update" or "complete" mode."""
     return log_type_counts(events)
 
 
+class Runs:
+    """State that grows by batches, in runs: run m holds what the last batches up to the m-th have brought, as many as the largest power of
+    two that divides m.
+
+    What the first m batches have brought lies in as many runs as m has binary ones, so neither the files read per batch nor the times a
+    row is written again grow faster than the logarithm of the batches. Half of all batches write their own rows only. Each batch
+    overwrites its own run, so one that runs again gives the same state; runs that others have taken in stay until the user removes them.
+    """
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    @staticmethod
+    def until(m: int, after: int = 0) -> list[int]:
+        """The runs that together hold batches after + 1 to m."""
+        found = []
+        while m > after:
+            found.append(m)
+            m -= m & -m
+        return found
+
+    def read(self, spark: SparkSession, runs: Sequence[int], schema: T.StructType) -> DataFrame:
+        if not runs:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*(f"{self.folder}/run={m}" for m in runs))
+
+    def add(self, rows: DataFrame, m: int, merged) -> None:
+        """Write the m-th batch's rows, with all that its run takes in; ``merged`` puts rows of several runs together."""
+        runs = self.until(m - 1, m - (m & -m))
+        if runs:
+            rows = merged(rows.unionByName(self.read(rows.sparkSession, runs, rows.schema)))
+        rows.write.mode("overwrite").parquet(f"{self.folder}/run={m}")
+
+    def newest(self, spark: SparkSession) -> int:
+        """The last run; of the others only the names are looked at."""
+        return spark.read.parquet(self.folder).agg(F.max("run")).first()[0] or 0
+
+
+def _latest(key: str):
+    def merged(rows: DataFrame) -> DataFrame:
+        values = [name for name in rows.columns if name not in (key, "version")]
+        newest = F.max_by(F.struct(*values), "version").alias("v")
+        return rows.groupBy(key).agg(newest, F.max("version").alias("version")).select(key, *(F.col(f"v.`{n}`").alias(n) for n in values), "version")
+
+    return merged
+
+
+def upserts_to(stream: DataFrame, folder: str, checkpoint: str, key: str = LOG_TYPE, **trigger):
+    """Start writing the rows that a streaming aggregation changes in each batch; ``upserted`` reads the result.
+
+    What a batch writes follows the keys it changes, not all keys there are: see ``Runs``.
+    """
+    runs = Runs(folder)
+
+    def write(batch: DataFrame, number: int) -> None:
+        runs.add(batch.withColumn("version", F.lit(number + 1)), number + 1, _latest(key))
+
+    writer = stream.writeStream.outputMode("update").foreachBatch(write)
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def upserted(spark: SparkSession, folder: str, schema: T.StructType, key: str = LOG_TYPE) -> DataFrame:
+    """The newest row of each key of what ``upserts_to`` has written; ``schema`` is that of its stream."""
+    runs = Runs(folder)
+    kept = T.StructType([*schema, T.StructField("version", T.IntegerType())])
+    return _latest(key)(runs.read(spark, runs.until(runs.newest(spark)), kept)).select(*schema.names)
+
+
 def new_log_types_to(stream: DataFrame, folder: str, checkpoint: str, **trigger):
     """Start writing the log types that no earlier batch had, with an example row of each.
 
     Each batch is summed up by log type before anything is shuffled, so a frequent log type is no hot key; then the
-    known log types, one row each, are taken away. Batch n goes to ``folder/batch=n`` and looks at the batches before
-    it only, so a batch that runs again gives the same result.
+    known log types, one row each, are taken away. They are kept beside the result, in ``Runs``. Batch n goes to ``folder/batch=n`` and looks
+    at what the batches before it knew, so a batch that runs again gives the same result.
     """
     columns = [name for name in stream.columns if name != LOG_TYPE]
-    kept = T.StructType([*stream.select(LOG_TYPE, *columns).schema, T.StructField("batch", T.LongType())])
+    kept = stream.select(LOG_TYPE).schema
+    runs = Runs(f"{folder.rstrip('/')}-known")
 
     def write(batch: DataFrame, number: int) -> None:
         firsts = batch.groupBy(LOG_TYPE).agg(F.count("*").alias("n"), *(F.any_value(name).alias(name) for name in columns)).drop("n")
-        if number > 0:
-            known = batch.sparkSession.read.schema(kept).parquet(folder).where(F.col("batch") < number)
-            firsts = firsts.join(known.select(LOG_TYPE), LOG_TYPE, "left_anti")
-        firsts.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        known = runs.read(batch.sparkSession, runs.until(number), kept)
+        firsts.join(known, LOG_TYPE, "left_anti").write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        written = batch.sparkSession.read.schema(stream.select(LOG_TYPE, *columns).schema).parquet(f"{folder}/batch={number}")
+        runs.add(written.select(LOG_TYPE), number + 1, lambda rows: rows)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -74,13 +146,13 @@ def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_available(stream: DataFrame, name: str, complete: bool = False, new_types: bool = False) -> DataFrame:
-    """Process what the source holds now and return the result as a table."""
+    """Process what the source holds now and return the result as a table; ``complete``: of running counts by log type."""
     spark = stream.sparkSession
     folder, checkpoint = new_folder(spark, name), new_folder(spark, f"{name}-checkpoint")
-    start = new_log_types_to if new_types else snapshots_to if complete else append_to
+    start = new_log_types_to if new_types else upserts_to if complete else append_to
     start(stream, folder, checkpoint).awaitTermination()
     if complete:
-        return latest_snapshot(spark, folder)
+        return upserted(spark, folder, stream.schema)
     return spark.read.parquet(folder).select(*stream.columns)
 
 
@@ -120,6 +192,20 @@ class EventAssembly:
         self.orders = [order] if isinstance(order, str) else list(order)
         self._schema: T.StructType | None = None
 
+    @classmethod
+    def of_files(cls, spark: SparkSession, rules: RuleSet, folder: str, **options) -> EventAssembly:
+        """Assembly of the lines of ``read_text_stream(placed=True)``.
+
+        A file comes in one batch, in splits that many tasks read; lines are numbered within their splits in the batch, as streams
+        themselves cannot. No file is read as a whole.
+        """
+        job = cls(spark, rules, folder, order=[BLOCK, LINE], chunk=_SPLIT, **options)
+        job.numbers = True
+        return job
+
+    #: Are lines to be numbered in the order in which their splits are read?
+    numbers = False
+
     def _path(self, batch: int) -> str:
         return f"{self.folder}/batch={batch}"
 
@@ -128,6 +214,8 @@ class EventAssembly:
         return (reader.schema(self._schema) if self._schema else reader).parquet(path)
 
     def _process(self, batch: DataFrame, number: int) -> None:
+        if self.numbers:
+            batch = batch.withColumn(LINE, F.monotonically_increasing_id()).withColumn(_SPLIT, F.col(BLOCK))
         names = [*self.sources, *self.orders, self.chunk]
         lines = batch.select(*names, F.col(self.text).alias(TEXT))
         ended = F.lit(False) if self.last_line is None else F.coalesce(self.last_line, F.lit(False))
@@ -157,7 +245,11 @@ class EventAssembly:
 
     def start(self, lines: DataFrame, checkpoint: str, **trigger):
         """Start on a stream of lines; the checkpoint folder belongs to this assembly's folder."""
-        kept = lines.select(*self.sources, *self.orders, self.chunk).schema
+        if self.numbers:
+            places = [F.col(BLOCK), F.lit(0).cast("long").alias(LINE), F.col(BLOCK).alias(_SPLIT)]
+            kept = lines.select(*self.sources, *places).schema
+        else:
+            kept = lines.select(*self.sources, *self.orders, self.chunk).schema
         self._schema = T.StructType([
             *kept, T.StructField(MESSAGE, T.StringType()), T.StructField("idle", T.IntegerType()),
             T.StructField("open", T.IntegerType()),

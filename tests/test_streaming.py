@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from logtables import RuleSet, assemble_events, extract
 from logtables.sources.text import read_text_stream
-from logtables.streaming.jobs import EventAssembly, run_available, stream_log_type_counts
+from logtables.streaming.jobs import EventAssembly, Runs, new_log_types_to, run_available, stream_log_type_counts, upserted, upserts_to
 from logtables.workspace import new_folder, shared_folder
 
 RULES = RuleSet().timestamp("t", r"\d{4}-\d\d-\d\d").var("u", r"user=(?<u>\d+)")
@@ -103,3 +103,67 @@ def test_sources_end(spark, tmp_path):
         ("a", "2024-01-01 a1\n  more\nEND"), ("b", "2024-01-01 b1\n  more"), (None, "2024-01-01 n1\n  more"), ("a", "late"),
         ("c", "2024-01-01 c1\n  more"), ("c", "2024-01-01 c2"),
     }
+
+
+def test_files_in_splits(spark, tmp_path):
+    """Large files in a stream: no file is one value, events cross splits, and the result is that of the batch reader."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    for i in range(3):
+        (inbox / f"{i}.log").write_text("".join(line + "\n" for _, _, line in make_lines(200 + i)))
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    try:
+        for key, value in zip(keys, ("300", "1")):
+            spark.conf.set(key, value)
+        lines = read_text_stream(spark, str(inbox), max_files=2, placed=True)
+        job = EventAssembly.of_files(spark, RULES, str(tmp_path / "state"))
+        job.start(lines, str(tmp_path / "checkpoint")).awaitTermination()
+        found = job.events().select("source", "block", "message").collect()
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    assert len({r.block for r in found}) > 5
+    expected = []
+    for i in range(3):
+        events = []
+        for _, _, line in make_lines(200 + i):
+            if line.startswith("2024") or not events:
+                events.append(line)
+            else:
+                events[-1] += "\n" + line
+        expected += [(f"{i}.log", e) for e in events]
+    assert sorted((r.source.rsplit("/", 1)[1], r.message) for r in found) == sorted(expected)
+    with pytest.raises(ValueError):
+        read_text_stream(spark, str(inbox), numbered=True, placed=True)
+
+
+@pytest.mark.parametrize("m", [1, 2, 7, 8, 100, 1023, 1024])
+def test_runs_cover_all_batches_once(m):
+    def covered(run):
+        return list(range(run - (run & -run) + 1, run + 1))
+
+    runs = Runs.until(m)
+    assert sorted(b for r in runs for b in covered(r)) == list(range(1, m + 1)) and len(runs) <= 10
+    taken = Runs.until(m - 1, m - (m & -m))
+    assert sorted([m, *(b for r in taken for b in covered(r))]) == covered(m)
+
+
+def test_state_in_runs_over_many_batches(spark, tmp_path):
+    """Counts and new log types over eleven batches; a batch writes what it changes, and its run what it takes in."""
+    inbox, schema = str(tmp_path / "in"), "log_type string, n long"
+    rng, rows, news = random.Random(5), [], []
+    for i in range(11):
+        part = [(rng.choice(["hot", "hot", f"t{rng.randrange(4 * i + 1)}"]), j) for j in range(30)] + [(f"only {i}", 0)]
+        news.append(sorted({t for t, _ in part} - {t for t, _ in rows}))
+        rows += part
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    counts = stream_log_type_counts(stream)
+    upserts_to(counts, str(tmp_path / "counts"), str(tmp_path / "c1")).awaitTermination()
+    found = {r["log_type"]: r["count"] for r in upserted(spark, str(tmp_path / "counts"), counts.schema).collect()}
+    assert found == {t: sum(u == t for u, _ in rows) for t, _ in rows}
+    sizes = {m: spark.read.parquet(str(tmp_path / f"counts/run={m}")).count() for m in range(1, 12)}
+    assert sizes[3] == len({t for t, _ in rows[62:93]}) and sizes[8] == len({t for t, _ in rows[:248]})
+    new_log_types_to(stream, str(tmp_path / "new"), str(tmp_path / "c2")).awaitTermination()
+    for i, types in enumerate(news):
+        assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / f"new/batch={i}")).select("log_type").collect()) == types
