@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from logtables import JsonLogParser, extract
 from logtables.functions import accessors
+from logtables.operators.events import MESSAGE
 from logtables.operators.jsonlogs import OBJECT, field_text
 from logtables.sources.text import TEXT, read_text_stream
 from logtables.streaming.jobs import (
@@ -65,6 +66,15 @@ def s08(spark, sf_dir):
     return run_available(found.select(*firsts("level", "uid", "action", "amount")), "s08")
 
 
+@query("s08_text_stream_in_splits", f"select {SQL_FIELDS} from events")
+def s08_splits(spark, sf_dir):
+    lines = read_text_stream(spark, app_files(spark, sf_dir), max_files=4, placed=True)
+    job = EventAssembly.of_files(spark, LINE_RULES, new_folder(spark, "s08"))
+    job.start(lines, new_folder(spark, "s08-checkpoint")).awaitTermination()
+    found = extract(job.events(), LINE_RULES, MESSAGE)
+    return found.select(*firsts("level", "uid", "action", "amount"))
+
+
 @query("t01_stream_extraction", f"select event_id, {SQL_FIELDS}, {SQL_LOG_TYPE} as log_type from events")
 def t01(spark, sf_dir):
     found = extract(app_stream(spark, sf_dir), APP_RULES, "line")
