@@ -165,7 +165,10 @@ class EventAssembly:
     Lines of a source must arrive in order.
 
     A source ends with a line for which ``last_line`` is true, or if ``idle_batches`` batches bring nothing of it: then its
-    event is complete and the state has no row of it. Lines that come after all begin with an event of their own.
+    event is complete and the state has no row of it. With ``time``, the time of a line, and ``idle_time`` (as in "10 minutes"), it also ends when
+    the clock has gone on by more than that since its latest line. The clock is the latest time of all lines so far, so it stands still when
+    nothing comes and doesn't depend on when batches run; lines without a time don't move it, and a source without any never ends by it.
+    Lines that come after all, late ones too, begin with an event of their own.
 
     ``order`` and ``chunk`` are as in ``assemble_events``; the order has to rise from batch to batch.
     """
@@ -182,12 +185,18 @@ class EventAssembly:
         chunk: str,
         last_line: Column | None = None,
         idle_batches: int | None = None,
+        time: Column | None = None,
+        idle_time: str | None = None,
     ):
         if chunk in ([order] if isinstance(order, str) else order):
             raise ValueError("the chunk column must not be one of the order columns")
         self.spark, self.rules, self.folder = spark, rules, folder
         self.text, self.chunk = text, chunk
+        if (time is None) != (idle_time is None):
+            raise ValueError("time and idle_time belong together")
         self.last_line, self.idle_batches = last_line, idle_batches
+        self.time = F.lit(None) if time is None else time
+        self.idle_time = None if idle_time is None else F.expr(f"interval {idle_time}")
         self.sources = [source] if isinstance(source, str) else list(source)
         self.orders = [order] if isinstance(order, str) else list(order)
         self._schema: T.StructType | None = None
@@ -220,20 +229,26 @@ class EventAssembly:
         lines = batch.select(*names, F.col(self.text).alias(TEXT))
         ended = F.lit(False) if self.last_line is None else F.coalesce(self.last_line, F.lit(False))
         # one small row per source; keys are structs, because those compare equal where a column is NULL
-        seen = batch.select(F.struct(*self.sources).alias("__source"), ended.alias("ended"))
-        seen = seen.groupBy("__source").agg(F.max("ended").alias("ended"))
+        seen = batch.select(F.struct(*self.sources).alias("__source"), ended.alias("ended"), self.time.cast("timestamp").alias("last_time"))
+        seen = seen.groupBy("__source").agg(F.max("ended").alias("ended"), F.max("last_time").alias("last_time"))
         if number > 0:
             state = self._stored(self._path(number - 1)).where("open = 1")
             lines = lines.unionByName(state.select(*names, F.col(MESSAGE).alias(TEXT)))
-            earlier = state.select(F.struct(*self.sources).alias("__source"), "idle")
+            earlier = state.select(F.struct(*self.sources).alias("__source"), "idle", F.col("last_time").alias("before"), "clock")
             seen = seen.join(earlier, "__source", "full")
         else:
-            seen = seen.withColumn("idle", F.lit(None).cast("int"))
+            never = F.lit(None).cast("timestamp")
+            seen = seen.withColumns({"idle": F.lit(None).cast("int"), "before": never, "clock": never})
+        seen = seen.withColumn("last_time", F.greatest("last_time", "before"))
         idle = F.when(F.col("ended").isNull(), F.col("idle") + 1).otherwise(0)
         over = F.coalesce("ended", F.lit(False))
         if self.idle_batches is not None:
             over = over | (idle >= self.idle_batches)
-        seen = seen.select("__source", idle.alias("idle"), over.alias("over"))
+        clock = F.lit(None).cast("timestamp")
+        if self.idle_time is not None:
+            clock = F.lit(seen.agg(F.max(F.greatest("last_time", "clock"))).first()[0]).cast("timestamp")
+            over = over | F.coalesce(F.col("last_time") + self.idle_time < clock, F.lit(False))
+        seen = seen.select("__source", idle.alias("idle"), over.alias("over"), "last_time", clock.alias("clock"))
         events = assemble_events(
             lines, self.rules, TEXT, source=self.sources, order=[*self.orders, self.chunk],
             chunk=self.chunk, mark_last="open",
@@ -252,7 +267,7 @@ class EventAssembly:
             kept = lines.select(*self.sources, *self.orders, self.chunk).schema
         self._schema = T.StructType([
             *kept, T.StructField(MESSAGE, T.StringType()), T.StructField("idle", T.IntegerType()),
-            T.StructField("open", T.IntegerType()),
+            T.StructField("last_time", T.TimestampType()), T.StructField("clock", T.TimestampType()), T.StructField("open", T.IntegerType()),
         ])
         return (
             lines.writeStream.foreachBatch(self._process).option("checkpointLocation", checkpoint)

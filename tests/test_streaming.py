@@ -167,3 +167,27 @@ def test_state_in_runs_over_many_batches(spark, tmp_path):
     new_log_types_to(stream, str(tmp_path / "new"), str(tmp_path / "c2")).awaitTermination()
     for i, types in enumerate(news):
         assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / f"new/batch={i}")).select("log_type").collect()) == types
+
+
+def test_sources_end_by_time(spark, tmp_path):
+    """A silent source ends by the time of other sources' lines; what comes late is an event of its own."""
+    inbox, schema = str(tmp_path / "in"), "source string, n long, at string, value string"
+    batches = [
+        [("a", 1, "10:00", "2024-01-01 a1"), ("b", 2, "10:00", "2024-01-01 b1"), ("c", 3, None, "2024-01-01 c1")],
+        [("b", 4, "10:04", "  b more"), ("a", 5, "10:01", "  a more")],
+        [("b", 6, "10:12", "  b again")],            # a is 11 minutes old: over
+        [("a", 7, "10:02", "  a late"), ("b", 8, "10:13", "  b last")],
+        [("a", 9, "10:02", "  a later")],            # over again, by the clock of 10:13
+    ]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox).withColumn("part", F.lit(0).cast("long"))
+    at = F.to_timestamp(F.concat(F.lit("2024-01-01 "), "at"))
+    job = EventAssembly(spark, RULES, str(tmp_path / "state"), order="n", chunk="part", time=at, idle_time="10 minutes")
+    job.start(stream, str(tmp_path / "checkpoint")).awaitTermination()
+    closed = sorted((r.source, r.message) for r in job.events(include_open=False).select("source", "message").collect())
+    assert closed == [("a", "  a late"), ("a", "  a later"), ("a", "2024-01-01 a1\n  a more")]
+    still = sorted(r.source for r in spark.read.parquet(str(tmp_path / "state/batch=4")).where("open = 1").collect())
+    assert still == ["b", "c"]
+    with pytest.raises(ValueError, match="belong together"):
+        EventAssembly(spark, RULES, "x", order="n", chunk="part", idle_time="1 minute")
