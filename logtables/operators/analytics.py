@@ -9,6 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logtables.operators.extract import LOG_TYPE
+from logtables.workspace import new_folder
+
+#: Slots of each hash of ``top_log_types``.
+SLOTS = 1 << 16
 
 
 def _key(order: str | Sequence[str]) -> Column:
@@ -55,6 +59,38 @@ def frequent_log_types(df: DataFrame, limit: int | None = None) -> DataFrame:
     return ordered.limit(limit) if limit else ordered
 
 
+def top_log_types(df: DataFrame, limit: int, slots: int = SLOTS) -> DataFrame:
+    """The same as ``frequent_log_types`` with a limit, for logs of nearly as many log types as rows.
+
+    There, counting all types exactly would shuffle nearly every row. Instead, all rows are first counted by two hashes of their type into
+    ``slots`` slots each, so that no task sends more than these; a slot's count is never below that of a type in it. The types in the heaviest
+    slots are counted exactly, which gives a count that the last of the top types reaches at least. A type with both slots at or above
+    it may be among them, any other cannot: only such types are counted exactly. The log is read three times. Where no type stands
+    out from what a slot holds by chance, all types are counted, as exactly as ever.
+    """
+    if limit < 1:
+        raise ValueError("at least one log type is needed")
+    spark = df.sparkSession
+    typed = df.select(LOG_TYPE, *(
+        (F.pmod(F.xxhash64(LOG_TYPE, F.lit(i)), F.lit(slots)) + i * slots).alias(f"__slot{i}") for i in range(2)
+    ))
+    counts = typed.select(F.explode(F.array("__slot0", "__slot1")).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
+    folder = new_folder(spark, "slots")
+    counts.write.parquet(folder)
+    counts = spark.read.schema(counts.schema).parquet(folder)
+
+    def within(rows: DataFrame, kept: DataFrame, i: int) -> DataFrame:
+        # at most ``slots`` numbers
+        return rows.join(F.broadcast(kept.select(F.col("slot").alias(f"__slot{i}"))), f"__slot{i}", "left_semi")
+
+    heaviest = counts.where(F.col("slot") < slots).orderBy(F.desc("n"), "slot").limit(4 * limit)
+    reached = log_type_counts(within(typed, heaviest, 0)).orderBy(F.desc("count")).limit(limit)
+    found, least = reached.agg(F.count("*"), F.min("count")).first()
+    kept = counts.where(F.col("n") >= (least if found == limit else 0))
+    rows = within(within(typed, kept.where(F.col("slot") < slots), 0), kept.where(F.col("slot") >= slots), 1)
+    return frequent_log_types(rows, limit)
+
+
 def rare_log_types(df: DataFrame, below: int = 10) -> DataFrame:
     return log_type_counts(df).where(F.col("count") < below)
 

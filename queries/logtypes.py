@@ -82,6 +82,13 @@ def q11(spark, sf_dir):
     return analytics.frequent_log_types(extract(order_log(spark, sf_dir), ORDER_RULES, "line"), limit=2)
 
 
+@query("q11_top_types_among_many", f"""select {SQL_LINE_TYPE} as log_type, count(*) as "count" from events
+    group by 1 order by 2 desc, 1 limit 5""")
+def q11_many(spark, sf_dir):
+    # the time stays in the log type, so nearly every row has one of its own
+    return analytics.top_log_types(extract(app_log(spark, sf_dir), LINE_RULES, "line"), limit=5)
+
+
 @query("q12_rare_log_types", f"""select {SQL_LINE_TYPE} as log_type, count(*) as "count" from events
     group by 1 having count(*) < 10""")
 def q12(spark, sf_dir):

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +87,24 @@ def test_log_types(spark, log):
     assert [tuple(r) for r in new.collect()] == [(second, 1)]
 
 
+@pytest.mark.parametrize("limit, slots", [(1, 64), (5, 256), (5, 1 << 16), (40, 16), (3000, 64)])
+def test_top_types_among_many(spark, limit, slots):
+    """Equal to counting all types, ties and NULL included, whatever the slots hold."""
+    rng = random.Random(limit)
+    types = [f"type {int(rng.paretovariate(0.7))}" for _ in range(1500)] + [f"own {i}" for i in range(1500)] + [None] * 7
+    df = spark.createDataFrame([(t,) for t in types], "log_type string").repartition(5)
+    expected = [tuple(r) for r in analytics.frequent_log_types(df, limit).collect()]
+    assert [tuple(r) for r in analytics.top_log_types(df, limit, slots).collect()] == expected
+
+
+def test_top_types_of_few_or_no_rows(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",)], "log_type string")
+    assert [tuple(r) for r in analytics.top_log_types(df, 5).collect()] == [("a", 2), ("b", 1)]
+    assert analytics.top_log_types(df.limit(0), 5).count() == 0
+    with pytest.raises(ValueError):
+        analytics.top_log_types(df, 0)
+
+
 def test_samples_of_a_hot_log_type_are_limited_before_the_shuffle(log):
     plan = LogQuery(RULES).from_(log).get_log_type_with_sample(2)._jdf.queryExecution().executedPlan().toString()
     assert "row_number(), 2, Partial" in plan
