@@ -182,6 +182,29 @@ def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+#: Texts as hex digits, two for each byte; pieces of 800 bytes keep the substrings cheap.
+SQL["op11_suffix_array_dedup"] = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, '')))::bigint as n from documents),
+pieces as (
+  select doc_id, n, k, substr(h, 800 * k + 1, 1600) as h from (select doc_id, n, h, unnest(range(0, (n - 400) // 400 + 1)) as k from d where n >= 400)),
+starts as (
+  select doc_id, 400 * k + i as p, md5_number(substr(h, 2 * i + 1, 800)) as s
+  from (select doc_id, k, h, unnest(range(0, least(400, n - 399 - 400 * k))) as i from pieces)),
+twice as (select s from starts group by s having count(*) > 1),
+hits as (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from starts where s in (select s from twice)),
+numbered as (
+  select doc_id, p, sum(case when before is null or p > before + 400 then 1 else 0 end) over (partition by doc_id order by p) as run from hits),
+runs as (select doc_id, run, min(p) as a, max(p) + 400 as b from numbered group by doc_id, run),
+around as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as before from runs),
+cut as (
+  select doc_id, sum(b - a)::bigint as n_removed, count(*) as n_spans, max(b) as stop,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as kept
+  from around join d using (doc_id) group by doc_id)
+select doc_id, n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+       sha256(unhex(case when stop is null then h else kept || substr(h, 2 * stop + 1) end)) as kept_sha256
+from d left join cut using (doc_id)"""
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
