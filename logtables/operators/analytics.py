@@ -13,6 +13,8 @@ from logtables.workspace import new_folder
 
 #: Slots of each hash of ``top_log_types``.
 SLOTS = 1 << 16
+#: Part of the rows that ``rare_types_among_frequent`` looks at first.
+SHARE = 0.05
 
 
 def _key(order: str | Sequence[str]) -> Column:
@@ -21,6 +23,10 @@ def _key(order: str | Sequence[str]) -> Column:
     return F.col(f"`{orders[0]}`") if len(orders) == 1 else F.struct(*orders)
 
 
+def _digest() -> list[Column]:
+    return [F.xxhash64(LOG_TYPE, F.lit(i)).alias(name) for i, name in enumerate(["__a", "__b"])]
+
+
 def log_types(df: DataFrame, order: str | Sequence[str], ordered: bool = True) -> DataFrame:
     """Each log type once, in the order of first appearance."""
     firsts = df.groupBy(LOG_TYPE).agg(F.min(_key(order)).alias("first_seen"))
@@ -95,6 +101,31 @@ def rare_log_types(df: DataFrame, below: int = 10) -> DataFrame:
     return log_type_counts(df).where(F.col("count") < below)
 
 
+def surely_frequent(df: DataFrame, below: int, share: float = SHARE, most: int = SLOTS) -> DataFrame:
+    """Digests (``__a``, ``__b``) of log types that a share of the rows shows at least ``below`` times: the most frequent ``most``.
+
+    What part of the log shows often enough, the whole log does, so no rare type is ever among them.
+    """
+    part = log_type_counts(df.sample(share, 7)).where(F.col("count") >= below)
+    return part.orderBy(F.desc("count"), LOG_TYPE).limit(most).select(*_digest())
+
+
+def rare_types_among_frequent(df: DataFrame, below: int = 10, share: float = SHARE, most: int = SLOTS) -> DataFrame:
+    """The same as ``rare_log_types``, for logs whose rows are nearly all of frequent types, of which there are many.
+
+    There, every task sends a partial count of nearly every type. Types that a share of the rows proves frequent (``surely_frequent``) leave
+    the log before it is counted; what is left is counted exactly. The proven types are sent to all tasks as two hashes of 64
+    bits each, at most ``most`` of them (1 MB). The log is read twice, and scanned for captures once and a share.
+    """
+    if below < 1:
+        raise ValueError("counts are compared with one at least")
+    sure = surely_frequent(df, below, share, most).withColumn("__sure", F.lit(True))
+    # an outer join stays above the scan for captures; an anti join would be moved below it, and repeat it for its keys
+    rows = df.select(LOG_TYPE).withColumns({name: column for name, column in zip("__a __b".split(), _digest())})
+    left = rows.join(F.broadcast(sure), ["__a", "__b"], "left").where(F.col("__sure").isNull())
+    return rare_log_types(left, below)
+
+
 def new_log_types(df: DataFrame, baseline: DataFrame) -> DataFrame:
     """Log types, with counts, that the baseline (a table with a log type column) does not have.
 

@@ -6,7 +6,7 @@ bodies of a character class and belong between ``[`` and ``]``.
 
 
 class PATTERN:
-    # Users rely on these exact names and languages.
+    # Users rely on these names. Of the languages, that of the code location hint is wider, see there.
     UUID = r"[0-9a-fA-F]{8}\-[0-9a-fA-F]{4}\-[0-9a-fA-F]{4}\-[0-9a-fA-F]{4}\-[0-9a-fA-F]{12}"
     # Alternations are kept inside one group, so that they can be followed by other pattern text.
     IP_OCTET = r"((25[0-5])|(2[0-4][0-9])|(1[0-9]{2})|([1-9]{0,1}[0-9]))"

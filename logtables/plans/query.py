@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,6 +165,19 @@ class LogQuery:
         """Hand the result to a function as Arrow batches, in the tasks: it gets and gives iterators of them."""
         return self.to_dataframe().mapInArrow(function, schema)
 
+    def arrow_streams(self) -> DataFrame:
+        """The result as Arrow IPC streams, one per batch of a task: (n_rows, stream). A stream can be stored or sent, and read by itself."""
+
+        def write(batches):
+            for batch in batches:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema) as stream:
+                    stream.write_batch(batch)
+                made = [pa.array([batch.num_rows], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(made, ["n_rows", "stream"])
+
+        return self.map_arrow(write, "n_rows bigint, stream binary")
+
     def to_arrow(self):
         """The result as an Arrow table. It all goes to the driver's memory; ``map_arrow`` stays in the tasks."""
         return self.to_dataframe().toArrow()
@@ -180,6 +194,11 @@ class LogQuery:
     def iterate_rows(self):
         return (list(row) for row in self.to_dataframe().toLocalIterator())
 
+    def row_lists(self) -> DataFrame:
+        """The result as one list of texts per row, ``row array<string>``: ``get_rows`` without the driver."""
+        found = self.to_dataframe()
+        return found.select(F.array(*(F.col(f"`{name}`").cast("string") for name in found.columns)).alias("row"))
+
     def to_parquet(self, path: str, mode: str = "errorifexists") -> None:
         self.to_dataframe().write.mode(mode).parquet(path)
 

@@ -30,6 +30,14 @@ LINE_RULES = (
     .var("action", r"action=(?<action>[a-z_]+)")
     .var("amount", rf"amount=(?<amount>{PATTERN.FLOAT})")
 )
+# users stay in the log type
+USER_RULES = (
+    RuleSet()
+    .timestamp("time", r"\d{4}\-\d{2}\-\d{2} \d{2}:\d{2}:\d{2}")
+    .var("level", r"(?<level>INFO|WARN|ERROR)")
+    .var("action", r"action=(?<action>[a-z_]+)")
+    .var("amount", rf"amount=(?<amount>{PATTERN.FLOAT})")
+)
 
 
 def time_text() -> Column:
@@ -71,6 +79,7 @@ SQL_LINE = (
     f" || ' amount=' || {SQL_AMOUNT} || {SQL_NOTE}"
 )
 SQL_LOG_TYPE = f"'<timestamp> <level> user=<uid> action=<action> amount=<amount>' || {SQL_NOTE}"
+SQL_USER_TYPE = f"'<timestamp> <level> user=' || user_id || ' action=<action> amount=<amount>' || {SQL_NOTE}"
 SQL_LINE_TYPE = f"{SQL_TIME} || ' <level> user=<uid> action=<action> amount=<amount>' || {SQL_NOTE}"
 
 

@@ -1,7 +1,5 @@
 """Projection, filters, log type analytics and sinks."""
 
-from collections import Counter
-
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -10,7 +8,7 @@ from logtables.operators import analytics
 from logtables.workspace import new_folder
 from queries.inputs import (
     APP_RULES, LINE_RULES, ORDER_RULES, SQL_AMOUNT, SQL_LEVEL, SQL_LINE, SQL_LINE_TYPE,
-    SQL_LOG_TYPE, SQL_TIME, app_log, order_log,
+    SQL_LOG_TYPE, SQL_TIME, SQL_USER_TYPE, USER_RULES, app_log, order_log,
 )
 from queries.registry import query
 
@@ -96,6 +94,13 @@ def q12(spark, sf_dir):
     return analytics.rare_log_types(extract(app_log(spark, sf_dir), LINE_RULES, "line"), below=10)
 
 
+@query("q12_rare_types_among_frequent", f"""select {SQL_USER_TYPE} as log_type, count(*) as "count" from events
+    group by 1 having count(*) < 10""")
+def q12_frequent(spark, sf_dir):
+    # a type per user and kind of line: most are frequent, and half of the rows prove it
+    return analytics.rare_types_among_frequent(extract(app_log(spark, sf_dir), USER_RULES, "line"), below=10, share=0.5)
+
+
 @query("q13_new_log_types", f"""select {SQL_ORDER_TYPE} as log_type, count(*) as "count" from orders
     where o_orderdate >= timestamp '1995-01-01' and ({SQL_ORDER_TYPE}) not in
       (select {SQL_ORDER_TYPE} from orders where o_orderdate < timestamp '1995-01-01' and o_orderstatus <> 'P')
@@ -128,26 +133,23 @@ def k01(spark, sf_dir):
 
 @query("k02_to_arrow", f"""select {SQL_LOG_TYPE} as log_type, count(*) as "count" from events group by 1""")
 def k02(spark, sf_dir):
-    # the result as Arrow batches, which are counted in the tasks that hold them
-    def count(batches):
+    # the result as Arrow streams, stored as another program would get them, and read again
+    def read(batches):
         for batch in batches:
-            counted = pa.Table.from_batches([batch]).group_by("@log_type").aggregate([("@log_type", "count")])
-            yield from counted.rename_columns(["log_type", "n"]).to_batches()
+            for stream in batch.column(0):
+                yield from pa.ipc.open_stream(stream.as_buffer())
 
-    counted = app_query(spark, sf_dir).select(["@log_type"]).map_arrow(count, "log_type string, n bigint")
-    return counted.groupBy("log_type").agg(F.sum("n").alias("count"))
+    result = app_query(spark, sf_dir).select(["@log_type"])
+    folder = new_folder(spark, "arrow")
+    result.arrow_streams().write.parquet(folder)
+    rows = spark.read.parquet(folder).select("stream").mapInArrow(read, result.to_dataframe().schema)
+    return rows.groupBy(F.col("@log_type").alias("log_type")).count()
 
 
 @query("k03_rows", f"""select {SQL_LOG_TYPE} as log_type, count(*) as n from events group by 1""")
 def k03(spark, sf_dir):
-    # rows as Python lists, made in the tasks: what get_rows gives on the driver
-    def count(batches):
-        totals = Counter(row[0] for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
-        yield pa.RecordBatch.from_pydict({"log_type": list(totals), "n": list(totals.values())}, SCHEMA)
-
-    SCHEMA = pa.schema([("log_type", pa.string()), ("n", pa.int64())])
-    counted = app_query(spark, sf_dir).select(["@log_type"]).map_arrow(count, "log_type string, n bigint")
-    return counted.groupBy("log_type").agg(F.sum("n").alias("n"))
+    rows = app_query(spark, sf_dir).select(["@log_type", "uid"]).row_lists()
+    return rows.groupBy(F.col("row")[0].alias("log_type")).agg(F.count("*").alias("n"))
 
 
 @query("k04_parquet", SQL_ROWS)

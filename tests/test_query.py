@@ -1,9 +1,10 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from logtables import LogQuery, RuleSet
+from logtables import LogQuery, RuleSet, extract
 from logtables.operators import analytics
 from logtables.sources.text import from_strings
 
@@ -105,6 +106,42 @@ def test_top_types_of_few_or_no_rows(spark):
         analytics.top_log_types(df, 0)
 
 
+@pytest.mark.parametrize("share, most", [(0.5, 1000), (0.9, 3), (1.0, 1000), (0.01, 1000)])
+def test_rare_types_among_frequent(spark, share, most):
+    rng = random.Random(4)
+    types = [f"type {rng.randrange(60)}" for _ in range(3000)] + [f"own {i % 40}" for i in range(60)] + [None] * 3 + [""] * 2 + ["hot"] * 1500
+    df = spark.createDataFrame([(t,) for t in types], "log_type string").repartition(5)
+    expected = sorted(map(tuple, analytics.rare_log_types(df, 10).collect()), key=str)
+    assert len(expected) == 42
+    assert sorted(map(tuple, analytics.rare_types_among_frequent(df, 10, share, most).collect()), key=str) == expected
+    sure = analytics.surely_frequent(df, 10, share, most).collect()
+    assert len(sure) <= most and (share < 0.5 or len(sure) >= min(most, 50))
+    assert analytics.rare_types_among_frequent(df.limit(0), 10).count() == 0
+    with pytest.raises(ValueError):
+        analytics.rare_types_among_frequent(df, 0)
+
+
+def test_proven_types_leave_before_the_count_and_captures_are_scanned_once(spark, log):
+    df = extract(spark.createDataFrame([(line,) for line in LINES], "line string"), RULES, "line")
+    plan = analytics.rare_types_among_frequent(df, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("BroadcastHashJoin") > plan.index("partial_count")  # plans are printed from the last step to the first
+    assert "LeftAnti" not in plan
+    # without types that repeat nothing is proven, and all are counted
+    assert analytics.rare_types_among_frequent(df, 2).count() == analytics.rare_log_types(df, 2).count()
+
+
+def test_results_as_arrow_streams_and_lists(spark):
+    rows = spark.createDataFrame([("cpu", 4), ("x", None), (None, 5)], "u string, n int").repartition(2)
+    query = LogQuery(RuleSet().var("a", r"(?<v>[a-z]+)")).select(["v", "n"]).from_(rows, text="u")
+    streams = query.arrow_streams().collect()
+    tables = [pa.ipc.open_stream(r["stream"]).read_all() for r in streams]
+    assert [t.num_rows for t in tables] == [r["n_rows"] for r in streams]
+    found = [tuple(r.values()) for r in pa.concat_tables(tables).to_pylist()]
+    assert sorted(found, key=str) == sorted(map(tuple, query.get_rows()), key=str) and found
+    assert sorted((r["row"] for r in query.row_lists().collect()), key=str) == sorted(
+        ([v if v is None else str(v) for v in row] for row in query.get_rows()), key=str)
+
+
 def test_samples_of_a_hot_log_type_are_limited_before_the_shuffle(log):
     plan = LogQuery(RULES).from_(log).get_log_type_with_sample(2)._jdf.queryExecution().executedPlan().toString()
     assert "row_number(), 2, Partial" in plan
