@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -203,7 +202,6 @@ def compared(buckets: DataFrame, lead: int) -> DataFrame:
     return buckets.drop("bucket").mapInArrow(compare, "key binary, at bigint, first bigint, last bigint, met boolean, border binary")
 
 
-@cache
 def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For two odd bases, their powers and the powers of their inverses modulo 2^64."""
     out = []
@@ -220,14 +218,14 @@ def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
 class Strings:
     """Digests of 128 bits of the substrings of some bytes."""
 
-    def __init__(self, data: bytes, most: int):
+    def __init__(self, data: bytes, powers: list[tuple[np.ndarray, np.ndarray]]):
         scrambled = (np.frombuffer(data, "u1").astype("u8") + np.uint64(1)) * np.uint64(_ODD[1])
         scrambled ^= scrambled >> np.uint64(31)
         scrambled *= np.uint64(_ODD[2])
         self.sums = []
-        for powers, inverse in _powers(most + 1):
+        for power, inverse in powers:
             sums = np.zeros(len(data) + 1, "u8")
-            np.add.accumulate(scrambled * powers[: len(data)], out=sums[1:])
+            np.add.accumulate(scrambled * power[: len(data)], out=sums[1:])
             self.sums.append((sums, inverse))
 
     def digests(self, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -263,6 +261,7 @@ def over_texts(texts: DataFrame, lists: DataFrame, names: list[str], length: int
     joined = texts.join(lists, "key").select("key", "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = _powers(2 * SECTION + reach + 1)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -278,7 +277,7 @@ def over_texts(texts: DataFrame, lists: DataFrame, names: list[str], length: int
                         shifts.append(np.full(high - low, base - start))
                 if parts:
                     columns, owner, shift = [np.concatenate(x) for x in zip(*parts)], np.concatenate(owners), np.concatenate(shifts)
-                    strings = Strings(data, 2 * SECTION + reach)
+                    strings = Strings(data, powers)
                     for i in range(0, len(owner), 2_000):
                         part = slice(i, i + 2_000)
                         yield make(strings, keys[owner[part]], [c[part] for c in columns], shift[part])
