@@ -10,16 +10,22 @@ on the path to the current pre-token are all that must be held.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logtables.llm.common import sent, stored
+
 MARK = "▁"
 #: Terminal counts kept while a task runs.
 MEMO_WORDS = 500_000
 GROUP = 1000
+#: Rounds of training, and how far a byte scores below the rarest piece.
+ROUNDS = 2
+BYTE_PENALTY = 10.0
 
 
 class Unigram:
@@ -27,11 +33,13 @@ class Unigram:
 
     def __init__(self, scores: dict[str, float], unknown: float):
         self.scores, self.unknown = scores, unknown
-        self.longest = max(map(len, scores), default=1)
+        # beginnings of pieces; None: not itself a piece
+        self.beginnings: dict[str, float | None] = {piece[:n]: None for piece in scores for n in range(1, len(piece))}
+        self.beginnings.update(scores)
 
     @classmethod
     def from_sentencepiece(cls, path: str) -> Unigram:
-        """Pieces of a vocabulary file; their scores are those of Zipf's law at their rank. Nothing is trained."""
+        """Pieces of a vocabulary file, with the scores that Zipf's law gives to their rank: where fitting starts."""
         import sentencepiece
 
         file = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -42,42 +50,113 @@ class Unigram:
         scores = {file.id_to_piece(i): -math.log(r) - total for r, i in enumerate(ranked, 1)}
         return cls(scores, -math.log(len(ranked) + 1) - total)
 
-    def terminals(self, words: list[str]) -> Iterator[tuple[str, int]]:
-        """(pre-token, token count) of distinct pre-tokens, through their trie."""
-        score, tokens, path = [0.0], [0], ""
-        known, longest = self.scores.get, self.longest
+    def refitted(self, counts: dict[str, int]) -> Unigram:
+        """The same pieces with scores from counts, each one more than counted; bytes score ``BYTE_PENALTY`` below the rarest."""
+        total = math.log(sum(counts.values()) + len(self.scores)) if self.scores else 0.0
+        scores = {piece: math.log(counts.get(piece, 0) + 1) - total for piece in self.scores}
+        return Unigram(scores, min(scores.values(), default=0.0) - BYTE_PENALTY)
+
+    def _walk(self, words: list[str]) -> Iterator[tuple[str, int, list[int]]]:
+        """(pre-token, token count, where the last piece before each place begins) of distinct pre-tokens, through their trie."""
+        score, tokens, begin, path = [0.0], [0], [0], ""
+        # of each node: places from which what leads to it begins a piece
+        alive: list[list[int]] = [[]]
+        known, other = self.beginnings.get, math.nan
         for word in sorted(words):
             shared, top = 0, min(len(word), len(path))
             while shared < top and word[shared] == path[shared]:
                 shared += 1
-            del score[shared + 1:], tokens[shared + 1:]
+            del score[shared + 1:], tokens[shared + 1:], begin[shared + 1:], alive[shared + 1:]
             for end in range(shared + 1, len(word) + 1):
                 size = len(word[end - 1].encode("utf-8", "surrogatepass"))
-                best, fewest = score[end - 1] + size * self.unknown, tokens[end - 1] + size
-                for start in range(max(0, end - longest), end):
-                    s = known(word[start:end])
+                best, fewest, at = score[end - 1] + size * self.unknown, tokens[end - 1] + size, end - 1
+                live = []
+                for start in (*alive[end - 1], end - 1):
+                    s = known(word[start:end], other)
+                    if s is other:
+                        continue
+                    live.append(start)
                     if s is not None:
                         s += score[start]
                         if s > best or s == best and tokens[start] + 1 < fewest:
-                            best, fewest = s, tokens[start] + 1
+                            best, fewest, at = s, tokens[start] + 1, start
                 score.append(best)
                 tokens.append(fewest)
+                begin.append(at)
+                alive.append(live)
             path = word
-            yield word, tokens[-1]
+            yield word, tokens[-1], begin
+
+    def terminals(self, words: list[str]) -> Iterator[tuple[str, int]]:
+        """(pre-token, token count) of distinct pre-tokens."""
+        return ((word, tokens) for word, tokens, _ in self._walk(words))
+
+    def piece_counts(self, words: dict[str, int]) -> Counter[str]:
+        """How often each piece is in the best segmentations of pre-tokens that are there so many times."""
+        counts: Counter[str] = Counter()
+        for word, _, begin in self._walk(list(words)):
+            end = len(word)
+            while end:
+                piece, end = word[begin[end]:end], begin[end]
+                if piece in self.scores:
+                    counts[piece] += words[word]
+        return counts
+
+
+def pretoken_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """word, n: how often each word is in all texts. Tasks add up before the shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                n.update((text or "").split())
+                if len(n) > MEMO_WORDS:
+                    yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], ["word", "n"])
+                    n.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], ["word", "n"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def fit_unigram(docs: DataFrame, vocabulary: str, text: str = "text", rounds: int = ROUNDS) -> Unigram:
+    """Piece scores from all texts of docs, by rounds of Viterbi training over their distinct pre-tokens.
+
+    Each round takes the best segmentations under the scores so far, adds up how often each piece is used, and scores pieces by
+    these sums. The driver gets one sum per piece of the vocabulary. Without texts all pieces score alike.
+    """
+    spark = docs.sparkSession
+    model = Unigram.from_sentencepiece(vocabulary)
+    # neighbours share their beginnings
+    words = stored(pretoken_counts(docs, text).sortWithinPartitions("word"), "pre-tokens") if rounds else None
+    for _ in range(rounds):
+        words_model = sent(spark, model)
+
+        def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model, counts = words_model(), Counter()
+            for batch in batches:
+                found = zip(*(c.to_pylist() for c in batch.columns))
+                counts.update(model.piece_counts({MARK + word: n for word, n in found}))
+            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["piece", "n"])
+
+        used = words.mapInArrow(use, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
+        model = model.refitted({r["piece"]: r["n"] for r in used.collect()})
+    return model
 
 
-def token_counts(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_tokens of every whole text, one row per row of docs.
+def token_counts(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, n_words, n_tokens of every whole text, one row per row of docs, under scores that these texts give to the pieces.
 
     Words are what white space separates. Null and empty texts have no words and no tokens; null and repeated ids
     stay as they are; other columns are left out; an empty table gives no rows. ``vocabulary`` is the path of a
-    sentencepiece file that every machine has.
+    sentencepiece file that the driver has; nothing is trained but its pieces' scores.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    model_of_task = sent(docs.sparkSession, fit_unigram(docs, vocabulary, text, rounds))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Unigram.from_sentencepiece(vocabulary)
+        model = model_of_task()
         memo: dict[str, int] = {}
         for batch in batches:
             words, tokens = [], []
