@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def sent(spark: SparkSession, item) -> Callable[[], object]:
+    """A function that gives tasks the item, once per task: it is broadcast as pickled bytes, with its classes by value.
+
+    A broadcast object itself would be read with this package, which executors need not have.
+    """
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(item))
+    return lambda: pickle.loads(shared.value)
+
+
 def filter_texts(docs: DataFrame, text: str, verdict: Callable[[], Callable[[list], np.ndarray]]) -> DataFrame:
     """Rows of docs, with all their columns and types, for whose text the verdict is true.
 

@@ -11,13 +11,16 @@ out of the array. Test items go to the executors in blocks of a bounded size, on
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from logtables.llm.common import sent
 
 WINDOW = 13
 #: Characters of test items that are broadcast at a time; an item is never cut, and larger sets take several blocks.
@@ -140,11 +143,11 @@ def spans_of(items: TestItems, window: np.ndarray, place: np.ndarray, numbers: n
     return place[begin][order], length[order], owner[order], start[order]
 
 
-def search_block(items: TestItems, item_type: pa.DataType, shortest: int):
+def search_block(items: Callable[[], TestItems], item_type: pa.DataType, shortest: int):
     """A function from a batch (row, text, items, spans, ...) to the same batch with this block's matches added."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = items.value
+        block = items()
         find = block.vocabulary.get
         for batch in batches:
             lists = [words_of(t) for t in batch.column(1).to_pylist()]
@@ -197,7 +200,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: s
     spark = docs.sparkSession
     item_type = benchmark.schema[item_id].dataType
     kind = item_type.simpleString()
-    arrow = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
+    arrow = to_arrow_type(item_type)
     items = benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).where("id is not null")
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_chars))
@@ -210,7 +213,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: s
         part = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).orderBy("id", "text").collect()
         block_items = TestItems([tuple(r) for r in part], window)
         shortest = int(block_items.lengths.min(initial=window))
-        search = search_block(spark.sparkContext.broadcast(block_items), arrow, shortest)
+        search = search_block(sent(spark, block_items), arrow, shortest)
         rows = rows.select("row", "text", "items", "spans").mapInArrow(search, schema)
     return rows.select("row", "n_words", "n_hit", "items", "spans")
 

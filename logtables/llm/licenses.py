@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtables.llm.common import stored
+from logtables.llm.common import sent, stored
 
 #: Public licence notices.
 TEMPLATES: list[tuple[str, str]] = [
@@ -249,13 +249,14 @@ def scan_licenses(files: DataFrame, path: str, text: str = "text", templates: li
     spark = files.sparkSession
     kept = [c for c in files.columns if c not in (text, "license", "score", "origin")]
     documents, frequency = document_frequencies(files, text, [*templates, *texts])
-    shared = spark.sparkContext.broadcast(Matcher(templates, documents, frequency, threshold, texts))
+    matcher_of_task = sent(spark, Matcher(templates, documents, frequency, threshold, texts))
     rows = files.select(F.struct(*kept).alias("row"), F.col(path).alias("path"), F.col(text).alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = matcher_of_task()
         for batch in batches:
-            found = [shared.value.scan(t) for t in batch.column(2).to_pylist()]
+            found = [matcher.scan(t) for t in batch.column(2).to_pylist()]
             made = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["row", "path", "license", "score", "origin"])
 

@@ -14,13 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtables.llm.common import filter_texts, stored
+from logtables.llm.common import filter_texts, sent, stored
 from logtables.llm.toxicity import bounded_sample
 
 PASSAGE = 100
-#: Documents to learn from, at most, and passages of each, evenly spaced (scoring takes all passages).
+#: Documents to learn from, at most, and passages of all of them together (33 MB). Texts are taken whole.
 SAMPLE = 4_000
-PASSAGES = 256
+PASSAGES = 200_000
 GROUP = 400
 _PUNCTUATION = [b for b in range(33, 127) if not chr(b).isalnum()]
 
@@ -77,6 +77,18 @@ class AttentionMIL:
         p = 1 / (1 + np.exp(-np.clip(z @ w["c"] + w["b"], -40, 40)))
         return h, t, g, a, z, p
 
+    def slopes(self, x: np.ndarray, starts: np.ndarray, bag: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Derivatives of the mean log loss by each weight."""
+        w, scaled = self.w, (x - self.mean) / self.spread
+        h, t, g, a, z, p = self.forward(x, starts, bag)
+        dz_out = (p - y) / len(y)
+        dz = dz_out[:, None] * w["c"]
+        da = (dz[bag] * h).sum(axis=1)
+        ds = a * (da - np.add.reduceat(a * da, starts)[bag])
+        dt, dg = ds[:, None] * w["a"] * g * (1 - t * t), ds[:, None] * w["a"] * t * g * (1 - g)
+        dh = (a[:, None] * dz[bag] + dt @ w["V"].T + dg @ w["U"].T) * (1 - h * h)
+        return {"E": scaled.T @ dh, "e": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ dg, "a": (t * g).T @ ds, "c": z.T @ dz_out, "b": dz_out.sum()}
+
     def fit(self, bags: list[np.ndarray], y: np.ndarray, steps: int = 250, rate: float = 0.02, decay: float = 1e-4) -> None:
         """Full-batch steps of Adam on the mean log loss."""
         if not bags:
@@ -85,20 +97,11 @@ class AttentionMIL:
         sizes = np.array([len(b) for b in bags])
         starts, bag = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(bags)), sizes)
         self.mean, self.spread = x.mean(axis=0), x.std(axis=0) + 0.02
-        scaled = (x - self.mean) / self.spread
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         v = {k: np.zeros_like(u) for k, u in self.w.items()}
         for step in range(1, steps + 1):
             w = self.w
-            h, t, g, a, z, p = self.forward(x, starts, bag)
-            dz_out = (p - y) / len(y)
-            dz = dz_out[:, None] * w["c"]
-            da = (dz[bag] * h).sum(axis=1)
-            ds = a * (da - np.add.reduceat(a * da, starts)[bag])
-            dt, dg = ds[:, None] * w["a"] * g * (1 - t * t), ds[:, None] * w["a"] * t * g * (1 - g)
-            dh = (a[:, None] * dz[bag] + dt @ w["V"].T + dg @ w["U"].T) * (1 - h * h)
-            slopes = {"E": scaled.T @ dh, "e": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ dg, "a": (t * g).T @ ds, "c": z.T @ dz_out, "b": dz_out.sum()}
-            for k, d in slopes.items():
+            for k, d in self.slopes(x, starts, bag, y).items():
                 d = d + decay * w[k]
                 m[k] = 0.9 * m[k] + 0.1 * d
                 v[k] = 0.999 * v[k] + 0.001 * d * d
@@ -115,9 +118,10 @@ class AttentionMIL:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, learnable, label: str = "quality", rows: int = SAMPLE, doc_id: str = "doc_id",
-                text: str = "text") -> AttentionMIL:
+                text: str = "text", most: int = PASSAGES) -> AttentionMIL:
     """Fit on at most ``rows`` labelled documents for which the column ``learnable`` of labels is true.
 
+    They are whole texts of at most ``most`` passages together, taken in the order of a hash; a text that doesn't fit any more is passed over.
     Equal texts count once, with the largest label. Without labelled rows the model is as it starts.
     """
     sample = bounded_sample(labels, label, learnable, rows, doc_id)
@@ -126,15 +130,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learnable, label: str = "qua
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in batch.column(2).to_pylist():
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                # a batch per text, as one may be long
                 bag = passages(text)
-                found.append(bag[np.unique(np.linspace(0, len(bag) - 1, PASSAGES).astype("i8"))].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["hash", "label", "bag"])
-
-    measured = chosen.select(F.xxhash64("text").alias("hash"), "label", "text").mapInArrow(encode, "hash bigint, label double, bag binary")
-    measured = stored(measured.groupBy("hash").agg(F.max("label").alias("label"), F.first("bag").alias("bag")), "quality-sample")
-    found = measured.orderBy("hash").collect()
+                part = [batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([len(bag)], pa.int64()), pa.array([bag.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(part, ["hash", "label", "n", "bag"])
+
+    measured = chosen.select(F.xxhash64("text").alias("hash"), "label", "text").mapInArrow(encode, "hash bigint, label double, n bigint, bag binary")
+    measured = stored(measured.groupBy("hash").agg(F.max("label").alias("label"), *(F.first(c).alias(c) for c in ("n", "bag"))), "quality-sample")
+    fitting, total = [], 0
+    for r in measured.select("hash", "n").orderBy("hash").collect():
+        if total + r["n"] <= most:
+            fitting.append((r["hash"],))
+            total += r["n"]
+    fitting = docs.sparkSession.createDataFrame(fitting, "hash bigint")
+    found = measured.join(F.broadcast(fitting), "hash", "left_semi").orderBy("hash").collect()
     model = AttentionMIL(WIDTH)
     model.fit([np.frombuffer(r["bag"], "f4").reshape(-1, WIDTH) for r in found], np.array([r["label"] for r in found]))
     return model
@@ -142,17 +152,23 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learnable, label: str = "qua
 
 def score_quality(docs: DataFrame, model: AttentionMIL, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and score (0 to 1) of every row; null and empty texts are bags of one passage of zeros."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model_of_task = sent(docs.sparkSession, model)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = model_of_task()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(batch.column(1).to_pylist()))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(batch.column(1).to_pylist()))], ["doc_id", "score"])
 
     return rows.mapInArrow(score, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, score double")
 
 
 def keep_quality(docs: DataFrame, model: AttentionMIL, threshold: float = 0.7, text: str = "text") -> DataFrame:
     """The rows of docs that score at least the threshold, with all columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return filter_texts(docs, text, lambda: lambda texts: shared.value.score(texts) >= threshold)
+    model_of_task = sent(docs.sparkSession, model)
+
+    def verdict():
+        model = model_of_task()
+        return lambda texts: model.score(texts) >= threshold
+
+    return filter_texts(docs, text, verdict)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtables.llm.boosting import BoostedTrees, Isotonic
-from logtables.llm.common import filter_texts, stored
+from logtables.llm.common import filter_texts, sent, stored
 
 #: Insults; pronouns of the second person in several languages.
 LEXICON = frozenset(
@@ -194,17 +194,23 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learnable, label: str = "to
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and score (0 to 1) of every row; null and empty texts are scored as texts without words."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model_of_task = sent(docs.sparkSession, model)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = model_of_task()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(batch.column(1).to_pylist()))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(batch.column(1).to_pylist()))], ["doc_id", "score"])
 
     return rows.mapInArrow(score, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, score double")
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of docs that score under the threshold, with all columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return filter_texts(docs, text, lambda: lambda texts: shared.value.score(texts) < threshold)
+    model_of_task = sent(docs.sparkSession, model)
+
+    def verdict():
+        model = model_of_task()
+        return lambda texts: model.score(texts) < threshold
+
+    return filter_texts(docs, text, verdict)

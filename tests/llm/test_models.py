@@ -90,6 +90,41 @@ def test_quality(spark, docs):
     assert quality.score_quality(table, quality.fit_quality(table, labels.where("false"), F.lit(True))).count() == len(everything)
 
 
+def test_slopes_equal_differences():
+    rng = np.random.default_rng(1)
+    model = quality.AttentionMIL(6, codes=4, gates=3)
+    model.mean, model.spread = rng.normal(size=6), rng.uniform(0.5, 2, 6)
+    sizes = np.array([1, 3, 2, 5])
+    x, y, starts, bag = rng.normal(size=(11, 6)), np.array([1.0, 0, 0, 1]), np.cumsum(sizes) - sizes, np.repeat(np.arange(4), sizes)
+
+    def loss():
+        *_, p = model.forward(x, starts, bag)
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    for name, slope in model.slopes(x, starts, bag, y).items():
+        weights = model.w[name]
+        for at in np.ndindex(np.shape(weights)):
+            ends = []
+            for step in (1e-5, -1e-5):
+                moved = np.array(weights)
+                moved[at] += step
+                model.w[name] = moved
+                ends.append(loss())
+            model.w[name] = weights
+            assert np.isclose((ends[0] - ends[1]) / 2e-5, np.asarray(slope)[at], atol=1e-8), (name, at)
+
+
+def test_quality_learns_from_whole_texts_within_its_bound(spark, docs, monkeypatch):
+    learned = []
+    monkeypatch.setattr(quality.AttentionMIL, "fit", lambda self, bags, y: learned.append(sorted(map(len, bags))))
+    table = docs([(1, "a " * 1000), (2, "b " * 70_000), (3, "c"), (4, None), (5, "c")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 6)], "doc_id bigint, quality int")
+    quality.fit_quality(table, labels, F.lit(True))
+    quality.fit_quality(table, labels, F.lit(True), most=100)
+    quality.fit_quality(table, labels, F.lit(True), most=0)
+    assert learned == [[1, 1, 10, 700], [1, 1, 10], []]
+
+
 def test_attention_weights_passages():
     model = quality.AttentionMIL(quality.WIDTH)
     bags = [quality.passages("good words " * 400), quality.passages("BAD!! " * 400)]

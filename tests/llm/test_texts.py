@@ -1,5 +1,8 @@
 import hashlib
+import math
 import random
+from collections import Counter
+from functools import lru_cache
 import re
 
 import numpy as np
@@ -54,6 +57,16 @@ def test_matches_equal_brute_force(spark, docs, block_chars):
                 assert mine[0][s.start: s.start + s.length] == texts[s.item_id][s.item_start: s.item_start + s.length]
 
 
+@pytest.mark.parametrize("kind", ["smallint", "double", "decimal(20,2)", "date", "string"])
+def test_item_ids_of_any_type(spark, docs, kind):
+    number = "date_add(date'2024-01-01', id)" if kind == "date" else "id"
+    bench = spark.sql(f"select cast({number} as {kind}) as item_id, t as text from values (1, 'a b c'), (2, 'x y'), (null, 'b') as v(id, t)")
+    ids = [r.item_id for r in bench.orderBy("item_id").collect()][1:]
+    found = decontamination.contamination(docs([(1, "b a b c x"), (2, "x y a b c"), (3, None)]), bench, window=3).orderBy("doc_id").collect()
+    assert [r["items"] for r in found] == [ids[:1], ids, []]
+    assert [[s.item_id for s in r.spans] for r in found] == [ids[:1], ids[::-1], []]
+
+
 def longest_matches(text, items, window):
     w, found = words(text), set()
     for item, t in items:
@@ -231,12 +244,51 @@ def test_trie_counts_equal_separate_ones():
     assert dict(model.terminals(list(made))) == {w: best_count(model, w) for w in made}
 
 
+def trained(path, words, rounds=token_counts.ROUNDS):
+    """Viterbi training of the plain kind: every word of every text by itself, best cuts by recursion over them."""
+    model = token_counts.Unigram.from_sentencepiece(path)
+
+    @lru_cache(maxsize=None)
+    def cuts(model, word):
+        if not word:
+            return 0.0, 0, ()
+        score, fewest, pieces = cuts(model, word[:-1])
+        size = len(word[-1].encode())
+        best = score + size * model.unknown, -(fewest + size), pieces
+        for start in range(len(word)):
+            s = model.scores.get(word[start:])
+            if s is not None:
+                score, fewest, pieces = cuts(model, word[:start])
+                best = max(best, (score + s, -(fewest + 1), (*pieces, word[start:])), key=lambda b: b[:2])
+        return best[0], -best[1], best[2]
+
+    for _ in range(rounds):
+        counts = Counter(piece for w in words for piece in cuts(model, "▁" + w)[2])
+        total = math.log(sum(counts.values()) + len(model.scores))
+        scores = {p: math.log(counts[p] + 1) - total for p in model.scores}
+        model = token_counts.Unigram(scores, min(scores.values()) - token_counts.BYTE_PENALTY)
+    return model
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_piece_scores_equal_plain_training(spark, docs, rounds):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rng = random.Random(rounds)
+    texts = [" ".join(rng.choice(["house", "houses", "thehouse", "日本", "unrelated", "x9\U0001f600"]) for _ in range(30)) for _ in range(40)]
+    found = token_counts.fit_unigram(docs(list(enumerate(texts)) + [(50, None), (51, "")]).repartition(3), path, rounds=rounds)
+    plain = trained(path, [w for t in texts for w in t.split()], rounds)
+    assert found.scores == pytest.approx(plain.scores) and found.unknown == pytest.approx(plain.unknown)
+    if rounds:
+        assert found.scores["▁house"] > token_counts.Unigram.from_sentencepiece(path).scores["▁house"]
+
+
 def test_token_counts_of_documents(spark, docs):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     path = public_tokenizers.path("piece_bpe_32k.model")
     rows = [(1, "the house the"), (1, "the house the"), (None, "日本 \U0001f600"), (2, None), (3, ""), (4, " \n "), (5, "xyz " * 30_000)]
     found = token_counts.token_counts(docs(rows), path).collect()
-    model = token_counts.Unigram.from_sentencepiece(path)
+    model = trained(path, [w for _, t in rows for w in (t or "").split()])
     expected = sorted((str(i), len((t or "").split()), sum(best_count(model, "▁" + w) for w in (t or "").split()[:100]) * (300 if i == 5 else 1)) for i, t in rows)
     assert sorted((str(r.doc_id), r.n_words, r.n_tokens) for r in found) == expected
     assert token_counts.token_counts(docs([]), path).count() == 0
