@@ -68,7 +68,8 @@ class Unigram:
                 shared += 1
             del score[shared + 1:], tokens[shared + 1:], begin[shared + 1:], alive[shared + 1:]
             for end in range(shared + 1, len(word) + 1):
-                size = len(word[end - 1].encode("utf-8", "surrogatepass"))
+                last = word[end - 1]
+                size = 1 if last < "\x80" else 2 if last < "\u0800" else 3 if last < "\U00010000" else 4
                 best, fewest, at = score[end - 1] + size * self.unknown, tokens[end - 1] + size, end - 1
                 live = []
                 for start in (*alive[end - 1], end - 1):
