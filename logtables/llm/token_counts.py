@@ -3,8 +3,9 @@
 A pre-token is a word with a word mark before it; its token count is that of its best segmentation into pieces: the
 highest sum of piece scores, of equal ones the fewest pieces. Best scores of prefixes depend on the prefix alone. So
 the distinct pre-tokens of a batch of texts form a trie, each node gets its forward score and count once for all
-pre-tokens below it, and the counts at the terminals are kept. The trie is walked in sorted order: then the nodes
-on the path to the current pre-token are all that must be held.
+pre-tokens below it, and the counts at the terminals are kept. The trie of a block of pre-tokens is made a level at a
+time in arrays; long pre-tokens, whose levels have few nodes, are walked one by one in sorted order, holding the nodes on
+the path to the current one. Both give the same counts and cuts.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,16 +28,33 @@ GROUP = 1000
 #: Rounds of training, and how far a byte scores below the rarest piece.
 ROUNDS = 2
 BYTE_PENALTY = 10.0
+#: Pre-tokens of more characters are walked one by one; others form tries of so many together.
+LONG = 64
+BLOCK = 20_000
+CHARACTERS = 0x110000
+NONE = np.iinfo(np.int64).max
 
 
 class Unigram:
-    """Pieces with scores. A character that no piece holds is written as its bytes, each a token of ``unknown`` score."""
+    """Pieces with scores. A character that no piece holds is written as its bytes, each a token of ``unknown`` score.
+
+    Beginnings of pieces are states, 0 the empty one. ``keys`` are sorted pairs of state and next character, ``targets`` the
+    states they lead to.
+    """
 
     def __init__(self, scores: dict[str, float], unknown: float):
         self.scores, self.unknown = scores, unknown
         # beginnings of pieces; None: not itself a piece
         self.beginnings: dict[str, float | None] = {piece[:n]: None for piece in scores for n in range(1, len(piece))}
         self.beginnings.update(scores)
+        self.names = ["", *self.beginnings]
+        state = {name: i for i, name in enumerate(self.names)}
+        # the last key is met by no pair
+        keys = np.array([*(state[name[:-1]] * CHARACTERS + ord(name[-1]) for name in self.beginnings), NONE], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.targets = keys[order], order + 1
+        # NaN: not itself a piece
+        self.values = np.array([np.nan, *(np.nan if s is None else s for s in self.beginnings.values())])
 
     @classmethod
     def from_sentencepiece(cls, path: str) -> Unigram:
@@ -88,19 +107,93 @@ class Unigram:
             path = word
             yield word, tokens[-1], begin
 
+    def _trie(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The trie of sorted distinct pre-tokens: the node of each, and of all nodes (0 is the root) the token count, the state
+        of the last piece (0: bytes) and the node where it begins.
+
+        A level holds its nodes' live pairs, a node where a piece may begin and the state reached from there, by node and beginning.
+        """
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        offsets = np.cumsum(lengths) - lengths
+        nodes = 1 + len(letters)
+        score, tokens = np.zeros(nodes), np.zeros(nodes, np.int64)
+        piece, origin = np.zeros(nodes, np.int64), np.zeros(nodes, np.int64)
+        ends, on, node = np.zeros(len(words), np.int64), np.arange(len(words)), np.zeros(len(words), np.int64)
+        base, total = 0, 1
+        starts, states, first, many = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), np.ones(1, np.int64)
+        for level in range(int(lengths.max(initial=0))):
+            longer = lengths[on] > level
+            on, node = on[longer], node[longer]
+            letter = letters[offsets[on] + level]
+            new = np.ones(len(on), bool)
+            new[1:] = (node[1:] != node[:-1]) | (letter[1:] != letter[:-1])
+            parent, letter = node[new], letter[new]
+            here = total + np.arange(len(parent))
+            node = total - 1 + np.cumsum(new)
+            ends[on] = node
+            # the parent's live pairs, each followed by the node's letter
+            count = many[parent - base]
+            of = np.repeat(np.arange(len(parent)), count)
+            pair = np.arange(len(of)) + np.repeat(first[parent - base] - (np.cumsum(count) - count), count)
+            key = states[pair] * CHARACTERS + letter[of]
+            at = np.searchsorted(self.keys, key)
+            alive = self.keys[at] == key
+            of, starts, states = of[alive], starts[pair[alive]], self.targets[at[alive]]
+            # bytes, unless a piece scores better: the best one, ties to fewest tokens, then to the earliest beginning
+            width = 1 + (letter >= 0x80) + (letter >= 0x800) + (letter >= 0x10000)
+            best, fewest, by, source = score[parent] + width * self.unknown, tokens[parent] + width, np.zeros(len(parent), np.int64), parent
+            value = self.values[states]
+            made = np.flatnonzero(~np.isnan(value))
+            if len(made):
+                sums, n = value[made] + score[starts[made]], tokens[starts[made]] + 1
+                opens = np.flatnonzero(np.diff(of[made], prepend=-1))
+                run = np.repeat(np.arange(len(opens)), np.diff(opens, append=len(made)))
+                n = np.where(sums == np.maximum.reduceat(sums, opens)[run], n, NONE)
+                won = np.flatnonzero(n == np.minimum.reduceat(n, opens)[run])
+                won = won[np.diff(run[won], prepend=-1) > 0]
+                to = of[made[won]]
+                better = (sums[won] > best[to]) | (sums[won] == best[to]) & (n[won] < fewest[to])
+                won, to = won[better], to[better]
+                best[to], fewest[to], by[to], source[to] = sums[won], n[won], states[made[won]], starts[made[won]]
+            score[here], tokens[here], piece[here], origin[here] = best, fewest, by, source
+            # next level's pairs: those alive, then the node itself
+            count = np.bincount(of, minlength=len(parent))
+            own, kept = np.cumsum(count) + np.arange(len(parent)), np.arange(len(of)) + of
+            pairs = np.zeros((2, len(of) + len(parent)), np.int64)
+            pairs[0, kept], pairs[1, kept], pairs[0, own] = starts, states, here
+            (starts, states), first, many = pairs, own - count, count + 1
+            base, total = total, total + len(parent)
+        return ends, tokens, piece, origin
+
     def terminals(self, words: list[str]) -> Iterator[tuple[str, int]]:
         """(pre-token, token count) of distinct pre-tokens."""
-        return ((word, tokens) for word, tokens, _ in self._walk(words))
+        yield from ((word, tokens) for word, tokens, _ in self._walk([w for w in words if len(w) > LONG]))
+        short = sorted(w for w in words if len(w) <= LONG)
+        for i in range(0, len(short), BLOCK):
+            ends, tokens, _, _ = self._trie(short[i: i + BLOCK])
+            yield from zip(short[i: i + BLOCK], tokens[ends].tolist())
 
     def piece_counts(self, words: dict[str, int]) -> Counter[str]:
         """How often each piece is in the best segmentations of pre-tokens that are there so many times."""
         counts: Counter[str] = Counter()
-        for word, _, begin in self._walk(list(words)):
+        for word, _, begin in self._walk([w for w in words if len(w) > LONG]):
             end = len(word)
             while end:
                 piece, end = word[begin[end]:end], begin[end]
                 if piece in self.scores:
                     counts[piece] += words[word]
+        short = sorted(w for w in words if len(w) <= LONG)
+        used = np.zeros(len(self.names), np.int64)
+        for i in range(0, len(short), BLOCK):
+            block = short[i: i + BLOCK]
+            at, _, piece, origin = self._trie(block)
+            n = np.array([words[w] for w in block], np.int64)
+            while len(at):
+                np.add.at(used, piece[at], n)
+                at = origin[at]
+                at, n = at[at > 0], n[at > 0]
+        counts.update({self.names[i]: int(used[i]) for i in np.flatnonzero(used) if i})
         return counts
 
 

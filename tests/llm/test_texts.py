@@ -244,6 +244,21 @@ def test_trie_counts_equal_separate_ones():
     assert dict(model.terminals(list(made))) == {w: best_count(model, w) for w in made}
 
 
+def test_tries_by_level_equal_single_walks(monkeypatch):
+    rng = random.Random(2)
+    pieces = {"".join(rng.choice("abé日") for _ in range(rng.randrange(1, 5))) for _ in range(30)}
+    words = {"".join(rng.choice("abcé日\U0001f600") for _ in range(rng.randrange(0, 14))): rng.randrange(1, 9) for _ in range(700)}
+    for scores in ({p: -rng.randrange(1, 4) / 2 for p in pieces}, {}):
+        model = token_counts.Unigram(scores, -3.0)
+        monkeypatch.setattr(token_counts, "LONG", -1)
+        counts, used = dict(model.terminals(list(words))), model.piece_counts(words)
+        monkeypatch.setattr(token_counts, "LONG", 64)
+        for block in (1, 7, 1000):
+            monkeypatch.setattr(token_counts, "BLOCK", block)
+            assert dict(model.terminals(list(words))) == counts and model.piece_counts(words) == used
+    assert dict(model.terminals([])) == {} and not model.piece_counts({})
+
+
 def trained(path, words, rounds=token_counts.ROUNDS):
     """Viterbi training of the plain kind: every word of every text by itself, best cuts by recursion over them."""
     model = token_counts.Unigram.from_sentencepiece(path)
