@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -119,5 +120,23 @@ def test_chat_round_trip(spark):
     segments.unpersist()
 
 
+def test_every_example_rebuilds_its_context(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").select("conv_id", "turn", "role", "text")
+    segments = chat.prefix_examples(turns).cache()
+    whole = {}
+    for r in segments.orderBy("conv_id", "position").collect():
+        whole[r.conv_id] = whole.get(r.conv_id, "") + r.segment
+    examples = {(r.conv_id, r.example): r for r in chat.exploded(segments).where("example is not null").collect()}
+    assert len(examples) == turns.where("role = 'assistant'").count()
+    for r in chat.expanded(segments).collect():
+        e = examples.pop((r.conv_id, r.example))
+        assert whole[r.conv_id].startswith(r.context + r.target) and len(r.context) == e.context_end
+        assert (r.target, r.loss_start, r.loss_end) == (e.text, e.loss_start, e.loss_end)
+    assert not examples
+    with pytest.raises(Exception, match="its context is 0 of"):
+        chat.digests(segments.withColumn("start", F.lit(0).cast("bigint"))).collect()
+    segments.unpersist()
+
+
 def test_chat_without_rows(spark):
     assert chat.digests(chat.prefix_examples(spark.createDataFrame([], TURNS))).count() == 0
