@@ -19,24 +19,24 @@ from queries.registry import query
 
 
 PARTS = 4
+#: Rows in a file of a part, about: a part is dealt over its files, as many tasks write and read it.
+FILE_ROWS = 50_000
 
 
 def stream_of(spark, sf_dir, name, key="event_id"):
     """A table as a stream of PARTS batches, in the order of a key; rows without a key come in the last.
 
-    Each part is written in the partitions of the table and read as one batch. Parts with fewer files than the largest
-    are filled up with empty ones, so that no batch reaches into the next part.
+    Each part is dealt evenly over files, wherever its rows lie in the table, and read as one batch. Parts with fewer files than the
+    largest are filled up with empty ones, so that no batch reaches into the next part.
     """
     rows = table(spark, sf_dir, name)
     folder = new_folder(spark, f"{name}-parts")
-    low, high = rows.agg(F.min(key), F.max(key)).first()
+    low, high, n = rows.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
     low, high = (0, 0) if low is None else (low, high)
     part = F.least(F.floor((F.col(key) - low) * PARTS / F.lit(max(1, high - low))), F.lit(PARTS - 1))
-    # partition 0 writes a file in any case, others if they have rows
-    writing = rows.select(part.alias("part"), F.spark_partition_id().alias("p")).where("p > 0").distinct()
-    files = 1 + (writing.groupBy("part").count().agg(F.max("count")).first()[0] or 0)
+    files = max(2, -(-n // (PARTS * FILE_ROWS)))
     for i in range(PARTS):  # the stream takes files by their age
-        rows.where(part == i).write.mode("append").parquet(folder)
+        rows.where(part == i).repartition(files).write.mode("append").parquet(folder)
         for _ in range((i + 1) * files - files_in(spark, folder)):
             rows.where(F.lit(False)).coalesce(1).write.mode("append").parquet(folder)
         if files_in(spark, folder) != (i + 1) * files:
@@ -86,7 +86,7 @@ def t01(spark, sf_dir):
 @query("t02_stream_multiline_events", SQL_TRACES)
 def t02(spark, sf_dir):
     lines = trace_lines(stream_of(spark, sf_dir, "events"))
-    lines = lines.withColumn("part", F.floor(F.col("event_id") / 2_000))  # bounded pieces of a user's lines
+    lines = lines.withColumn("part", F.floor(F.col("event_id") / 100_000))  # bounded pieces of a user's lines, of more than a line or two
     job = EventAssembly(
         spark, APP_RULES, new_folder(spark, "t02"), text="line", source="user_id", order="event_id", chunk="part",
         idle_batches=PARTS,

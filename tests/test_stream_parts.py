@@ -30,3 +30,17 @@ def test_batches_are_several_files_in_the_order_of_the_key(spark, tmp_path):
     ranges = [b[0] for b in batches]
     assert all(a[-1] < b[0] for a, b in zip(ranges, ranges[1:]))
     assert sorted(i for b in ranges for i in b) == sorted(r.event_id for r in table.collect() if r.event_id is not None)
+
+
+def test_parts_of_one_large_file_are_dealt_over_many(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("queries.streams.FILE_ROWS", 10)
+    spark.range(0, 400, 1, 1).toDF("event_id").write.parquet(f"{tmp_path}/events.parquet")
+    batches = []
+
+    def note(rows, _):
+        batches.append([r["count"] for r in rows.groupBy(F.input_file_name()).count().collect()])
+
+    stream = stream_of(spark, str(tmp_path), "events")
+    stream.writeStream.foreachBatch(note).option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
+    assert len(batches) == PARTS and sum(map(sum, batches)) == 400
+    assert all(len(b) == 10 and max(b) <= 15 for b in batches)
