@@ -1,5 +1,6 @@
 """JSON logs: sources, mining, merging."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logtables import JsonLogParser, LogQuery, RuleSet, enrich_columns
@@ -54,13 +55,25 @@ def s06(spark, sf_dir):
     return found.select(*fields("id", "extracted.action"))
 
 
+#: Files that arrays are written to, however many rows there are: large files are read in splits, many small ones one by one.
+ARRAY_FILES = 64
+
+
+def array_files(rows, name):
+    """Files of one array each, from rows (event_id, v: elements as text); returns the folder, with a part per file."""
+    folder = new_folder(rows.sparkSession, name)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(ARRAY_FILES)))
+    along = Window.partitionBy("part").orderBy("event_id")
+    opened = F.when(F.lag(F.lit(1)).over(along).isNull(), "\n[").otherwise(",")
+    closed = F.when(F.lead(F.lit(1)).over(along).isNull(), "\n]").otherwise("")
+    rows.select(F.concat(opened, "v", closed).alias("value"), "part").write.partitionBy("part").text(folder)
+    return folder
+
+
 @query("s06_json_array_files", f"{ID_ACTION} union all select event_id::varchar, 'retry' from events")
 def s06_files(spark, sf_dir):
-    # one array per row of the table, each a file of its own in effect: files are cut at the row's end
-    folder = new_folder(spark, "json-arrays")
-    arrays = array_rows(spark, sf_dir).select(F.floor(F.col("event_id") / 500).alias("part"), F.substring("value", 2, 1 << 30).alias("v"))
-    inner = F.array_join(F.array_sort(F.collect_list(F.expr("left(v, length(v) - 1)"))), ",\n")
-    arrays.groupBy("part").agg(F.concat(F.lit("\n["), inner, F.lit("]")).alias("value")).write.partitionBy("part").text(folder)
+    arrays = array_rows(spark, sf_dir).select("event_id", F.expr("substring(value, 2, length(value) - 2)").alias("v"))
+    folder = array_files(arrays, "json-arrays")
     found = parser("message").parse(f"{folder}/part=*", layout="array")
     return found.select(*fields("id", "extracted.action"))
 
@@ -82,11 +95,10 @@ def s07(spark, sf_dir):
 
 @query("s07_detect_layout_of_files", f"{ID_ACTION} where event_id % 100 <> 0 or event_type <> 'click' union all {ID_ACTION} where event_id % 100 = 0 and event_type = 'click'")
 def s07_files(spark, sf_dir):
-    # a folder with files of arrays, one object in each, and files of lines
-    folder = new_folder(spark, "json-mixed")
+    # a folder with files of arrays and files of lines
     events = table(spark, sf_dir, "events")
     as_array = (F.col("event_id") % 100 == 0) & (F.col("event_type") == "click")
-    events.where(as_array).select(F.concat(F.lit(" [\n"), json_text(), F.lit("]")).alias("value"), F.col("event_id").alias("part")).write.partitionBy("part").text(folder)
+    folder = array_files(events.where(as_array).select("event_id", json_text().alias("v")), "json-mixed")
     events.where(~as_array).select(json_text().alias("value"), F.lit(-1).alias("part")).write.mode("append").partitionBy("part").text(folder)
     found = parser("message").parse(f"{folder}/part=*", layout="auto")
     return found.select(*fields("id", "extracted.action"))

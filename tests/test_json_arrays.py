@@ -87,3 +87,18 @@ def test_auto_layout_keeps_names_in_tables(spark, splits, tmp_path):
     assert objects(frame) == expected([*arrays, lines])
     assert "[file:" not in frame._jdf.queryExecution().optimizedPlan().toString()
     assert {r.layout for r in json_layouts(spark, str(tmp_path)).collect()} == {"array", "lines"}
+
+
+@pytest.mark.parametrize("name", ["s06_json_array_files", "s07_detect_layout_of_files"])
+def test_array_files_do_not_grow_with_the_rows(spark, tmp_path, monkeypatch, name):
+    import queries.jsonlogs as logs
+    from queries import QUERIES
+
+    rows = spark.range(0, 150 * 500, 500, 2).toDF("event_id").selectExpr(
+        "event_id", "timestamp'2024-01-01 00:00:00' as ts", "event_id % 7 as user_id", "'click' as event_type", "0.5D as value")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(logs, "new_folder", lambda spark, name: f"{tmp_path}/{name}")
+    found = QUERIES[name](spark, str(tmp_path))
+    ids = sorted(int(r.id) for r in found.where("action = 'click'").collect())
+    assert ids == [500 * i for i in range(150)]
+    assert 0 < len(list(tmp_path.glob("json-*/part=*"))) <= 64 + 1
