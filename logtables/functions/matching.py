@@ -237,9 +237,39 @@ class Matcher:
         whole = F.filter(F.flatten(zipped), lambda piece: piece.isNotNull())
         return F.when(F.contains(text, F.lit(MARK)), whole).otherwise(F.split(marked, MARK, -1))
 
-    def values(self, name: str, found: Column, alternating: bool = False) -> Column:
-        """All values of a capture in text order, from ``matches`` or (alternating) from ``pieces``."""
+    def groups(self, found: Column, alternating: bool = False) -> Column | None:
+        """For each match the texts of all groups, read by one regex; None where captures are read one by one."""
+        variant = self.variants[0]
+        if len(self.variants) > 1 or not variant.certain or not (variant.guards or variant.optional):
+            return None
+        own = F.filter(found, lambda piece, i: i % 2 == 1) if alternating else found
+        return F.transform(own, lambda match: self._groups(match, variant.pattern, len(variant.groups)))
+
+    @staticmethod
+    def _groups(match: Column, pattern: str, count: int) -> Column:
+        """The texts of the groups of a regex that matches the whole text; those that took no part are empty."""
+        marked = F.regexp_replace(match, F.lit(pattern), F.lit(MARK.join(f"${i + 1}" for i in range(count))))
+        single = F.array(*(F.regexp_extract(match, pattern, i + 1) for i in range(count)))
+        return F.when(F.contains(match, F.lit(MARK)), single).otherwise(F.split(marked, MARK, -1))
+
+    def values(self, name: str, found: Column, alternating: bool = False, groups: Column | None = None) -> Column:
+        """All values of a capture in text order, from ``matches`` or (alternating) from ``pieces``.
+
+        ``groups`` is the column that the method of that name has made, if any.
+        """
         holders = [v for v in self.variants if name in v.groups]
+        if groups is not None:
+            variant = holders[0]
+            places = [i for i, group in enumerate(variant.groups) if group == name]
+            guard = (variant.guards or {}).get(name)
+
+            def read(texts: Column) -> Column:
+                one = [F.get(texts, F.lit(i)) for i in places]
+                if guard:
+                    return F.when(F.get(texts, F.lit(variant.groups.index(guard))) != "", one[0])
+                return one[0] if len(one) == 1 else F.concat(*one)
+
+            return F.filter(F.transform(groups, read), lambda item: item.isNotNull() if variant.guards else item != "")
         if len(holders) == 1 and holders[0].certain:
             variant = holders[0]
             if alternating:
@@ -351,21 +381,23 @@ class Matcher:
         """Captures inside another capture get no placeholder of their own."""
         if variant.optional or variant.guards:
             body, names = dialect.parts(variant.node)
-            read = [F.regexp_extract(match, f"\\A{body}\\z", i + 1) for i in range(len(names))]
-            if variant.guards:
-                shown = []
+
+            def shown(read: list[Column]) -> Column:
+                texts = []
                 for text, name in zip(read, names):
-                    guard = variant.guards.get(name)
+                    guard = (variant.guards or {}).get(name)
                     if name is None:
-                        shown.append(text)
+                        texts.append(text)
+                    elif not variant.guards:
+                        texts.append(F.when(text != "", f"<{name}>").otherwise(""))
                     elif guard:
-                        shown.append(F.when(read[names.index(guard)] != "", f"<{name}>").otherwise(""))
+                        texts.append(F.when(read[names.index(guard)] != "", f"<{name}>").otherwise(""))
                     elif not name.startswith(dialect.PART):
-                        shown.append(F.lit(f"<{name}>"))
-                return F.concat(*shown)
-            return F.concat(*(
-                text if name is None else F.when(text != "", f"<{name}>").otherwise("") for text, name in zip(read, names)
-            ))
+                        texts.append(F.lit(f"<{name}>"))
+                return F.concat(*texts)
+
+            texts = Matcher._groups(match, f"\\A{body}\\z", len(names))
+            return let(texts, lambda found: shown([F.get(found, F.lit(i)) for i in range(len(names))]))
         pattern, replacement, fixed, group, after_group = "", "", "", 0, False
         follows, follow = [], (ENDED,)
         for item in reversed(variant.node.items):

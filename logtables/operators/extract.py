@@ -12,7 +12,7 @@ from logtables.rules import TIMESTAMP, RuleSet
 from logtables.sources.text import TEXT, text_column
 
 LOG_TYPE, TIMESTAMPS = "log_type", "timestamps"
-_FOUND = "__found"
+_FOUND, _GROUPS = "__found", "__groups"
 
 
 def with_helper(df: DataFrame, name: str, column: Column, scan_once: bool) -> DataFrame:
@@ -54,9 +54,10 @@ def extract(
             raise ValueError(f"unknown capture {name!r}; the rules have {', '.join(known)}")
     source = text_column(df, text)
     found = F.col(_FOUND)
+    groups = matcher.groups(found, alternating=log_type) if wanted else None
     columns = {}
     for name in wanted:
-        values = matcher.values(name, found, alternating=log_type)
+        values = matcher.values(name, found, alternating=log_type, groups=None if groups is None else F.col(_GROUPS))
         columns[name] = typed(values, types[name]) if types and name in types else values
     if rules.has_timestamps:
         columns[TIMESTAMPS] = matcher.values(TIMESTAMP, found, alternating=log_type)
@@ -70,6 +71,8 @@ def extract(
             raise ValueError(f"the input has a column {name!r} already: rename it or use into=")
     scan = matcher.pieces(source) if log_type else matcher.matches(source)
     scanned = with_helper(df, _FOUND, scan, scan_once)
+    if groups is not None:
+        scanned = with_helper(scanned, _GROUPS, groups, scan_once)
     return scanned.select(*[F.col(f"`{name}`") for name in df.columns], *[
         column.alias(name) for name, column in columns.items()
     ])

@@ -321,3 +321,15 @@ def test_refused_when_added():
     empty = "".join(rf"(?:(?<c{i}>[ab]*))?" for i in range(20))
     with pytest.raises(ValueError, match="empty text"):
         RuleSet().var("r", f"k{empty}")
+
+
+def test_groups_of_many_parts_are_read_by_one_regex(spark):
+    rules = RuleSet().var("many", "go" + "".join(rf"(?: f{i}=(?<f{i}>[^ ]*))?" for i in range(12)))
+    assert rules.matcher.groups(F.col("x")) is not None
+    lines = ["go f0=a f3= f11=z", "go", "x go f1=\x1e f2=b\x1e\x1e y", "go f5=5 go f6=6"]
+    rows = extract(spark.createDataFrame([(x,) for x in lines], "line string"), rules, "line").collect()
+    found = {r.line: ({f"f{i}": r[f"f{i}"] for i in range(12) if r[f"f{i}"]}, r.log_type) for r in rows}
+    assert found[lines[0]] == ({"f0": ["a"], "f3": [""], "f11": ["z"]}, "go f0=<f0> f3=<f3> f11=<f11>")
+    assert found[lines[1]] == ({}, "go")
+    assert found[lines[2]] == ({"f1": ["\x1e"], "f2": ["b\x1e\x1e"]}, "x go f1=<f1> f2=<f2> y")
+    assert found[lines[3]] == ({"f5": ["5"], "f6": ["6"]}, "go f5=<f5> go f6=<f6>")
