@@ -140,3 +140,26 @@ def test_every_example_rebuilds_its_context(spark):
 
 def test_chat_without_rows(spark):
     assert chat.digests(chat.prefix_examples(spark.createDataFrame([], TURNS))).count() == 0
+
+
+@pytest.mark.parametrize("long", [1 << 18, 100, 1])
+def test_examples_are_expanded_to_their_contexts(spark, monkeypatch, long):
+    monkeypatch.setattr(chat, "LONG", long)
+    roles = ["user", "assistant", "user", "system", "assistant", "assistant", "user"]
+    rows = [(c, t, r, f"{c} {t} <#\\" * 3, "") for c in (1, 2, None) for t, r in enumerate(roles[: 7 if c != 2 else 6])]
+    rows += [(4, 0, "user", "no reply", ""), (5, 0, "assistant", "", "")]
+    segments = chat.prefix_examples(spark.createDataFrame(rows, TURNS)).cache()
+    whole = {(r.conv_id, r.example): (r.context, r.target) for r in chat.expanded(segments).collect()}
+    before, seen = {}, set()
+    for r in chat.prefixes(segments).collect():
+        context = before.get(r.conv_id, "")[: r.context_from] + r.context
+        assert len(context) == r.context_end and (r.context_from == 0 or r.context_end > long)
+        if r.example is not None:
+            assert (context, r.target) == whole[r.conv_id, r.example]
+            seen.add((r.conv_id, r.example))
+        before[r.conv_id] = context + (r.target or "")
+    assert seen == set(whole)
+    found = {r.conv_id: (r.n_turns, r.n_examples, r.formatted_chars) for r in chat.digests(segments).collect()}
+    assert {c: x[:2] for c, x in found.items()} == {1: (7, 3), 2: (6, 3), None: (7, 3), 4: (1, 0), 5: (1, 1)}
+    assert all(found[c][2] == len(before[c]) for c in found)
+    segments.unpersist()
